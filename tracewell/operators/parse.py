@@ -66,11 +66,23 @@ def _span_columns(span: str, keep: list[str]) -> list[Column]:
     ]
 
 
+_NUMBERS = ("timestamp", "duration")
+_NUMBERS_AS_TEXT = "array<struct<timestamp:string,duration:string>>"
+_SPANS = f"array<{schemas.SPAN_JSON.simpleString()}>"
+
+
+def _all_good(spans: Column, texts: Column) -> Column:
+    """True when every number field that is present came through as a number."""
+    return F.forall(F.arrays_zip(spans.alias("s"), texts.alias("t")), lambda e: F.coalesce(
+        *[F.when(e["t"][n].isNotNull() & e["s"][n].isNull(), False) for n in _NUMBERS], F.lit(True)))
+
+
 def span_arrays(raw: DataFrame, value: str = "value", keep: list[str] | None = None) -> DataFrame:
     """JSON span arrays to span rows, all or nothing: one bad element drops its whole array."""
     keep = keep or []
-    decoded = raw.select(*keep, F.explode(F.from_json(
-        F.col(value), f"array<{schemas.SPAN_JSON.simpleString()}>")).alias("_s"))
+    spans, texts = F.from_json(F.col(value), _SPANS), F.from_json(F.col(value), _NUMBERS_AS_TEXT)
+    checked = raw.select(*keep, F.when(_all_good(spans, texts), spans).alias("_a"))
+    decoded = checked.select(*keep, F.explode("_a").alias("_s"))
     return decoded.where(F.col("_s").isNotNull()).select(*_span_columns("_s", keep))
 
 
@@ -81,26 +93,21 @@ def span_arrays_tolerant(raw: DataFrame, value: str = "value", keep: list[str] |
     """
     keep = keep or []
     decoded = (raw.select(*keep, F.explode(F.from_json(F.col(value), "array<string>")).alias("_j"))
-               .withColumn("_s", F.from_json("_j", schemas.SPAN_JSON, {"mode": "PERMISSIVE"}))
-               .where(_element_ok("_s", "_j")))
-    rows = decoded.select(*_span_columns("_s", keep))
-    return rows.where(E.not_blank(F.col("trace_id"))).withColumns({
+               .select(*keep, F.from_json("_j", schemas.SPAN_JSON).alias("_s"),
+                       *[F.get_json_object("_j", f"$.{n}").alias(f"_{n}") for n in _NUMBERS]))
+    good = decoded.where(F.col("_s.id").isNotNull() & E.not_blank(F.col("_s.traceId")))
+    for n in _NUMBERS:
+        good = good.where(F.col(f"_{n}").isNull() | F.col(f"_s.{n}").isNotNull())
+    return good.select(*_span_columns("_s", keep)).withColumns({
         c: F.lower(c) for c in ("name", "local_service", "remote_service")})
 
 
-def _element_ok(span: str, text: str) -> Column:
-    """An element is good when it has ids and its numbers came through as numbers."""
-    numbers = [(F.col(f"{span}.{n}").isNotNull() | F.get_json_object(F.col(text), f"$.{n}").isNull())
-               for n in ("timestamp", "duration")]
-    return F.col(f"{span}.traceId").isNotNull() & F.col(f"{span}.id").isNotNull() & numbers[0] & numbers[1]
-
-
 def quarantine(raw: DataFrame, value: str = "value") -> DataFrame:
-    """Span messages that do not decode, with the reason; the good ones pass through elsewhere."""
-    whole = F.from_json(F.col(value), f"array<{schemas.SPAN_JSON.simpleString()}>")
-    parts = F.from_json(F.col(value), "array<string>")
-    reason = F.when(F.col(value).isNull(), "null value").when(parts.isNull(), "not a JSON array").when(
-        whole.isNull(), "bad element")
+    """Span messages that do not decode as a whole, with the reason."""
+    spans, texts = F.from_json(F.col(value), _SPANS), F.from_json(F.col(value), _NUMBERS_AS_TEXT)
+    reason = F.when(F.col(value).isNull(), "null value").when(
+        F.from_json(F.col(value), "array<string>").isNull(), "not a JSON array").when(
+        spans.isNull() | ~_all_good(spans, texts), "bad element")
     return raw.withColumn("reason", reason).where(F.col("reason").isNotNull())
 
 

@@ -65,11 +65,15 @@ def bridge(spans: DataFrame, chunk: int = 10_000) -> DataFrame:
     parts = salted_lookup(unique, sizes, ["trace_id"], ["span_id", "row_key"], "inner").withColumn(
         "part", F.pmod(F.xxhash64("span_id", "row_key"), F.ceil(F.col("n") / chunk)).cast("int"))
     wire = F.struct(
-        "ts", F.col("span_id").alias("id"), F.col("kind"), "row_key",
-        F.col("parent_id").alias("parentId"), "name", "duration",
-        F.col("local_service").alias("localService"), F.col("remote_service").alias("remoteService"), "tags")
+        F.col("trace_id").alias("traceId"), F.col("span_id").alias("id"), F.col("parent_id").alias("parentId"),
+        "kind", "name", F.unix_micros("ts").alias("timestamp"), "duration",
+        F.struct(F.col("local_service").alias("serviceName")).alias("localEndpoint"),
+        F.when(F.col("remote_service").isNotNull(), F.struct(F.col("remote_service").alias("serviceName")))
+        .alias("remoteEndpoint"), "tags")
+    ordered = F.sort_array(F.collect_list(F.struct(*ORDER, F.to_json(wire).alias("json"))))
     return parts.groupBy("trace_id", "part").agg(
-        F.to_json(F.sort_array(F.collect_list(wire))).alias("value"), F.count("*").alias("spans"))
+        F.concat(F.lit("["), F.array_join(ordered["json"], ","), F.lit("]")).alias("value"),
+        F.count("*").alias("spans"))
 
 
 def last_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -24,7 +24,8 @@ V_SPAN = """v_span AS (
               THEN CASE WHEN l_partkey % 2 = 0 THEN '200' ELSE '500' END END AS tag_error,
          CASE WHEN l_partkey % 4 = 0 THEN '/p' || (l_partkey % 5) END AS tag_path,
          CASE WHEN l_suppkey % 3 = 0 THEN 'http' WHEN l_suppkey % 3 = 1 THEN 'grpc' END AS tag_type,
-         l_partkey, l_suppkey, l_partkey || '-' || l_suppkey AS row_key
+         l_partkey, l_suppkey, l_partkey || '-' || l_suppkey || '-' || CAST(round(l_extendedprice * 100) AS BIGINT)
+         || '-' || strftime(l_shipdate, '%Y%m%d') || '-' || l_linestatus AS row_key
   FROM lineitem)"""
 
 # spans with the path override and the derived keys, database spans still present

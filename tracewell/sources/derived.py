@@ -88,7 +88,8 @@ def span_columns(lineitem: DataFrame) -> DataFrame:
         F.concat(F.lit("svc"), _text(supp % 12)).alias("local_service"),
         F.when(part % 3 != 0, F.concat(F.lit("svc"), _text(part % 12))).alias("remote_service"),
         F.map_filter(raw_tags, lambda _, v: v.isNotNull()).alias("tags"),
-        F.concat(_text(part), F.lit("-"), _text(supp)).alias("row_key"),
+        F.concat_ws("-", _text(part), _text(supp), _text(F.round(F.col("l_extendedprice") * 100).cast("long")),
+                    F.date_format("l_shipdate", "yyyyMMdd"), "l_linestatus").alias("row_key"),
     )
 
 
