@@ -1,6 +1,6 @@
 """All registered queries."""
 
 from tracewell.plans.registry import ORACLES, QUERIES
-from tracewell.plans import requests, spans  # noqa: F401
+from tracewell.plans import requests, spans, trees  # noqa: F401
 
 __all__ = ["ORACLES", "QUERIES"]
