@@ -70,21 +70,23 @@ def probability_name(p: float, prefix: str = "p") -> str:
 
 
 def distribution(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float] = (),
-                 width: int = 10_000, sums: dict[str, Column] | None = None) -> DataFrame:
+                 width: int = 10_000, sums: dict[str, Column] | None = None,
+                 weight: str | None = None) -> DataFrame:
     """Count, min, max, mean, deviation and exact percentiles of an integer column per key.
 
     The rows are reduced to a histogram before the first shuffle. The histogram is cut into cells of
     ``width`` values; a key's cells are ranked as a whole, and only the cells that hold a wanted
     rank are opened. So no task sees more than one key's cells or one cell's values, however many
-    rows a key has. ``sums`` adds further per-key sums of row expressions.
+    rows a key has. ``sums`` adds further per-key sums of row expressions; ``weight`` names a column
+    saying how many rows each row stands for.
     """
     if not keys:
         whole_set = df.withColumn("_all_rows", F.lit(0))
-        return distribution(whole_set, ["_all_rows"], value, probs, width, sums).drop("_all_rows")
+        return distribution(whole_set, ["_all_rows"], value, probs, width, sums, weight).drop("_all_rows")
     sums = sums or {}
     keys = list(keys)
     hist = (df.groupBy(*keys, F.col(value).alias("_v"))
-            .agg(F.count("*").alias("_c"), *[F.sum(e).alias(n) for n, e in sums.items()])
+            .agg((F.count("*") if weight is None else F.sum(weight)).alias("_c"), *[F.sum(e).alias(n) for n, e in sums.items()])
             .withColumn("_cell", F.floor(F.col("_v") / F.lit(width)).cast("long")))
     offset = F.col("_v") - F.col("_cell") * width
     exact = "decimal(38,0)"

@@ -42,3 +42,15 @@ V_NORM = """v_norm AS (
 
 def with_views(*views: str) -> str:
     return "WITH RECURSIVE " + ",\n".join(views) + "\n"
+
+
+def v_alarm(table: str, key: str) -> str:
+    k = f"CAST({key} AS BIGINT)"
+    return f"""v_alarm AS (
+  SELECT {k} AS id, 'title-' || ({k} % 50) AS title, CASE WHEN {k} % 4 = 1 THEN 0 WHEN {k} % 4 <> 0 THEN 1 END AS enable,
+         86400 * ({k} % 5 + 1) AS frequency, 86400 * ({k} % 8 + 7) AS throttle, {k} % 4 AS threshold FROM {table})"""
+
+
+# which rules of v_alarm a kept trace h satisfies
+RULE_MATCH = """(CASE r.id % 3 WHEN 0 THEN h.type = 'ERROR' WHEN 1 THEN h.type = 'COST' AND h.duration >= 3000000
+  ELSE h.duration >= 1000000 AND h.duration < 5000000 AND h.app = 'svc' || (r.id % 12) END)"""

@@ -137,3 +137,24 @@ def cdc_messages(orders: DataFrame) -> DataFrame:
 
 def cdc(spark: SparkSession, folder: str) -> DataFrame:
     return cdc_messages(table(spark, folder, "orders"))
+
+
+def rules(keys: DataFrame, key: str) -> DataFrame:
+    """Alarm rules derived from an integer key column."""
+    k = F.col(key).cast("long")
+    error = F.lit('{"term":{"type.keyword":"ERROR"}}')
+    slow = F.lit('{"term":{"type.keyword":"COST"}},{ "range" : { "children.duration" : {"from": 3000000}}}')
+    narrow = F.concat(F.lit('{"range":{"children.duration":{"gte":1000000,"lt":5000000}}},{"term":{"app.keyword":"svc'),
+                      _text(k % 12), F.lit('"}}'))
+
+    def action(name: str, kind: str, receiver: Column) -> Column:
+        return F.struct(F.lit(name).alias("name"), F.lit(kind).alias("type"), F.lit(None).cast("string").alias("from"),
+                        receiver.alias("to"), F.lit("alarm").alias("subject"), F.lit("see traces").alias("msg"))
+    both = F.array(action("mail", "Email", F.concat(F.lit("user"), _text(k), F.lit("@example.com"))),
+                   action("text", "SMS", _text(k)))
+    return keys.select(
+        k.alias("id"), F.concat(F.lit("title-"), _text(k % 50)).alias("title"),
+        F.when(k % 4 == 1, False).when(k % 4 != 0, True).alias("enable"),
+        (86_400 * (k % 5 + 1)).alias("frequency"), (86_400 * (k % 8 + 7)).alias("throttle"), (k % 4).alias("threshold"),
+        F.when(k % 3 == 0, error).when(k % 3 == 1, slow).otherwise(narrow).alias("condition"),
+        F.when(k % 2 == 0, both).otherwise(F.array(action("push", "Push", _text(k)))).alias("actions"))
