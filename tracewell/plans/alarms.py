@@ -178,7 +178,7 @@ def qps_max_ttl(spark, sf):
     return alarms.ttl_max(quarters(spark, sf), ["app", "uri"], "t", "v", 43_200)
 
 
-@query("qps_max_sliding", QUARTERS + """
-SELECT app, uri, t, v, max(v) OVER (PARTITION BY app, uri ORDER BY t RANGE BETWEEN 43200 PRECEDING AND CURRENT ROW) AS v_max FROM q""")
-def qps_max_sliding(spark, sf):
-    return search.sliding_max(quarters(spark, sf), ["app", "uri"], "t", "v", 43_200)
+@query("qps_max_15m", QUARTERS + """
+SELECT app, uri, t, v, max(v) OVER (PARTITION BY app, uri ORDER BY t RANGE BETWEEN 900 PRECEDING AND CURRENT ROW) AS v_max FROM q""")
+def qps_max_15m(spark, sf):
+    return search.sliding_max(quarters(spark, sf), ["app", "uri"], "t", "v", 900)

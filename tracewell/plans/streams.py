@@ -16,7 +16,7 @@ from tracewell.plans.topology import LINKS, URL_CALLS
 from tracewell.session import new_path, stage
 from tracewell.sinks import writers
 from tracewell.sources import derived, readers
-from tracewell.streaming import runs, stateful, windows
+from tracewell.streaming import runs, stateful, traces, windows
 
 
 def access_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -240,30 +240,40 @@ def running_count(spark, sf):
 
 # --- stateful
 
-CLOSED = """ends AS (SELECT trace_id, max(ts) AS last_ts FROM v_span GROUP BY 1),
-closed AS (SELECT trace_id FROM ends WHERE last_ts + INTERVAL 16 MINUTE <= (SELECT max(ts) FROM v_span))"""
+# all derived spans lie at midnight, so the session of a trace is its day
+CLOSED = """day_span AS (SELECT * REPLACE (trace_id || '@' || strftime(ts, '%Y%m%d') AS trace_id) FROM v_span
+  WHERE ts + INTERVAL 16 MINUTE <= (SELECT max(ts) FROM v_span))"""
+
+
+def closed_traces(spark: SparkSession, sf: str, writer) -> None:
+    """Hand the spans of closed trace sessions to a writer, micro-batch by micro-batch."""
+    stored = derived.spans(spark, sf)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sessions = stage(batch, "sessions")
+        if not sessions.isEmpty():
+            found = traces.session_spans(sessions, stored)
+            named = F.concat("trace_id", F.lit("@"), F.date_format("session_start", "yyyyMMdd"))
+            writer(found.withColumn("trace_id", named).drop("session_start", "session_end"), batch_id)
+    runs.run_available(traces.closed_sessions(span_stream(spark, sf)), write)
 
 
 @query("stream_traces", with_views(V_SPAN, CLOSED) + """
-SELECT trace_id, span_id, row_key, ts, duration FROM v_span WHERE trace_id IN (SELECT trace_id FROM closed)""")
+SELECT trace_id, span_id, row_key, ts, duration FROM day_span""")
 def stream_traces(spark, sf):
-    closed = stateful.assemble_traces(span_stream(spark, sf))
-    return runs.run_to_table(closed).select("trace_id", "span_id", "row_key", "ts", "duration")
+    path = new_path(spark, "closed")
+    closed_traces(spark, sf, writers.by_batch(path))
+    return spark.read.parquet(path).select("trace_id", "span_id", "row_key", "ts", "duration")
 
 
-@query("stream_topology", with_views(V_SPAN, CLOSED, V_NORM.replace(
-    "FROM v_span", "FROM v_span WHERE trace_id IN (SELECT trace_id FROM closed)"), URL_CALLS + LINKS) + """
+@query("stream_topology", with_views(V_SPAN, CLOSED, V_NORM.replace("FROM v_span", "FROM day_span"), URL_CALLS + LINKS) + """
 SELECT trace_id, parent, child, call_count, error_count, round(cost, 4) AS cost FROM links""")
 def stream_topology(spark, sf):
-    """Closed traces turned into links, micro-batch by micro-batch, with the batch operators."""
+    """Closed trace sessions turned into links with the batch operators."""
     path = new_path(spark, "links")
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        closed = stage(batch, "closed")
-        if not closed.isEmpty():
-            found = topology.trace_links(topology.linked_calls(S.normalize(closed)))
-            writers.by_batch(path)(found, batch_id)
-    runs.run_available(stateful.assemble_traces(span_stream(spark, sf)), write)
+    to_path = writers.by_batch(path)
+    closed_traces(spark, sf, lambda batch, batch_id: to_path(
+        topology.trace_links(topology.linked_calls(S.normalize(batch))), batch_id))
     return rounded(spark.read.parquet(path).select(
         "trace_id", "parent", "child", "call_count", "error_count", "cost"), "cost")
 

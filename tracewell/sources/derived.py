@@ -7,8 +7,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tracewell.session import prepare
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give the rows of a small input to all cores; inputs with splits enough are left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
+    return spread(prepare(spark).read.parquet(f"{folder}/{name}.parquet"))
 
 
 def _text(column: Column) -> Column:

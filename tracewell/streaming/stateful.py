@@ -1,64 +1,15 @@
-"""Stateful steps: trace assembly and alarm throttling."""
+"""Alarm throttling as a stateful stream step."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from typing import Any
 
-from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tracewell.session import prepare
 
-TRACE_FIELDS = ("span_id", "row_key", "parent_id", "kind", "name", "ts", "duration", "local_service",
-                "remote_service", "tags_json")
-_TRACE_STATE = ("parent_id string, kind string, name string, ts timestamp, duration long, local_service string, "
-                "remote_service string, tags_json string")
-TRACE_OUTPUT = "trace_id string, span_id string, row_key string, " + _TRACE_STATE
-IDLE_MS = 16 * 60 * 1000
-
-
-class TraceAssembly(StatefulProcessor):
-    """Keeps the distinct spans of a trace and gives them out once, when the trace has been idle."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.spans = handle.getMapState("spans", "span_id string, row_key string", _TRACE_STATE)
-        self.closing = handle.getValueState("closing", "at long")
-
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        newest = self.closing.get()[0] if self.closing.exists() else None
-        planned = newest
-        for row in rows:
-            self.spans.updateValue((row.span_id, row.row_key), tuple(row[f] for f in TRACE_FIELDS[2:]))
-            due = int(row.ts.timestamp() * 1000) + IDLE_MS
-            newest = due if newest is None else max(newest, due)
-        if newest != planned:
-            if planned is not None:
-                self.handle.deleteTimer(planned)
-            self.handle.registerTimer(newest)
-            self.closing.update((newest,))
-        return iter([])
-
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        for name, span in self.spans.iterator():
-            yield Row(trace_id=key[0], **dict(zip(TRACE_FIELDS, (*name, *span))))
-        self.spans.clear()
-        self.closing.clear()
-
-    def close(self) -> None:
-        pass
-
-
-def assemble_traces(spans: DataFrame, late: str = "0 seconds") -> DataFrame:
-    """Spans of closed traces. A trace closes when event time passes its last span by sixteen minutes."""
-    prepare(spans.sparkSession)
-    timed = spans.withColumn("tags_json", F.to_json("tags")).select("trace_id", *TRACE_FIELDS).withWatermark("ts", late)
-    closed = timed.groupBy("trace_id").transformWithState(
-        TraceAssembly(), TRACE_OUTPUT, "append", "EventTime")
-    return closed.withColumn("tags", F.from_json("tags_json", "map<string,string>")).drop("tags_json")
-
-
 class AlarmThrottle(StatefulProcessor):
     """Opens a window per rule on its first match; later matches fire once the threshold is reached."""
 
