@@ -71,14 +71,14 @@ def probability_name(p: float, prefix: str = "p") -> str:
 
 def distribution(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float] = (),
                  width: int = 10_000, sums: dict[str, Column] | None = None,
-                 weight: str | None = None) -> DataFrame:
+                 weight: str | None = None, values_per_key: int = 500_000) -> DataFrame:
     """Count, min, max, mean, deviation and exact percentiles of an integer column per key.
 
-    The rows are reduced to a histogram before the first shuffle. The histogram is cut into cells of
-    ``width`` values; a key's cells are ranked as a whole, and only the cells that hold a wanted
-    rank are opened. So no task sees more than one key's cells or one cell's values, however many
-    rows a key has. ``sums`` adds further per-key sums of row expressions; ``weight`` names a column
-    saying how many rows each row stands for.
+    The rows are reduced to a histogram before the first shuffle. If no key has more than
+    ``values_per_key`` different values, the percentiles come from one grouping of the histogram;
+    otherwise from ranked cells, so that no task ever holds all values of a key. Both ways are exact.
+    ``sums`` adds further per-key sums of row expressions; ``weight`` names a column saying how many
+    rows each row stands for.
     """
     if not keys:
         whole_set = df.withColumn("_all_rows", F.lit(0))
@@ -86,8 +86,43 @@ def distribution(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence
     sums = sums or {}
     keys = list(keys)
     hist = (df.groupBy(*keys, F.col(value).alias("_v"))
-            .agg((F.count("*") if weight is None else F.sum(weight)).alias("_c"), *[F.sum(e).alias(n) for n, e in sums.items()])
-            .withColumn("_cell", F.floor(F.col("_v") / F.lit(width)).cast("long")))
+            .agg((F.count("*") if weight is None else F.sum(weight)).alias("_c"),
+                 *[F.sum(e).alias(n) for n, e in sums.items()]))
+    if probs:
+        hist = stage(hist, "histogram")
+        widest = hist.groupBy(*keys).agg(F.count("*").alias("d")).agg(F.max("d")).first()[0] or 0
+        if widest > values_per_key:
+            return _ranked_cells(hist, keys, probs, width, list(sums))
+    exact = "decimal(38,0)"
+    known = F.when(F.col("_v").isNotNull(), F.col("_c"))
+    marks = [F.percentile("_v", list(probs), F.col("_c")).alias("_p")] if probs else []
+    total = hist.groupBy(*keys).agg(
+        F.sum("_c").alias("rows"), F.coalesce(F.sum(known), F.lit(0)).alias("n"),
+        F.min("_v").alias("min"), F.max("_v").alias("max"),
+        F.sum((F.col("_v") * F.col("_c")).cast(exact)).cast(exact).alias("_s"),
+        F.sum((F.col("_v").cast("decimal(19,0)") * (F.col("_v") * F.col("_c")).cast("decimal(19,0)")).cast(exact))
+        .cast(exact).alias("_q"),
+        *[F.sum(n).alias(n) for n in sums], *marks)
+    n, mean = F.col("n").cast("decimal(19,0)"), F.col("_s").cast("double") / F.col("n")
+    pivot = F.floor(mean).cast("decimal(19,0)")
+    around = (F.col("_q") - 2 * pivot * F.col("_s") + n * pivot * pivot).cast("double") / F.col("n")
+    off = (F.col("_s") - n * pivot).cast("double") / F.col("n")
+    seen = F.col("n") > 0
+    return total.select(
+        *keys, "rows", "n", "min", "max", F.when(seen, mean).alias("mean"),
+        F.when(seen, F.sqrt(F.greatest(around - off * off, F.lit(0.0)))).alias("stddev"), *sums,
+        *[F.col("_p")[i].alias(probability_name(p)) for i, p in enumerate(probs)])
+
+
+def _ranked_cells(hist: DataFrame, keys: list[str], probs: Sequence[float], width: int,
+                  sums: Sequence[str]) -> DataFrame:
+    """The summary of ``distribution`` from a histogram too wide to group by key.
+
+    The histogram is cut into cells of ``width`` values. A key's cells are ranked as a whole, and only
+    the cells holding a wanted rank are opened: no task sees more than the cells of a key or the values
+    of a cell.
+    """
+    hist = hist.withColumn("_cell", F.floor(F.col("_v") / F.lit(width)).cast("long"))
     offset = F.col("_v") - F.col("_cell") * width
     exact = "decimal(38,0)"
     cells = hist.groupBy(*keys, "_cell").agg(
@@ -115,8 +150,6 @@ def distribution(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence
         F.sqrt(F.greatest(F.sum(squares), F.lit(0.0)) / F.max("_total")).alias("stddev"),
         *[F.sum(n).alias(n) for n in sums],
     )
-    if not probs:
-        return stats
 
     def position(p: float, total: Column) -> Column:
         return F.lit(p) * (total - 1)

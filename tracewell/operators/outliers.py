@@ -45,12 +45,12 @@ def running_distribution(spans: DataFrame, keys: Sequence[str], order: Sequence[
     rows = cut.alias("c").join(side.alias("d"), null_safe("c", "d")).select(
         "c.*", "d.before_n", "d.before_s", "d.before_q", "d.before_lo", "d.before_hi", "d._pivot")
     upto = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    d = (F.col(value) - F.col("_pivot")).cast(exact)
+    d = (F.col(value) - F.col("_pivot")).cast("double")
     n = F.col("before_n") + F.count(value).over(upto)
     p, s0, q0 = F.col("_pivot").cast("double"), F.col("before_s").cast("double"), F.col("before_q").cast("double")
     before = F.col("before_n").cast("double")
-    total = (s0 - before * p) + F.sum(d).over(upto).cast("double")
-    squares = (q0 - 2 * p * s0 + before * p * p) + F.sum((d * d).cast(exact)).over(upto).cast("double")
+    total = (s0 - before * p) + F.sum(d).over(upto)
+    squares = (q0 - 2 * p * s0 + before * p * p) + F.sum(d * d).over(upto)
     shifted = total / n
     seen = (F.col("before_s") + F.sum(value).over(upto)).cast(exact)
     lowest = F.least(F.col("before_lo"), F.min(value).over(upto))

@@ -10,7 +10,7 @@ from tracewell.session import prepare
 def spread(df: DataFrame) -> DataFrame:
     """Give the rows of a small input to all cores; inputs with splits enough are left alone."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+    return df.repartition(cores, df.columns[0]) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -77,12 +77,14 @@ def areas(spark: SparkSession, folder: str) -> DataFrame:
 def span_columns(lineitem: DataFrame) -> DataFrame:
     """One span per order line; also applies to a stream of order lines."""
     part, supp = F.col("l_partkey"), F.col("l_suppkey")
-    raw_tags = F.create_map(
-        F.lit("sql.query"), F.when(part % 11 == 0, "select 1"),
-        F.lit("error"), F.when((F.col("l_linestatus") == "F") & (part % 13 == 0),
-                               F.when(part % 2 == 0, "200").otherwise("500")),
-        F.lit("http.path"), F.when(part % 4 == 0, F.concat(F.lit("/p"), _text(part % 5))),
-        F.lit("tracingtype"), F.when(supp % 3 == 0, "http").when(supp % 3 == 1, "grpc"))
+    def tag(name: str, when: Column, value: Column | str) -> Column:
+        value = F.lit(value) if isinstance(value, str) else value
+        return F.when(when, F.create_map(F.lit(name), value)).otherwise(F.create_map().cast("map<string,string>"))
+    tags = F.map_concat(
+        tag("sql.query", part % 11 == 0, "select 1"),
+        tag("error", (F.col("l_linestatus") == "F") & (part % 13 == 0), F.when(part % 2 == 0, "200").otherwise("500")),
+        tag("http.path", part % 4 == 0, F.concat(F.lit("/p"), _text(part % 5))),
+        tag("tracingtype", supp % 3 != 2, F.when(supp % 3 == 0, "http").otherwise("grpc")))
     kinds = F.array(*map(F.lit, ("CLIENT", "SERVER", "PRODUCER", "CONSUMER")), F.lit(None).cast("string"))
     return lineitem.select(
         _text(F.col("l_orderkey")).alias("trace_id"), _text(F.col("l_linenumber")).alias("span_id"),
@@ -93,7 +95,7 @@ def span_columns(lineitem: DataFrame) -> DataFrame:
         F.round(F.col("l_extendedprice") * 100).cast("long").alias("duration"),
         F.concat(F.lit("svc"), _text(supp % 12)).alias("local_service"),
         F.when(part % 3 != 0, F.concat(F.lit("svc"), _text(part % 12))).alias("remote_service"),
-        F.map_filter(raw_tags, lambda _, v: v.isNotNull()).alias("tags"),
+        tags.alias("tags"),
         F.concat_ws("-", _text(part), _text(supp), _text(F.round(F.col("l_extendedprice") * 100).cast("long")),
                     F.date_format("l_shipdate", "yyyyMMdd"), "l_linestatus").alias("row_key"),
     )
