@@ -15,8 +15,9 @@ from tracewell.operators.spans import distinct_spans, order_key
 from tracewell.session import stage
 
 KEY = ["trace_id", "span_id"]
-# 1/2**k underflows to zero in double precision beyond this k, so older values cannot change the mean.
-FOLD_DEPTH = 1100
+# A value this far back weighs less than 1e-300, so it cannot change a mean held in double precision.
+# At 1000, Spark still applies the rank limit before the shuffle.
+FOLD_DEPTH = 1000
 
 
 def prune_orphans(spans: DataFrame) -> DataFrame:
@@ -120,12 +121,12 @@ def climb(nodes: DataFrame) -> DataFrame:
 
 def linked_calls(spans: DataFrame, style: str = "url", prune: bool = True) -> DataFrame:
     """One row per call link: trace, parent, child, error, duration, time and place in the visit order."""
-    source = distinct_spans(spans)
+    source = stage(distinct_spans(spans.select(
+        *KEY, "parent_id", "kind", "name", "ts", "duration", "local_service", "remote_service", "tags", "row_key")),
+        "spans")
     if prune:
-        source = prune_orphans(source)
-    nodes = stage(repair(merge_shared(stage(source.select(
-        *KEY, "parent_id", "kind", "name", "ts", "duration", "local_service", "remote_service", "tags", "row_key"),
-        "spans"))), "nodes")
+        source = stage(prune_orphans(source), "pruned")
+    nodes = stage(repair(stage(merge_shared(source), "merged")), "nodes")
     reached = climb(nodes)
     has_child = nodes.where("parent is not null").select(
         "trace_id", F.col("parent").alias("span_id"), F.lit(True).alias("_has_child")).distinct()

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tracewell.functions import expressions as E
-from tracewell.operators import spans as S, topology
+from tracewell.operators import topology
 from tracewell.plans.registry import query
 from tracewell.plans.requests import rate_sql, rounded
 from tracewell.plans.spans import normalized
 from tracewell.plans.sql_views import V_NORM, V_SPAN, with_views
+from tracewell.session import stage
 
 PRUNED = """sp AS (SELECT *, (ts, span_id, coalesce(kind, ''), row_key) AS o FROM v_norm),
 ids AS (SELECT DISTINCT trace_id, span_id FROM sp),
@@ -109,22 +109,26 @@ def links(spark: SparkSession, sf: str) -> DataFrame:
     return topology.trace_links(calls(spark, sf))
 
 
+def pruned(spark: SparkSession, sf: str) -> DataFrame:
+    return topology.prune_orphans(stage(normalized(spark, sf)))
+
+
 @query("prune_orphans", _views(PRUNED) + "SELECT trace_id, span_id, parent_id, row_key FROM pruned")
 def prune_orphans(spark, sf):
-    return topology.prune_orphans(normalized(spark, sf)).select("trace_id", "span_id", "parent_id", "row_key")
+    return pruned(spark, sf).select("trace_id", "span_id", "parent_id", "row_key")
 
 
 @query("merge_shared", _views(MERGED) + """
 SELECT trace_id, span_id, rn AS copies, last_parent, own_parent, kind, name, ts, duration, local_service, remote_service,
 CAST(error AS INT) AS error FROM merged""")
 def merge_shared(spark, sf):
-    return topology.merge_shared(topology.prune_orphans(normalized(spark, sf))).select(
+    return topology.merge_shared(stage(pruned(spark, sf))).select(
         "trace_id", "span_id", "copies", "last_parent", "own_parent", "kind", "name", "ts", "duration", "local_service",
         "remote_service", F.col("error").cast("int").alias("error"))
 
 
 def repaired(spark: SparkSession, sf: str) -> DataFrame:
-    return topology.repair(topology.merge_shared(topology.prune_orphans(normalized(spark, sf))))
+    return topology.repair(stage(topology.merge_shared(stage(pruned(spark, sf)))))
 
 
 @query("repair_tree", _views(REPAIRED) + "SELECT trace_id, span_id, root_id, parent, CAST(is_root AS INT) AS is_root FROM tree")
@@ -134,7 +138,7 @@ def repair_tree(spark, sf):
 
 @query("rpc_ancestor", _views(URL_CALLS) + "SELECT trace_id, span_id, anc, len(rank) AS depth FROM walk")
 def rpc_ancestor(spark, sf):
-    return topology.climb(repaired(spark, sf)).select("trace_id", "span_id", "anc", F.size("rank").alias("depth"))
+    return topology.climb(stage(repaired(spark, sf))).select("trace_id", "span_id", "anc", F.size("rank").alias("depth"))
 
 
 @query("topo_calls", _views(URL_CALLS) + """
