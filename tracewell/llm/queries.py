@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tracewell.llm import chat, exact_dups, fingerprints, token_files
+from tracewell.llm import chat, exact_dups, fingerprints, near_dups, packing, token_files
 from tracewell.session import new_path, prepare, stage
 
 QUERIES: dict = {}
@@ -53,6 +53,11 @@ def op3_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.conversation_digests(chat.parse_turns(formatted))
 
 
+@query("op4_near_dedup")
+def op4_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, folder, "documents"), shingle=2)
+
+
 @query("op5_exact_dedup", r"""
 WITH given AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents),
@@ -68,3 +73,9 @@ def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     return fingerprints.compare_edited(docs, token_files.id_bounds(docs.select("doc_id"), "doc_id", ranges))
+
+
+@query("op7_packing")
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 1)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
