@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tracewell.llm import chat, exact_dups, fingerprints, near_dups, packing, token_files
+from tracewell.llm import chat, exact_dups, fingerprints, language, near_dups, packing, token_files, toxicity
 from tracewell.session import new_path, prepare, stage
 
 QUERIES: dict = {}
@@ -32,6 +32,13 @@ def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query("op2_language")
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language.fit(docs.where(~language.held_out(F.col("doc_id"))))
+    return language.predict(docs, model).withColumn("held_out", language.held_out(F.col("doc_id")))
+
+
 @query("op3_chat_format", r"""
 WITH given AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -79,3 +86,11 @@ def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 1)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(toxicity.labelled_texts(docs, table(spark, folder, "labels")))
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    return toxicity.score(docs, model).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
