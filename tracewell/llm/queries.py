@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tracewell.llm import chat, exact_dups, fingerprints, language, near_dups, packing, token_files, toxicity
+from tracewell.llm import chat, exact_dups, fingerprints, language, near_dups, packing, pieces, token_files, toxicity
 from tracewell.session import new_path, prepare, stage
 
 QUERIES: dict = {}
@@ -94,3 +94,12 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     model = toxicity.fit(toxicity.labelled_texts(docs, table(spark, folder, "labels")))
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
     return toxicity.score(docs, model).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query("op10_pieces")
+def op10_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Every whole text encoded and decoded: number of pieces, crc32 of the ids, and whether the text came back."""
+    docs, model = table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model")
+    back = pieces.decode_pieces(pieces.encode_pieces(docs, model), model)
+    return back.select("doc_id", "n_pieces", F.crc32("ids").alias("ids_crc32"), F.char_length("text").cast("long").alias("n_chars"),
+                       F.sha2("text", 256).alias("text_sha256"))

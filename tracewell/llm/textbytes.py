@@ -171,7 +171,13 @@ class SeenUnits:
 
     def numbers(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The number of each data[start:end]; new ones are worked out first. Numbers hold until the next call."""
-        hashes = span_hashes(data, starts, ends)
+        def bring(at: np.ndarray) -> list[bytes]:
+            raw = data.tobytes()
+            return [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]
+        return self.numbers_of(span_hashes(data, starts, ends), bring)
+
+    def numbers_of(self, hashes: np.ndarray, bring: Callable[[np.ndarray], list]) -> np.ndarray:
+        """The same for any things told apart by their hashes; ``bring`` gives the things at some indices."""
         hashes[hashes == 0] = 1
         found = self._find(hashes)
         missing = np.flatnonzero(found < 0)
@@ -184,9 +190,7 @@ class SeenUnits:
                 while 2 * len(new) > self.size:
                     self.size *= 2
                     self._clear()
-            at = missing[first]
-            raw = data.tobytes()
-            self._store(self.work([raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]))
+            self._store(self.work(bring(missing[first])))
             self._insert(new)
             found = self._find(hashes)
         return found
