@@ -32,6 +32,7 @@ FOLD[[c for c in range(128) if not chr(c).isalpha()]] = 32
 OFFSETS = dict(zip(SIZES, np.cumsum([0, *SIZES.values()])[:-1].tolist()))
 TOTAL = sum(SIZES.values())
 UNKNOWN = "und"
+LEAST_SCORE = 0.3
 
 
 def presence(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -154,6 +155,26 @@ def fit(labelled: DataFrame) -> Model:
     return Model(languages, (landmarks.T @ (whiten @ ridge).astype(np.float32)).astype(np.float32), middle - centre @ ridge)
 
 
+def _predicted(model: Model, data: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text."""
+    letters = has_letter(data, offsets)
+    names, scores = [UNKNOWN] * (len(offsets) - 1), np.zeros(len(offsets) - 1)
+    if not model.languages:
+        return names, scores
+    for i, j, text, feature, weight in presence(data, offsets):
+        values = np.zeros((j - i, len(model.languages)))
+        product = model.table[feature] * weight[:, None].astype(np.float32)
+        for c in range(len(model.languages)):
+            values[:, c] = np.bincount(text, weights=product[:, c], minlength=j - i)
+        values += model.constant
+        share = np.exp(SHARPNESS * (values - values.max(axis=1, keepdims=True)))
+        share /= share.sum(axis=1, keepdims=True)
+        best = values.argmax(axis=1)
+        for k in np.flatnonzero(letters[i:j]).tolist():
+            names[i + k], scores[i + k] = model.languages[best[k]], share[k, best[k]]
+    return names, scores
+
+
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """One row per row of ``docs``: doc_id, lang_pred, score (0 to 1).
 
@@ -165,23 +186,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             data, offsets = text_buffer(batch.column("text"))
             for a, b in chunks(offsets):
-                at, part = offsets[a:b + 1] - offsets[a], data[offsets[a]:offsets[b]]
-                letters = has_letter(part, at)
-                names, scores = [UNKNOWN] * (b - a), np.zeros(b - a)
-                for i, j, text, feature, weight in presence(part, at):
-                    if not model.languages:
-                        continue
-                    values = np.zeros((j - i, len(model.languages)))
-                    product = model.table[feature] * weight[:, None].astype(np.float32)
-                    for c in range(len(model.languages)):
-                        values[:, c] = np.bincount(text, weights=product[:, c], minlength=j - i)
-                    values += model.constant
-                    share = np.exp(SHARPNESS * (values - values.max(axis=1, keepdims=True)))
-                    share /= share.sum(axis=1, keepdims=True)
-                    best = values.argmax(axis=1)
-                    for k in range(j - i):
-                        if letters[i + k]:
-                            names[i + k], scores[i + k] = model.languages[best[k]], share[k, best[k]]
+                names, scores = _predicted(model, data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(a, b - a), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                     ["doc_id", "lang_pred", "score"])
@@ -189,6 +194,23 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return base.mapInArrow(rows, "doc_id long, lang_pred string, score double")
 
 
+def drop_unknown(docs: DataFrame, model: Model, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``docs`` in a language the model tells from the others, all columns as they were.
+
+    Rejected are texts without a letter and those whose best language has a score under ``least``; nothing is shuffled. A
+    model that knows no language rejects every text.
+    """
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_buffer(batch.column("text"))
+            keep: list[bool] = []
+            for a, b in chunks(offsets):
+                names, scores = _predicted(model, data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+                keep += [n != UNKNOWN and v >= least for n, v in zip(names, scores.tolist())]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+    return docs.mapInArrow(rows, docs.schema)
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether a row is kept from fitting: crc32 of the id as text modulo 5 is 0."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))

@@ -312,6 +312,22 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return base.mapInArrow(rows, "doc_id long, score double, predicted int, matched array<string>, contexts array<string>")
 
 
+def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` that are not predicted toxic, all columns as they were; nothing is shuffled."""
+    def rows(batches):
+        found = matcher(model)
+        coefficients = np.array(model.coefficients)
+        for batch in batches:
+            data, offsets = text_buffer(batch.column("text"))
+            keep = []
+            for i, j in chunks(offsets):
+                _, per_text = found.matches(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                x = np.array([features(model, m) for m in per_text])
+                keep.append(1 / (1 + np.exp(-np.clip(x @ coefficients, -30, 30))) < THRESHOLD)
+            yield batch.filter(pa.array(np.concatenate(keep) if keep else [], pa.bool_()))
+    return docs.mapInArrow(rows, docs.schema)
+
+
 def labelled_texts(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> DataFrame:
     """(text, label) of the labelled rows outside the held-out quarter: crc32 of the id as text modulo 4 is not 2."""
     usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).where(
