@@ -13,6 +13,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tracewell.session import prepare, stage
+
 SALTS = 8
 
 
@@ -47,8 +49,10 @@ def exact_duplicates(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     empty, empty texts are copies of each other. The smallest doc_id of a content is kept; null ids come after all
     others (keep_id is null if a content has no other). Of repeated rows with one id and content, one is kept.
     """
+    prepare(docs.sparkSession)
     rows = _content(docs).groupBy("doc_id", "digest").agg(F.count("*").alias("rows"))
-    matched = rows.join(groups(docs, salts), "digest")
+    # a table of its own: the copies of one content then meet it in as many tasks as AQE splits them into
+    matched = rows.join(stage(groups(docs, salts), "contents"), "digest")
     each = matched.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
     return each.select("doc_id", "keep_id", "group_size",
                        (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
