@@ -1,15 +1,20 @@
-"""Connected components by alternating large-star and small-star rounds over edge tables."""
+"""Links within buckets by star-shaped candidates, and connected components of the links."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from tracewell.session import stage
 
 
-def _sum_up(edges: DataFrame) -> tuple:
-    # hashes are cut to 32 bits, so that their sum stays within a long
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").bitwiseAND(F.lit(0xFFFFFFFF)))).first())
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour at most, and none of these has one itself."""
+    ends = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.lit(None).cast(edges.schema["v"].dataType).alias("v")))
+    centre = F.max(F.col("v").isNull())
+    return ends.groupBy("u").agg(F.min("v").alias("low"), F.max("v").alias("high"), centre.alias("centre")).where(
+        "low != high OR centre AND low IS NOT NULL").isEmpty()
 
 
 def _star(pairs: DataFrame, larger_only: bool) -> DataFrame:
@@ -29,15 +34,52 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
     a table in the shared folder, and a number of rounds logarithmic in the longest path suffices.
     """
     a, b = F.col(left), F.col(right)
-    edges = stage(edges.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
-    seen = _sum_up(edges)
-    while seen[0]:
+    edges = stage(edges.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")), "edges")
+    while not _is_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _star(both, larger_only=True)
         edges = stage(_star(large, larger_only=False).where("u > v").distinct(), "edges")
-        now = _sum_up(edges)
-        if now == seen:
-            break
-        seen = now
+    edges = edges.distinct()
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+
+
+def _candidates(members: DataFrame, may_link: str, turn: int) -> DataFrame:
+    """Pairs (a, b) of a bucket's members with its centres, if their components differ and their sizes allow a link.
+
+    A centre is drawn by a hash of bucket, node and turn. The first turn also takes the smallest node, which groups of
+    near copies share over many buckets; with that, the only pair of a bucket of two is settled.
+    """
+    member = ["node", "n", "component"]
+    drawn = F.min(F.struct(F.xxhash64("bucket", "node", F.lit(turn)).alias("rank"), *member)).alias("drawn")
+    centres = members.groupBy("bucket").agg(drawn, F.min(F.struct(F.lit(0).cast("long").alias("rank"), *member)).alias("least"),
+                                            F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high"))
+    open_ones = centres.where("low < high" if turn == 0 else "low < high AND size > 2")
+    chosen = F.array("least", "drawn") if turn == 0 else F.array("drawn")
+    pairs = members.join(open_ones.select("bucket", chosen.alias("centres")), "bucket").select(*member, F.explode("centres").alias("c"))
+    fitting = pairs.where("component != c.component").withColumn("m", F.col("c.n")).where(may_link)
+    return fitting.select(F.greatest("node", "c.node").alias("a"), F.least("node", "c.node").alias("b")).distinct()
+
+
+def bucket_links(members: DataFrame, confirm: Callable[[DataFrame], DataFrame], may_link: str) -> tuple[DataFrame, DataFrame]:
+    """(links, components) of nodes that share buckets.
+
+    ``members``: bucket, node, n (a size); ``may_link`` is a condition on the sizes n and m of two nodes. ``confirm`` keeps of
+    (a, b) the pairs that are links. A bucket of k nodes gives at most 2 k candidates in the first turn, and k - 1 in
+    later ones. Buckets left with several components get other centres, drawn anew for each bucket and turn, until
+    a turn with drawn centres alone finds no further link.
+    """
+    links, found, current, turn = None, None, members.withColumn("component", F.col("node")), 0
+    while True:
+        pairs = stage(_candidates(current, may_link, turn), "pairs")
+        if links is not None and pairs.isEmpty():
+            break
+        confirmed = stage(confirm(pairs), "links")
+        if links is not None and confirmed.isEmpty():
+            break
+        links = confirmed if links is None else links.unionByName(confirmed)
+        found = stage(components(links, "a", "b"), "components")
+        joined = members.join(found, "node", "left")
+        current = stage(joined.select("bucket", "node", "n", F.coalesce("component", "node").alias("component")), "buckets")
+        turn += 1
+    return links.distinct(), found

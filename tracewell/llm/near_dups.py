@@ -4,10 +4,10 @@
    an empty bin copies the first non-empty bin of a random order of its own.
 2. ``ROWS`` bins make a band; documents with one band value share a bucket. With 42 bands of 6 a pair at
    resemblance 0.8 misses all buckets with chance (1 - 0.8^6)^42, about 3 in a million.
-3. Texts with equal sets are one node. In a bucket only pairs with its centre are candidates, so a bucket
-   of n gives n - 1 pairs. They are confirmed on the full sets.
-4. Buckets that still hold several components get other centres, chosen at random and different in each bucket,
-   until a round finds no further link.
+3. Texts with equal sets are one node. In a bucket only pairs with its centres, the smallest
+   node and one drawn at random, are candidates. They are confirmed on the full sets.
+4. Buckets that still hold several components get other centres, drawn at random and different in each bucket,
+   until a turn finds no further link.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tracewell.llm.components import components
+from tracewell.llm.components import bucket_links
 from tracewell.llm.shingles import overlap, shingle_sets
 from tracewell.llm.textbytes import chunks, mix, text_buffer
 from tracewell.session import prepare, stage
@@ -131,74 +131,36 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(rows, "a long, b long")
 
 
-def _candidates(members: DataFrame, similar: int, turn: int) -> DataFrame:
-    """Pairs (a, b) of a bucket's members with its centre, if their components differ and their sizes allow a link.
-
-    ``members``: bucket, node, n, component. The first turn's centre is the smallest node; later ones are drawn by a hash
-    of bucket, node and turn.
-    """
-    rank = F.lit(0).cast("long") if turn == 0 else F.xxhash64("bucket", "node", F.lit(turn))
-    centre = members.groupBy("bucket").agg(F.min(F.struct(rank.alias("rank"), "node", "n", "component")).alias("c"),
-                                           F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    pairs = members.join(centre.select("bucket", "c"), "bucket").where("component != c.component").where(
-        f"100 * least(n, c.n) >= {similar} * greatest(n, c.n)")
-    return pairs.select(F.greatest("node", "c.node").alias("a"), F.least("node", "c.node").alias("b")).distinct()
-
-
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similar: int = SIMILAR) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept, links.
 
     ``docs`` needs ``doc_id`` and ``text``; other columns are ignored, whatever their names. A text's set: the distinct
     ``shingle``-word sequences; with fewer words, the whole as one; null, empty and blank texts have an empty set
     and are linked with nothing. Documents with 100 * intersection >= ``similar`` * union are linked; component_id is the
-    smallest doc_id reachable, ``links`` the number of confirmed links of the document's set to other sets. Rows with one id
-    are one document, linked by each of its texts. A row with a null id is linked with nothing and kept.
+    smallest doc_id reachable, ``links`` the number of confirmed links of the document's set to other sets. Rows with one id and
+    several texts are linked text by text; texts with the same smallest id are one node. A row with a null id is linked with
+    nothing and kept.
     """
     prepare(docs.sparkSession)
     signed = stage(signatures(docs, shingle), "signatures")
     key = ["n_shingles", "set_a", "set_b"]
     whole = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = stage(whole.groupBy(*key).agg(F.min("doc_id").alias("node")), "classes")
-    nodes = whole.join(classes.withColumnRenamed("node", "doc_id"), ["doc_id", *key], "left_semi")
-    rows = nodes.select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"))
+    # texts with equal sets have equal bands
+    classes = stage(whole.groupBy(*key).agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")), "classes")
+    rows = classes.select(F.explode("bands").alias("bucket"), "node", F.col("n_shingles").alias("n"))
     shared = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket")
-    members = stage(rows.join(shared, "bucket", "left_semi").withColumn("component", F.col("node")), "buckets")
+    members = stage(rows.join(shared, "bucket", "left_semi"), "buckets")
     sets = stage(_sets(docs, members.select(F.col("node").alias("doc_id")).distinct(), shingle), "sets")
-    several = whole.groupBy("doc_id").agg(F.count_distinct(*key).alias("texts")).where("texts > 1").select("doc_id")
-    own = whole.join(several, "doc_id", "left_semi").join(classes, key).where("doc_id != node").select(
-        F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    links, found, current, turn, tested = stage(own.distinct(), "own-links"), None, members, 0, None
-    while True:
-        pairs = _candidates(current, similar, turn)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        if pairs.isEmpty():
-            break
-        confirmed = stage(_confirmed(pairs, sets, similar), "links")
-        fresh = not confirmed.isEmpty()
-        if not fresh and turn > 0:
-            break
-        links = links.unionByName(confirmed)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        if fresh:
-            found = stage(components(links, "a", "b"), "components")
-            joined = members.drop("component").join(found, "node", "left")
-            current = stage(joined.select("bucket", "node", "n", F.coalesce("component", "node").alias("component")), "buckets")
-        turn += 1
-    if found is None:
-        found = components(links, "a", "b")
+    links, found = bucket_links(members, lambda pairs: _confirmed(pairs, sets, similar),
+                                f"100 * least(n, m) >= {similar} * greatest(n, m)")
     ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
     degree = ends.groupBy("node").agg(F.count("*").alias("links"))
-    placed = classes.join(found, "node", "left").join(degree, "node", "left").select(
-        *key, F.coalesce("component", "node").alias("class_component"), F.coalesce("links", F.lit(0)).alias("links"))
-    of_doc = found.select(F.col("node").alias("doc_id"), F.col("component").alias("doc_component"))
-    result = signed.drop("bands").join(placed, key, "left").join(of_doc, "doc_id", "left")
-    component = F.when(F.col("n_shingles") == 0, F.coalesce("doc_component", "doc_id")).otherwise(
-        F.coalesce("doc_component", "class_component"))
-    result = result.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), component))
-    return result.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
-                         F.coalesce("links", F.lit(0)).alias("links"))
+    placed = stage(classes.join(found, "node", "left").join(degree, "node", "left").select(
+        *key, F.coalesce("component", "node").alias("component"), F.coalesce("links", F.lit(0)).alias("links")), "placed")
+    result = signed.drop("bands").join(placed, key, "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    return result.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"),
+                         F.when(F.col("doc_id").isNotNull(), F.coalesce("links", F.lit(0))).otherwise(0).alias("links"))
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similar: int = SIMILAR) -> DataFrame:
