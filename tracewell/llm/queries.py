@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tracewell.llm import chat, exact_dups, fingerprints, language, near_dups, packing, pieces, token_files, toxicity
+from tracewell.llm import chat, exact_dups, fingerprints, language, line_dups, near_dups, packing, pieces, token_files, toxicity
 from tracewell.session import new_path, prepare, stage
 
 QUERIES: dict = {}
@@ -96,6 +96,12 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+@query("op8_line_dedup")
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's lines: how many, how many stay, which go."""
+    return line_dups.repeated_lines(table(spark, folder, "documents"))
+
+
 @query("op10_pieces")
 def op10_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """Every whole text encoded and decoded: number of pieces, crc32 of the ids, and whether the text came back."""
