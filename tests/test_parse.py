@@ -76,8 +76,9 @@ def test_lateness_is_sixteen_minutes(make_spans):
     assert [r.span_id for r in S.not_late(df, now).collect()] == ["ok"]
 
 
-def test_bridge_splits_large_traces(make_spans):
+def test_bridge_gives_a_message_per_trace_and_batch(make_spans):
     df = make_spans(*[dict(id=str(i)) for i in range(40)], dict(id="0", trace="u"))
-    got = S.bridge(df, chunk=10).collect()
-    assert sum(r.spans for r in got) == 41 and len([r for r in got if r.trace_id == "t"]) > 1
+    got = S.bridge(df, F.col("span_id").cast("int") % 3).collect()
+    assert sum(r.spans for r in got) == 41 and sorted(r.part for r in got if r.trace_id == "t") == [0, 1, 2]
+    assert {(r.trace_id, r.part, r.spans) for r in S.bridge(df).collect()} == {("t", 0, 40), ("u", 0, 1)}
     assert {s["id"] for r in got for s in json.loads(r.value) if r.trace_id == "t"} == {str(i) for i in range(40)}

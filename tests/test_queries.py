@@ -1,19 +1,13 @@
-"""Registered queries against their SQL text. TRACEWELL_ALL=1 runs every query, else a fast selection."""
-
-import os
+"""Registered queries against their SQL text; the corpus operators have tests of their own."""
 
 import pytest
 
 from check import compare, engine
 from conftest import SMALL
-from __spark_entry__ import entry, oracle_sql, queries
-
-FAST = ["log_parse", "uri_count", "cost_hist", "rate_ewma", "geo_lookup", "span_decode", "quarantine", "slow_spans",
-        "metric_rows", "trace_forest", "topo_links", "topo_rows", "snapshot_15m", "panel_app_total", "alarm_match",
-        "win_tumbling_10s", "cdc_relay", "sink_daily"]
+from __spark_entry__ import CORPUS_QUERIES, entry, oracle_sql, queries
 
 
-@pytest.mark.parametrize("name", sorted(queries()) if os.environ.get("TRACEWELL_ALL") else FAST)
+@pytest.mark.parametrize("name", sorted(set(queries()) - set(CORPUS_QUERIES)))
 def test_query_equals_sql(spark, name):
     got = queries()[name](spark, SMALL).toPandas()
     sql = oracle_sql().get(name)

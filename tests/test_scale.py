@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tracewell.functions.scale import distribution, running_count, salted_lookup
+from tracewell.functions.scale import distribution, lookup, running_count
 from tracewell.operators import metrics, outliers, topology
 
 
@@ -15,12 +15,10 @@ def skewed(n=3000, seed=5):
     return [("hot" if rnd.random() < 0.34 else f"k{rnd.randrange(20)}", i, rnd.randrange(1, 50_000)) for i in range(n)]
 
 
-@pytest.mark.parametrize("values_per_key", [500_000, 1])
-def test_distribution_both_ways(spark, values_per_key):
+def test_distribution(spark):
     rows = skewed()
     df = spark.createDataFrame(rows, "k string, i long, v long")
-    got = distribution(df, ["k"], "v", (0.5, 0.99), width=700, sums={"odd": (F.col("v") % 2)},
-                       values_per_key=values_per_key).toPandas().set_index("k")
+    got = distribution(df, ["k"], "v", (0.5, 0.99), width=700, sums={"odd": (F.col("v") % 2)}).toPandas().set_index("k")
     want = pd.DataFrame(rows, columns=["k", "i", "v"]).groupby("k")["v"]
     for k, v in want:
         row = got.loc[k]
@@ -33,10 +31,16 @@ def test_distribution_both_ways(spark, values_per_key):
 
 def test_distribution_counts_nulls_apart(spark):
     df = spark.createDataFrame([("a", 1), ("a", None), ("b", None)], "k string, v long")
-    for limit in (500_000, 0):
-        got = {r.k: r for r in distribution(df, ["k"], "v", (0.5,), values_per_key=limit).collect()}
-        assert (got["a"].rows, got["a"].n, got["a"].p50) == (2, 1, 1.0)
-        assert (got["b"].rows, got["b"].n, got["b"].mean, got["b"].p50) == (1, 0, None, None)
+    got = {r.k: r for r in distribution(df, ["k"], "v", (0.5,)).collect()}
+    assert (got["a"].rows, got["a"].n, got["a"].p50) == (2, 1, 1.0)
+    assert (got["b"].rows, got["b"].n, got["b"].mean, got["b"].p50) == (1, 0, None, None)
+
+
+def test_distribution_of_many_large_values(spark):
+    """Sums beyond a long: 3 s in microseconds, seen four million million times."""
+    df = spark.createDataFrame([("a", 3_000_000, 4 * 10**12), ("a", 1_000_000, 4 * 10**12)], "k string, v long, c long")
+    got = distribution(df, ["k"], "v", (0.5,), weight="c").first()
+    assert (got.n, got.mean, got.stddev, got.p50) == (8 * 10**12, 2e6, 1e6, 2e6)
 
 
 def test_running_count_and_distribution_on_a_hot_key(spark):
@@ -52,10 +56,20 @@ def test_running_count_and_distribution_on_a_hot_key(spark):
     assert np.allclose(run["run_mean"], mean) and np.allclose(run["run_sd"], sd)
 
 
-def test_salted_lookup_matches_null_keys(spark):
+def test_lookup_matches_null_keys(spark):
     left = spark.createDataFrame([(None, 1), ("a", 2), ("b", 3)], "k string, i int")
     right = spark.createDataFrame([(None, 10), ("a", 20)], "k string, w int")
-    assert {(r.i, r.w) for r in salted_lookup(left, right, ["k"], ["i"]).collect()} == {(1, 10), (2, 20), (3, None)}
+    assert {(r.i, r.w) for r in lookup(left, right, ["k"]).collect()} == {(1, 10), (2, 20), (3, None)}
+
+
+def test_running_count_keeps_null_keys(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 1)], "k string, i long")
+    assert sorted(running_count(df, ["k"], ["i"]).collect(), key=repr) == sorted(df.withColumn("pos", F.col("i")).collect(), key=repr)
+
+
+def test_insert_absent_knows_null_keys(spark):
+    df = spark.createDataFrame([(None, "t", 1), ("a", "t", 1)], "app string, type string, v long")
+    assert outliers.insert_absent(df, df, ["app", "type"], ["v"]).count() == 0
 
 
 @pytest.mark.parametrize("from_zero", [False, True])
@@ -76,7 +90,7 @@ def test_rates_equal_the_tick_loop(spark):
     df = spark.createDataFrame([("k", base + e, i) for i, e in enumerate(events)], "k string, us long, i long")
     df = df.withColumn("ts", F.timestamp_micros("us"))
     end = F.timestamp_micros(F.lit(base + 900_000_000))
-    got = metrics.rates(df, ["k"], "ts", end, ["i"]).first()
+    got = metrics.rates(df, ["k"], "ts", end).first()
     ticks = (900_000_000 - events[0]) // 5_000_000
     for minutes, found in ((1, got.m1_rate), (5, got.m5_rate), (15, got.m15_rate)):
         a, rate = metrics.decay(minutes), None

@@ -1,10 +1,10 @@
-"""Rule conditions: JSON ``term`` and ``range`` clauses turned into column predicates."""
+"""Rule conditions: JSON ``term`` and ``range`` clauses as column predicates, or as columns of the rules."""
 
 from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Stored field names and the columns that hold them.
 FIELDS = {
@@ -32,6 +32,8 @@ def _clause(clause: dict) -> Column:
     if kind == "range":
         found = [getattr(column, _BOUNDS[b])(F.lit(v).cast("timestamp") if field == "createTime" else F.lit(v))
                  for b, v in spec.items() if b in _BOUNDS and v is not None]
+        if not found:
+            raise ValueError(f"range without a bound: {field}")
         result = found[0]
         for part in found[1:]:
             result = result & part
@@ -48,3 +50,65 @@ def predicate(condition: str) -> Column:
     for clause in clauses[1:]:
         result = result & clause
     return F.coalesce(result, F.lit(False))
+
+
+NUMERIC = ("duration", "create_time")
+_JSON = "array<struct<term:map<string,string>,range:map<string,map<string,string>>>>"
+
+
+def _number(column: Column, text: Column) -> Column:
+    """A bound as a number; times as microseconds."""
+    return F.when(column == "create_time", F.unix_micros(F.try_to_timestamp(text)).cast("double")).otherwise(text.try_cast("double"))
+
+
+def parsed(rules: DataFrame) -> DataFrame:
+    """Rules with their ``condition`` as columns: terms, ranges, and whether it is ``bad``.
+
+    Bad are conditions that are no list of ``term`` and ``range`` clauses, name an unknown field or bound nothing; one bad
+    rule does not hinder the others.
+    """
+    names = F.create_map(*[F.lit(x) for pair in FIELDS.items() for x in pair])
+    clauses = F.from_json(F.concat(F.lit("["), "condition", F.lit("]")), _JSON)
+    column = lambda field: F.element_at(names, F.regexp_replace(field, r"\.keyword$", ""))
+    entries = lambda kind: F.flatten(F.transform(
+        "_clauses", lambda c: F.coalesce(F.map_entries(c[kind]), F.map_entries(F.create_map()).cast(_entries[kind]))))
+    _entries = {"term": "array<struct<key:string,value:string>>", "range": "array<struct<key:string,value:map<string,string>>>"}
+    split = rules.withColumn("_clauses", clauses)
+    split = split.withColumn("_terms", entries("term")).withColumn("_ranges", entries("range"))
+    terms = F.transform("_terms", lambda e: F.struct(
+        column(e["key"]).alias("column"), F.coalesce(F.get_json_object(e["value"], "$.value"), e["value"]).alias("value")))
+
+    def bounds(e: Column) -> Column:
+        of = lambda *keys: F.coalesce(*[_number(column(e["key"]), e["value"][k]) for k in keys])
+        return F.struct(column(e["key"]).alias("column"), of("from", "gte").alias("at_least"), of("gt").alias("over"),
+                        of("to", "lte").alias("at_most"), of("lt").alias("under"))
+    done = split.withColumn("terms", terms).withColumn("ranges", F.transform("_ranges", bounds))
+    unknown = F.exists("terms", lambda t: t["column"].isNull() | t["value"].isNull()) | F.exists(
+        "ranges", lambda r: r["column"].isNull() | F.coalesce(r["at_least"], r["over"], r["at_most"], r["under"]).isNull())
+    odd = F.exists("_clauses", lambda c: c["term"].isNull() & c["range"].isNull())
+    empty = F.size("terms") + F.size("ranges") == 0
+    return done.withColumn("bad", F.coalesce(unknown | odd | empty, F.lit(True))).drop("_clauses", "_terms", "_ranges")
+
+
+def join_key() -> Column:
+    """What a hit must have for a parsed rule: its app, else its type, else nothing."""
+    of = lambda name: F.get(F.filter("terms", lambda t: t["column"] == name), F.lit(0))["value"]
+    return F.coalesce(F.concat(F.lit("app="), of("app")), F.concat(F.lit("type="), of("type")), F.lit(""))
+
+
+def hit_keys() -> Column:
+    """All keys under which rules can ask for a hit."""
+    return F.array(F.concat(F.lit("app="), "app"), F.concat(F.lit("type="), "type"), F.lit(""))
+
+
+def holds(fields: Column) -> Column:
+    """Whether all terms and ranges hold; ``fields`` maps column names to texts, numbers included."""
+    number = lambda name: F.element_at(fields, name).try_cast("double")
+    term = lambda t: F.when(t["column"].isin(*NUMERIC), number(t["column"]) == _number(t["column"], t["value"])).otherwise(
+        F.element_at(fields, t["column"]) == t["value"])
+
+    def inside(r: Column) -> Column:
+        v = number(r["column"])
+        return (F.coalesce(v >= r["at_least"], r["at_least"].isNull()) & F.coalesce(v > r["over"], r["over"].isNull())
+                & F.coalesce(v <= r["at_most"], r["at_most"].isNull()) & F.coalesce(v < r["under"], r["under"].isNull()) & v.isNotNull())
+    return F.coalesce(F.forall("terms", term) & F.forall("ranges", inside), F.lit(False))

@@ -9,18 +9,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tracewell.session import stage
 
 
-def salted_lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], spread: Sequence[str],
-                  how: str = "left", salts: int = 16) -> DataFrame:
-    """Join rows to a lookup table with one row per key, spreading each key over ``salts`` tasks.
-
-    ``spread`` names left columns whose hash picks the salt; the lookup side is repeated per salt,
-    so it should be an aggregate that is small next to the left side.
-    """
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+def lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join rows to a table with one row per key; null keys match. Hot keys are left to AQE's skew splitting."""
     extra = [c for c in right.columns if c not in keys]
-    on = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys] + [F.col("l._salt") == F.col("r._salt")]
-    return salted.alias("l").join(copies.alias("r"), on, how).select(
+    on = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
+    return left.alias("l").join(right.alias("r"), on, how).select(
         *[F.col(f"l.{c}").alias(c) for c in left.columns], *[F.col(f"r.{c}").alias(c) for c in extra])
 
 
@@ -59,7 +52,7 @@ def running_count(df: DataFrame, keys: Sequence[str], order: Sequence[str], name
     totals = cut.groupBy(*keys, "_slice").agg(F.count("*").alias("n"))
     prefix = slice_prefix(totals, keys, sums=["n"])
     within = Window.partitionBy(*keys, "_slice").orderBy(*order)
-    return (cut.join(prefix, [*keys, "_slice"])
+    return (lookup(cut, prefix, [*keys, "_slice"], "inner")
             .withColumn(name, F.col("before_n") + F.row_number().over(within))
             .drop("before_n", "_slice"))
 
@@ -71,66 +64,31 @@ def probability_name(p: float, prefix: str = "p") -> str:
 
 def distribution(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float] = (),
                  width: int = 10_000, sums: dict[str, Column] | None = None,
-                 weight: str | None = None, values_per_key: int = 500_000) -> DataFrame:
+                 weight: str | None = None) -> DataFrame:
     """Count, min, max, mean, deviation and exact percentiles of an integer column per key.
 
-    The rows are reduced to a histogram before the first shuffle. If no key has more than
-    ``values_per_key`` different values, the percentiles come from one grouping of the histogram;
-    otherwise from ranked cells, so that no task ever holds all values of a key. Both ways are exact.
-    ``sums`` adds further per-key sums of row expressions; ``weight`` names a column saying how many
-    rows each row stands for.
+    The rows are reduced to a histogram before the first shuffle, and the histogram to cells of ``width`` values. A
+    key's cells are ranked as a whole, and only the cells holding a wanted rank are opened: no task
+    sees more than the cells of a key or the values of a cell. ``sums`` adds further per-key sums of row
+    expressions; ``weight`` names a column saying how many rows each row stands for.
     """
     if not keys:
         whole_set = df.withColumn("_all_rows", F.lit(0))
         return distribution(whole_set, ["_all_rows"], value, probs, width, sums, weight).drop("_all_rows")
-    sums = sums or {}
-    keys = list(keys)
+    given, sums, keys = sums or {}, list(sums or {}), list(keys)
     hist = (df.groupBy(*keys, F.col(value).alias("_v"))
             .agg((F.count("*") if weight is None else F.sum(weight)).alias("_c"),
-                 *[F.sum(e).alias(n) for n, e in sums.items()]))
-    if probs:
-        hist = stage(hist, "histogram")
-        widest = hist.groupBy(*keys).agg(F.count("*").alias("d")).agg(F.max("d")).first()[0] or 0
-        if widest > values_per_key:
-            return _ranked_cells(hist, keys, probs, width, list(sums))
-    exact = "decimal(38,0)"
-    known = F.when(F.col("_v").isNotNull(), F.col("_c"))
-    marks = [F.percentile("_v", list(probs), F.col("_c")).alias("_p")] if probs else []
-    total = hist.groupBy(*keys).agg(
-        F.sum("_c").alias("rows"), F.coalesce(F.sum(known), F.lit(0)).alias("n"),
-        F.min("_v").alias("min"), F.max("_v").alias("max"),
-        F.sum((F.col("_v") * F.col("_c")).cast(exact)).cast(exact).alias("_s"),
-        F.sum((F.col("_v").cast("decimal(19,0)") * (F.col("_v") * F.col("_c")).cast("decimal(19,0)")).cast(exact))
-        .cast(exact).alias("_q"),
-        *[F.sum(n).alias(n) for n in sums], *marks)
-    n, mean = F.col("n").cast("decimal(19,0)"), F.col("_s").cast("double") / F.col("n")
-    pivot = F.floor(mean).cast("decimal(19,0)")
-    around = (F.col("_q") - 2 * pivot * F.col("_s") + n * pivot * pivot).cast("double") / F.col("n")
-    off = (F.col("_s") - n * pivot).cast("double") / F.col("n")
-    seen = F.col("n") > 0
-    return total.select(
-        *keys, "rows", "n", "min", "max", F.when(seen, mean).alias("mean"),
-        F.when(seen, F.sqrt(F.greatest(around - off * off, F.lit(0.0)))).alias("stddev"), *sums,
-        *[F.col("_p")[i].alias(probability_name(p)) for i, p in enumerate(probs)])
-
-
-def _ranked_cells(hist: DataFrame, keys: list[str], probs: Sequence[float], width: int,
-                  sums: Sequence[str]) -> DataFrame:
-    """The summary of ``distribution`` from a histogram too wide to group by key.
-
-    The histogram is cut into cells of ``width`` values. A key's cells are ranked as a whole, and only
-    the cells holding a wanted rank are opened: no task sees more than the cells of a key or the values
-    of a cell.
-    """
+                 *[F.sum(e).alias(n) for n, e in given.items()]))
     hist = hist.withColumn("_cell", F.floor(F.col("_v") / F.lit(width)).cast("long"))
     offset = F.col("_v") - F.col("_cell") * width
-    exact = "decimal(38,0)"
+    exact, part = "decimal(38,0)", "decimal(18,0)"
+    times = F.col("_c").cast("decimal(19,0)")   # factors are widened first: their product may exceed a long
     cells = hist.groupBy(*keys, "_cell").agg(
         F.sum("_c").alias("_all"),
         F.sum(F.when(F.col("_v").isNotNull(), F.col("_c"))).alias("_n"),
         F.min("_v").alias("_min"), F.max("_v").alias("_max"),
-        F.sum((offset * F.col("_c")).cast(exact)).cast(exact).alias("_s"),
-        F.sum((offset * offset * F.col("_c")).cast(exact)).cast(exact).alias("_q"),
+        F.sum(offset.cast(part) * times).cast(exact).alias("_s"),
+        F.sum((offset * offset).cast(part) * times).cast(exact).alias("_q"),
         *[F.sum(n).alias(n) for n in sums],
     )
     whole = Window.partitionBy(*keys)
@@ -139,7 +97,7 @@ def _ranked_cells(hist: DataFrame, keys: list[str], probs: Sequence[float], widt
     cells = (cells
              .withColumn("_total", F.sum("_n").over(whole))
              .withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-             .withColumn("_mean", F.sum((origin * F.col("_n")).cast(exact) + F.col("_s")).over(whole)
+             .withColumn("_mean", F.sum(origin.cast("decimal(19,0)") * F.col("_n").cast("decimal(18,0)") + F.col("_s")).over(whole)
                          .cast("double") / F.col("_total")))
     shift = origin - F.col("_mean")
     squares = F.col("_q").cast("double") + 2 * shift * F.col("_s").cast("double") + F.col("_n") * shift * shift
@@ -150,6 +108,8 @@ def _ranked_cells(hist: DataFrame, keys: list[str], probs: Sequence[float], widt
         F.sqrt(F.greatest(F.sum(squares), F.lit(0.0)) / F.max("_total")).alias("stddev"),
         *[F.sum(n).alias(n) for n in sums],
     )
+    if not probs:
+        return stats
 
     def position(p: float, total: Column) -> Column:
         return F.lit(p) * (total - 1)

@@ -5,13 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Row, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tracewell.functions import conditions
 from tracewell.operators.search import newest
 
-RULES_PER_SCAN = 500
-
 
 def enabled(rules: DataFrame, flag: bool | None = True) -> DataFrame:
     """Rules with the given enable flag; no flag means all."""
@@ -24,41 +22,35 @@ def upsert(rules: DataFrame, version: str) -> DataFrame:
     return rules.groupBy("id").agg(F.max_by(F.struct(*rest), version).alias("_r")).select("id", "_r.*")
 
 
-def load_rules(rules: DataFrame, limit: int = 10_000) -> list[Row]:
-    """Enabled rules on the driver, where they become column predicates. Rules are configuration:
-    more than ``limit`` of them is refused rather than cut."""
-    found = enabled(rules).orderBy("id").limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"more than {limit} enabled rules")
-    return found
-
-
-def _matching(hits: DataFrame, rules: Sequence[Row], extra: Column | None = None) -> DataFrame:
-    """Hits with one output row per rule they satisfy, in one scan per group of rules."""
-    parts = []
-    for at in range(0, len(rules), RULES_PER_SCAN):
-        found = F.array_compact(F.array(*[
-            F.when(conditions.predicate(r["condition"]), F.struct(
-                F.lit(r["id"]).alias("rule_id"), F.lit(r["frequency"]).alias("frequency"),
-                F.lit(r["throttle"]).alias("throttle"), F.lit(r["threshold"]).alias("threshold")))
-            for r in rules[at:at + RULES_PER_SCAN]]))
-        parts.append(hits.select("*", F.inline(found)))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result if extra is None else result.where(extra)
-
-
-def match(hits: DataFrame, rules: Sequence[Row], now: str, size: int = 20) -> DataFrame:
+def bad_rules(rules: DataFrame) -> DataFrame:
+    """Enabled rules whose condition cannot be evaluated."""
+    return conditions.parsed(enabled(rules)).where("bad").select("id", "condition")
+
+
+def _matching(hits: DataFrame, rules: DataFrame) -> DataFrame:
+    """Hits with one output row per enabled rule they satisfy.
+
+    Rules and hits are joined on what a rule's terms ask for; the other terms and the ranges are checked on the joined
+    rows. Bad rules match nothing (see ``bad_rules``); without rules there are no rows.
+    """
+    fields = F.create_map(*[x for name in dict.fromkeys(conditions.FIELDS.values()) for x in (
+        F.lit(name), (F.unix_micros(name) if name == "create_time" else F.col(name)).cast("string"))])
+    asked = conditions.parsed(enabled(rules)).where("NOT bad").select(
+        conditions.join_key().alias("_key"), F.col("id").alias("rule_id"), "frequency", "throttle", "threshold", "terms", "ranges")
+    keyed = hits.withColumn("_key", F.explode(conditions.hit_keys()))
+    return keyed.join(asked, "_key").where(conditions.holds(fields)).drop("_key", "terms", "ranges")
+
+
+def match(hits: DataFrame, rules: DataFrame, now: str, size: int = 20) -> DataFrame:
     """The newest hits of each rule within its frequency before ``now``."""
     at = F.lit(now).cast("timestamp")
-    recent = _matching(hits, rules, (F.col("create_time") >= at - F.make_dt_interval(secs=F.col("frequency")))
-                       & (F.col("create_time") <= at))
+    recent = _matching(hits, rules).where((F.col("create_time") >= at - F.make_dt_interval(secs=F.col("frequency")))
+                                          & (F.col("create_time") <= at))
     order = [F.desc("create_time"), F.desc("duration"), F.asc("trace_id"), F.asc("span_id"), F.asc("row_key")]
     return newest(recent, ["rule_id"], order, size)
 
 
-def match_ticks(hits: DataFrame, rules: Sequence[Row], start: str, tick: int = 60) -> DataFrame:
+def match_ticks(hits: DataFrame, rules: DataFrame, start: str, tick: int = 60) -> DataFrame:
     """Evaluation times at which a rule runs and finds hits, with how many.
 
     A rule runs every ``frequency`` rounded up to whole ticks from ``start`` on and sees the hits of the

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tracewell.functions import expressions as E
-from tracewell.functions.scale import distribution, probability_name, salted_lookup
+from tracewell.functions.scale import distribution, lookup, probability_name
 
 PERCENTILES = (0.5, 0.75, 0.95, 0.98, 0.99, 0.999)
 TICK = 5  # seconds between rate updates
@@ -43,19 +43,21 @@ def decay(minutes: int) -> float:
     return 1 - math.exp(-TICK / (60.0 * minutes))
 
 
-def rates(df: DataFrame, keys: Sequence[str], ts: str, end: Column, spread: Sequence[str],
-          minutes: Sequence[int] = (1, 5, 15), weight: str | None = None) -> DataFrame:
+def rates(df: DataFrame, keys: Sequence[str], ts: str, end: Column, minutes: Sequence[int] = (1, 5, 15),
+          weight: str | None = None) -> DataFrame:
     """Mean rate and moving rates per key up to the report time ``end`` (an expression over the keys).
 
     Ticks of five seconds run from the key's first event. Only ticks complete at ``end`` count; the
-    first one seeds the average, each later one decays it.
+    first one seeds the average, each later one decays it. Rows are reduced to counts per key and time once; both
+    the first event and the ticks come from these.
     """
     keys = list(keys)
-    first = df.groupBy(*keys).agg(F.min(ts).alias("_t0"))
     amount = F.count("*") if weight is None else F.sum(weight)
-    ticks = (salted_lookup(df, first, keys, spread, "inner")
-             .withColumn("_k", F.floor((F.unix_micros(ts) - F.unix_micros("_t0")) / F.lit(TICK * 1_000_000)))
-             .groupBy(*keys, "_t0", "_k").agg(amount.alias("_n")))
+    moments = df.groupBy(*keys, F.col(ts).alias("_t")).agg(amount.alias("_m"))
+    first = moments.groupBy(*keys).agg(F.min("_t").alias("_t0"))
+    ticks = (lookup(moments, first, keys, "inner")
+             .withColumn("_k", F.floor((F.unix_micros("_t") - F.unix_micros("_t0")) / F.lit(TICK * 1_000_000)))
+             .groupBy(*keys, "_t0", "_k").agg(F.sum("_m").alias("_n")))
     elapsed = F.unix_micros(end) - F.unix_micros("_t0")
     ticks = ticks.withColumn("_ticks", F.floor(elapsed / F.lit(TICK * 1_000_000)))
     n, k = F.col("_ticks"), F.col("_k")
@@ -71,8 +73,7 @@ def rates(df: DataFrame, keys: Sequence[str], ts: str, end: Column, spread: Sequ
         *moving)
 
 
-def endpoint_metrics(spans: DataFrame, keys: Sequence[str], interval_end: Column | None = None,
-                     spread: Sequence[str] = ("trace_id", "span_id")) -> DataFrame:
+def endpoint_metrics(spans: DataFrame, keys: Sequence[str], interval_end: Column | None = None) -> DataFrame:
     """One metric row per key: totals, 15-minute rate, latency summary, failures and failure rate.
 
     Counts, failures and latency come out of one histogram pass.
@@ -86,7 +87,7 @@ def endpoint_metrics(spans: DataFrame, keys: Sequence[str], interval_end: Column
         E.error_rate(F.col("errors"), F.col("rows")).alias("error_rate"))
     if interval_end is None:
         return shaped
-    moving = rates(spans, keys, "ts", interval_end, spread, (15,)).select(*keys, F.col("m15_rate").alias("qps"))
+    moving = rates(spans, keys, "ts", interval_end, (15,)).select(*keys, F.col("m15_rate").alias("qps"))
     on = [F.col(f"b.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
     return shaped.alias("b").join(moving.alias("r"), on, "left").select(
         "b.*", "r.qps", F.col("r.qps").alias("qps_max"))

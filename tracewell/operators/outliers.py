@@ -98,4 +98,7 @@ def insert_absent(new: DataFrame, existing: DataFrame | None, keys: Sequence[str
     rest = [c for c in new.columns if c not in keys]
     first = new.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_r"))
     unique = first.select(*keys, "_r.*").select(*new.columns)
-    return unique if existing is None else unique.join(existing.select(*keys), keys, "left_anti")
+    if existing is None:
+        return unique
+    on = [F.col(f"n.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
+    return unique.alias("n").join(existing.select(*keys).alias("s"), on, "left_anti")

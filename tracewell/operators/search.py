@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tracewell.functions import expressions as E
-from tracewell.functions.scale import salted_lookup, distribution
+from tracewell.functions.scale import distribution, lookup
 
 
 def snapshots(metrics: DataFrame, at: str = "day") -> DataFrame:
@@ -24,7 +24,7 @@ def snapshots(metrics: DataFrame, at: str = "day") -> DataFrame:
 
 
 def day_to_date(requests: DataFrame, keys: Sequence[str], ts: str, value: str, probs: Sequence[float],
-                seconds: int = 900, spread: Sequence[str] = (), width: int = 1000) -> DataFrame:
+                seconds: int = 900, width: int = 1000) -> DataFrame:
     """Per interval: its own count, and the latency summary of the day up to the interval's end.
 
     Rows become per-interval histograms first; each histogram row then counts in its own interval and
@@ -35,11 +35,11 @@ def day_to_date(requests: DataFrame, keys: Sequence[str], ts: str, value: str, p
             .agg(F.count("*").alias("_count")).withColumn("_day", F.to_date("w")))
     counts = hist.groupBy(*keys, "w").agg(F.sum("_count").alias("total"))
     active = hist.groupBy(*keys, "_day").agg(F.collect_set("w").alias("_active"))
-    until = salted_lookup(hist, active, [*keys, "_day"], ["_value", *spread], "inner").withColumn(
+    until = lookup(hist, active, [*keys, "_day"], "inner").withColumn(
         "_w", F.explode(F.filter("_active", lambda a: a >= F.col("w"))))
     summary = distribution(until.select(*keys, F.col("_w").alias("w"), "_value", "_count"), [*keys, "w"], "_value",
                            probs, width, weight="_count").drop("rows")
-    return counts.join(summary, [*keys, "w"])
+    return lookup(counts, summary, [*keys, "w"], "inner")
 
 
 def nested_rows(docs: DataFrame, column: str = "spans") -> DataFrame:

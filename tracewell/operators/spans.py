@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tracewell.functions import expressions as E
-from tracewell.functions.scale import running_count, salted_lookup
+from tracewell.functions.scale import running_count
 
 ORDER = ["ts", "span_id", "kind", "row_key"]
 
@@ -54,16 +54,14 @@ def trace_sorted(spans: DataFrame) -> DataFrame:
     return running_count(spans, ["trace_id"], ORDER)
 
 
-def bridge(spans: DataFrame, chunk: int = 10_000) -> DataFrame:
+def bridge(spans: DataFrame, batch: Column | None = None) -> DataFrame:
     """Regroup distinct spans into ``(trace_id, part, value)`` messages, value being a JSON array.
 
-    A trace above ``chunk`` spans is emitted as several messages under the same key, so that
-    no message and no task holds a whole oversized trace.
+    There is one message per trace and incoming batch; ``batch`` numbers the batches of the rows, and the number is the
+    message's ``part``. Without it all rows are one batch.
     """
-    unique = distinct_spans(spans)
-    sizes = unique.groupBy("trace_id").agg(F.count("*").alias("n"))
-    parts = salted_lookup(unique, sizes, ["trace_id"], ["span_id", "row_key"], "inner").withColumn(
-        "part", F.pmod(F.xxhash64("span_id", "row_key"), F.ceil(F.col("n") / chunk)).cast("int"))
+    numbered = spans.withColumn("part", F.lit(0) if batch is None else batch.cast("int"))
+    parts = numbered.dropDuplicates(["trace_id", "span_id", "row_key"])
     wire = F.struct(
         F.col("trace_id").alias("traceId"), F.col("span_id").alias("id"), F.col("parent_id").alias("parentId"),
         "kind", "name", F.unix_micros("ts").alias("timestamp"), "duration",

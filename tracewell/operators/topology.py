@@ -9,15 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tracewell.functions import expressions as E
-from tracewell.functions.scale import salted_lookup
+from tracewell.functions.scale import lookup, ordered_slices
 from tracewell.operators.metrics import rates
 from tracewell.operators.spans import distinct_spans, order_key
 from tracewell.session import stage
 
 KEY = ["trace_id", "span_id"]
-# A value this far back weighs less than 1e-300, so it cannot change a mean held in double precision.
-# At 1000, Spark still applies the rank limit before the shuffle.
-FOLD_DEPTH = 1000
 
 
 def prune_orphans(spans: DataFrame) -> DataFrame:
@@ -85,7 +82,7 @@ def repair(merged: DataFrame) -> DataFrame:
     """
     roots = (merged.where("rootless_o is not null and last_parent is null").groupBy("trace_id")
              .agg(F.min_by("span_id", "rootless_o").alias("root_id")))
-    rooted = salted_lookup(merged, roots, ["trace_id"], ["span_id"])
+    rooted = lookup(merged, roots, ["trace_id"])
     present = merged.select("trace_id", F.col("span_id").alias("last_parent"), F.lit(True).alias("_present"))
     linked = rooted.join(present, ["trace_id", "last_parent"], "left")
     return linked.withColumn("is_root", F.coalesce(F.col("span_id") == F.col("root_id"), F.lit(False))).withColumn(
@@ -166,20 +163,27 @@ def linked_calls(spans: DataFrame, style: str = "url", prune: bool = True) -> Da
 
 def pairwise_mean(rows: DataFrame, keys: list[str], order: list[Column], value: Column,
                   from_zero: bool = False) -> DataFrame:
-    """Running ``(mean + x) / 2`` over the ordered values of each key, as one weighted sum.
+    """Running ``(mean + x) / 2`` over the ordered values of each key.
 
-    The k-th newest value weighs ``1/2**(k)``; only so many newest values as can still matter in double
-    precision are ranked, and that limit is applied before rows are shuffled.
+    The fold is associative: a run of n values is the pair of n and the sum of x / 2^k, k counting from its newest
+    value. Each key is cut into consecutive slices, a pair is made of each, and the pairs are combined, so
+    no task sorts a whole key and every value counts.
     """
-    marked = rows.withColumn("_x", value.cast("double"))
-    sizes = marked.groupBy(*keys).agg(F.count("_x").alias("_size"))
-    newest = Window.partitionBy(*keys).orderBy(*[c.desc() for c in order])
-    ranked = marked.where("_x is not null").withColumn("_k", F.row_number().over(newest)).where(
-        F.col("_k") <= FOLD_DEPTH)
-    sums = ranked.join(sizes, keys).withColumn(
-        "_w", F.pow(F.lit(0.5), F.when((F.col("_k") == F.col("_size")) & F.lit(not from_zero), F.col("_k") - 1)
-                    .otherwise(F.col("_k"))))
-    return sums.groupBy(*keys).agg(F.sum(F.col("_x") * F.col("_w")).alias("cost"))
+    names = [f"_o{i}" for i in range(len(order))]
+    narrow = rows.select(*keys, *[o.alias(n) for o, n in zip(order, names)], value.cast("double").alias("_x")).where("_x is not null")
+    cut = ordered_slices(narrow, keys, names)
+    newest = Window.partitionBy(*keys, "_slice").orderBy(*[F.desc(n) for n in names], F.desc("_x"))
+    weighed = cut.withColumn("_k", F.row_number().over(newest))
+    runs = weighed.groupBy(*keys, "_slice").agg(
+        F.count("*").alias("_n"), F.sum(F.col("_x") * F.pow(F.lit(0.5), F.col("_k"))).alias("_s"), F.max_by("_x", "_k").alias("_oldest"))
+    later = Window.partitionBy(*keys).orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
+    placed = runs.withColumn("_after", F.coalesce(F.sum("_n").over(later), F.lit(0)))
+    total = placed.groupBy(*keys).agg(
+        F.sum(F.col("_s") * F.pow(F.lit(0.5), F.col("_after"))).alias("cost"), F.sum("_n").alias("_n"),
+        F.min_by("_oldest", "_slice").alias("_oldest"))
+    # the first value starts the mean: it weighs as much as the empty mean before it and itself
+    start = F.lit(0.0) if from_zero else F.col("_oldest") * F.pow(F.lit(0.5), F.col("_n"))
+    return total.select(*keys, (F.col("cost") + start).alias("cost"))
 
 
 def trace_links(calls: DataFrame) -> DataFrame:
@@ -210,12 +214,12 @@ def topology_rows(links: DataFrame, minutes: int = 1) -> DataFrame:
     totals = binned.groupBy(*keys).agg(
         F.sum("call_count").alias("count"), F.sum("error_count").alias("errors"),
         F.avg(F.col("cost").cast("long")).alias("cost"))
-    moving = rates(binned, keys, "ts", F.col("w_start") + F.expr(f"INTERVAL {width} SECONDS"), ["trace_id"], (1,),
+    moving = rates(binned, keys, "ts", F.col("w_start") + F.expr(f"INTERVAL {width} SECONDS"), (1,),
                    "call_count").select(*keys, F.col("m1_rate").alias("qps"))
     p_app, p_type, p_url, _ = E.node_parts(F.col("parent"))
     c_app, _, c_url, c_typed = E.node_parts(F.col("child"))
     return totals.join(moving, keys).select(
-        F.expr("uuid()").alias("id"), F.col("w_start").alias("create_time"),
+        F.md5(F.concat_ws("\u0001", F.unix_micros("w_start").cast("string"), "parent", "child")).alias("id"), F.col("w_start").alias("create_time"),
         p_app.alias("parent_app"), p_url.alias("parent_url"), c_app.alias("child_app"),
         F.when(c_typed, c_url).otherwise(p_url).alias("child_url"), p_type.alias("type"),
         "count", "qps", "cost", "errors", E.error_rate(F.col("errors"), F.col("count"), 0.0).alias("error_rate"))

@@ -74,7 +74,7 @@ SELECT rule_id, rank, trace_id, span_id, row_key, type, create_time FROM (
   SELECT *, row_number() OVER (PARTITION BY rule_id ORDER BY {ORDER}) AS rank FROM m
   WHERE create_time >= TIMESTAMP '{NOW}' - to_seconds(frequency) AND create_time <= TIMESTAMP '{NOW}') WHERE rank <= 20""")
 def alarm_match(spark, sf):
-    found = alarms.match(kept(spark, sf), alarms.load_rules(rules(spark, sf)), NOW)
+    found = alarms.match(kept(spark, sf), rules(spark, sf), NOW)
     return found.select("rule_id", "rank", "trace_id", "span_id", "row_key", "type", "create_time")
 
 
@@ -82,7 +82,7 @@ def alarm_match(spark, sf):
 SELECT app, type, trace_id, span_id, row_key, duration, create_time FROM v_trace_hit
 WHERE type = 'COST' AND duration >= 3000000 ORDER BY {ORDER} LIMIT 20""")
 def alarm_test(spark, sf):
-    condition = '{"term":{"type.keyword":"COST"}},{ "range" : { "children.duration" : {"from": 3000000}}}'
+    condition = '{"range":{"span.duration":{"gte":3000000}}},{"term":{"type":"COST"}}'
     order = [F.desc("create_time"), F.desc("duration"), F.asc("trace_id"), F.asc("span_id"), F.asc("row_key")]
     found = kept(spark, sf).where(conditions.predicate(condition))
     return search.page(found, order).select("app", "type", "trace_id", "span_id", "row_key", "duration", "create_time")
@@ -104,7 +104,7 @@ fold AS (
 
 
 def fired(spark: SparkSession, sf: str) -> DataFrame:
-    ticks = alarms.match_ticks(kept(spark, sf), alarms.load_rules(rules(spark, sf)), START, 86_400)
+    ticks = alarms.match_ticks(kept(spark, sf), rules(spark, sf), START, 86_400)
     return alarms.throttle(ticks)
 
 
@@ -160,7 +160,7 @@ binned AS (SELECT app, uri, to_timestamp(epoch_us(ts) // 900000000 * 900)::TIMES
 
 def quarters(spark: SparkSession, sf: str) -> DataFrame:
     binned = derived.access(spark, sf).withColumn("w", E.bucket_start(F.col("ts"), 900))
-    rated = metrics.rates(binned, ["app", "uri", "w"], "ts", F.col("w") + F.expr("INTERVAL 15 MINUTES"), ["event_id"], (15,))
+    rated = metrics.rates(binned, ["app", "uri", "w"], "ts", F.col("w") + F.expr("INTERVAL 15 MINUTES"), (15,))
     return rated.select("app", "uri", F.unix_seconds("w").alias("t"), F.round("m15_rate", 6).alias("v"))
 
 

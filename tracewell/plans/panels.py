@@ -51,7 +51,7 @@ def meters(spark: SparkSession, sf: str) -> DataFrame:
     """Rate report rows of the request metrics, one per name and quarter hour."""
     binned = derived.access(spark, sf).withColumn("w", E.bucket_start(F.col("ts"), 900))
     end = F.col("w") + F.expr("INTERVAL 15 MINUTES")
-    rated = metrics.rates(binned, ["app", "uri", "w"], "ts", end, ["event_id"])
+    rated = metrics.rates(binned, ["app", "uri", "w"], "ts", end)
     return rated.select(E.request_metric_name(F.col("app"), F.col("uri")).alias("name"), end.alias("report_time"),
                         F.col("total").alias("count"), "m1_rate", "m5_rate", "m15_rate")
 

@@ -120,7 +120,7 @@ SELECT app, uri, w, total, round(mean_rate, 6) AS mean_rate, round(m1_rate, 6) A
        round(m5_rate, 6) AS m5_rate, round(m15_rate, 6) AS m15_rate FROM rated""")
 def rate_ewma(spark, sf):
     binned = derived.access(spark, sf).withColumn("w", E.bucket_start(F.col("ts"), 900))
-    out = metrics.rates(binned, ["app", "uri", "w"], "ts", F.col("w") + F.expr("INTERVAL 15 MINUTES"), ["event_id"])
+    out = metrics.rates(binned, ["app", "uri", "w"], "ts", F.col("w") + F.expr("INTERVAL 15 MINUTES"))
     return rounded(out, "mean_rate", "m1_rate", "m5_rate", "m15_rate", places=6)
 
 

@@ -79,7 +79,7 @@ WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20' AND http_code
 def scan_results(spark, sf):
     """A daily result table read back for some of its days."""
     path = new_path(spark, "results")
-    writers.write_daily(derived.access(spark, sf), path, "ts", files_per_day=2)
+    writers.write_daily(derived.access(spark, sf), path, "ts")
     return readers.read_results(spark, path, F.col("http_code") == 500, "2024-01-10", "2024-01-19").select(
         "event_id", "uri", "cost_ms")
 
@@ -110,7 +110,7 @@ def sink_value(spark, sf):
 SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, event_id, uri FROM v_access""")
 def sink_daily(spark, sf):
     path = new_path(spark, "daily")
-    writers.write_daily(derived.access(spark, sf).select("event_id", "uri", "ts"), path, "ts", "json", 2)
+    writers.write_daily(derived.access(spark, sf).select("event_id", "uri", "ts"), path, "ts", "json")
     return spark.read.schema("event_id long, uri string, ts timestamp, day date").json(path).select(
         F.col("day").cast("timestamp").alias("day"), "event_id", "uri")
 
@@ -191,7 +191,7 @@ def cdc_relay(spark, sf):
     records = parse.change_records(raw)
     relayed = parse.keyed_json(records, F.col("msg_key")).withColumn("arrived", F.current_timestamp())
     path = new_path(spark, "relay")
-    runs.run_available(relayed, lambda batch, _: writers.write_daily(batch, path, "arrived"))
+    runs.run_available(relayed, writers.daily_by_batch(path, "arrived"))
     return spark.read.parquet(path).select(
         "key", F.get_json_object("value", "$.action").alias("action"),
         F.get_json_object("value", "$.fields.o_custkey").alias("custkey"))
@@ -202,14 +202,14 @@ def cdc_relay(spark, sf):
 @query("win_tumbling_10s", ACCESS + f"""
 SELECT {_tumbling(10)} AS w_start, upper(app) || '-' || uri AS key, CAST(count(*) AS VARCHAR) AS value FROM v_access GROUP BY 1, 2""")
 def win_tumbling_10s(spark, sf):
-    counted = windows.windowed_counts(access_stream(spark, sf), "ts", _app_uri(), "10 seconds")
+    counted = windows.windowed_counts(access_stream(spark, sf), "ts", _app_uri(), "10 seconds", late="1 hour")
     done = runs.latest(runs.run_to_table(counted, "update"), ["w_start", "w_end", "key"])
     return done.select("w_start", "key", F.col("n").cast("string").alias("value"))
 
 
 @query("win_fixed_5s", ACCESS + f"SELECT {_tumbling(5)} AS w_start, uri AS key, count(*) AS n FROM v_access GROUP BY 1, 2")
 def win_fixed_5s(spark, sf):
-    counted = windows.windowed_counts(access_stream(spark, sf), "ts", F.col("uri"), "5 seconds")
+    counted = windows.windowed_counts(access_stream(spark, sf), "ts", F.col("uri"), "5 seconds", late="1 hour")
     return runs.latest(runs.run_to_table(counted, "update"), ["w_start", "w_end", "key"]).select("w_start", "key", "n")
 
 
@@ -240,8 +240,8 @@ def running_count(spark, sf):
 
 # --- stateful
 
-# all derived spans lie at midnight, so the session of a trace is its day
-CLOSED = """day_span AS (SELECT * REPLACE (trace_id || '@' || strftime(ts, '%Y%m%d') AS trace_id) FROM v_span
+# all derived spans lie at midnight, so a session of a trace starts with its day
+CLOSED = """day_span AS (SELECT * REPLACE (trace_id || '@' || strftime(ts, '%Y%m%d%H%M%S%f') AS trace_id) FROM v_span
   WHERE ts + INTERVAL 16 MINUTE <= (SELECT max(ts) FROM v_span))"""
 
 
@@ -253,7 +253,7 @@ def closed_traces(spark: SparkSession, sf: str, writer) -> None:
         sessions = stage(batch, "sessions")
         if not sessions.isEmpty():
             found = traces.session_spans(sessions, stored)
-            named = F.concat("trace_id", F.lit("@"), F.date_format("session_start", "yyyyMMdd"))
+            named = F.concat("trace_id", F.lit("@"), F.date_format("session_start", "yyyyMMddHHmmssSSSSSS"))
             writer(found.withColumn("trace_id", named).drop("session_start", "session_end"), batch_id)
     runs.run_available(traces.closed_sessions(span_stream(spark, sf)), write)
 
@@ -282,7 +282,7 @@ def stream_topology(spark, sf):
 def stream_alarms(spark, sf):
     """Alarm throttling as a stream over the rules' matches."""
     path = new_path(spark, "matches")
-    ticks = alarms.match_ticks(kept(spark, sf), alarms.load_rules(rules(spark, sf)), START, 86_400)
+    ticks = alarms.match_ticks(kept(spark, sf), rules(spark, sf), START, 86_400)
     ticks.write.parquet(path)
     schema = spark.read.parquet(path).schema
     fired = stateful.throttle_stream(spark.readStream.schema(schema).parquet(path))

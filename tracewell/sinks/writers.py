@@ -38,16 +38,16 @@ def with_day(df: DataFrame, ts: str) -> DataFrame:
     return df.withColumn("day", F.to_date(ts))
 
 
-def write_daily(df: DataFrame, path: str, ts: str, form: str = "parquet", files_per_day: int = 8) -> None:
-    """Append to a table with one folder per day, each day over several writers."""
-    dated = with_day(df, ts)
-    spread = F.pmod(F.xxhash64(*[c for c in df.columns if _hashable(df, c)]), F.lit(files_per_day))
-    (dated.withColumn("_w", spread).repartition("day", "_w").drop("_w")
-     .write.mode("append").partitionBy("day").format(form).save(path))
+def write_daily(df: DataFrame, path: str, ts: str, form: str = "parquet", mode: str = "append") -> None:
+    """Write a table with one folder per day; rebalancing gives each day as many writers as its size needs."""
+    with_day(df, ts).hint("rebalance", "day").write.mode(mode).partitionBy("day").format(form).save(path)
 
 
-def _hashable(df: DataFrame, column: str) -> bool:
-    return "map<" not in df.schema[column].dataType.simpleString()
+def daily_by_batch(path: str, ts: str) -> BatchWriter:
+    """Micro-batch writer into daily folders below one of the batch, so that a repeated batch replaces itself."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_daily(batch, f"{path}/batch={batch_id}", ts, mode="overwrite")
+    return write
 
 
 def write_per_window(df: DataFrame, path: str, ts: str, seconds: int, shards: int, line: Column) -> None:

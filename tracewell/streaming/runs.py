@@ -10,18 +10,20 @@ from tracewell.session import new_path
 from tracewell.sinks.writers import BatchWriter, by_batch
 
 
-def run_available(stream: DataFrame, writer: BatchWriter, mode: str = "append", timeout: int = 600) -> None:
+def run_available(stream: DataFrame, writer: BatchWriter, mode: str = "append", timeout: int | None = None) -> None:
     """Process everything available through a micro-batch writer, then stop."""
     query = (stream.writeStream.outputMode(mode).foreachBatch(writer).trigger(availableNow=True)
              .option("checkpointLocation", new_path(stream.sparkSession, "offsets")).start())
     try:
-        if not query.awaitTermination(timeout):
+        if timeout is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(timeout):
             raise TimeoutError(f"stream still running after {timeout} s")
     finally:
         query.stop()
 
 
-def run_to_table(stream: DataFrame, mode: str = "append", timeout: int = 600) -> DataFrame:
+def run_to_table(stream: DataFrame, mode: str = "append", timeout: int | None = None) -> DataFrame:
     """Run over everything available and return what was written, with the ``batch`` it came from."""
     spark = stream.sparkSession
     path = new_path(spark, "stream")

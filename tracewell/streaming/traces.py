@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tracewell.functions.scale import salted_lookup
+from tracewell.functions.scale import lookup
 
 IDLE = "16 minutes"
 
@@ -24,5 +24,5 @@ def session_spans(sessions: DataFrame, stored: DataFrame) -> DataFrame:
     """The stored spans of closed sessions. Time bounds of the sessions prune the stored table."""
     bounds = sessions.agg(F.min("session_start").alias("lo"), F.max("session_end").alias("hi")).first()
     near = stored.where((F.col("ts") >= F.lit(bounds.lo)) & (F.col("ts") < F.lit(bounds.hi)))
-    found = salted_lookup(near, sessions.drop("received"), ["trace_id"], ["span_id", "row_key"], "inner")
+    found = lookup(near, sessions.drop("received"), ["trace_id"], "inner")
     return found.where((F.col("ts") >= F.col("session_start")) & (F.col("ts") < F.col("session_end")))
