@@ -82,3 +82,15 @@ def test_bridge_gives_a_message_per_trace_and_batch(make_spans):
     assert sum(r.spans for r in got) == 41 and sorted(r.part for r in got if r.trace_id == "t") == [0, 1, 2]
     assert {(r.trace_id, r.part, r.spans) for r in S.bridge(df).collect()} == {("t", 0, 40), ("u", 0, 1)}
     assert {s["id"] for r in got for s in json.loads(r.value) if r.trace_id == "t"} == {str(i) for i in range(40)}
+
+
+def test_every_typed_field_is_checked(spark):
+    good = '{"traceId":"t","id":"1","timestamp":1,"duration":2,"shared":true,"localEndpoint":{"port":1},"tags":{"a":"b"}}'
+    spoiled = [good.replace("true", '"maybe"'), good.replace('"port":1', '"port":"x"'), good.replace('{"a":"b"}', '"oops"'),
+               good.replace('{"port":1}', "7"), good.replace(":2", ':"soon"'), "5"]
+    values = [f"[{good},null]", *[f"[{good},{bad}]" for bad in spoiled], "[]", None, "{}"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, value string")
+    assert {r.span_id for r in parse.span_arrays(df).collect()} == {"1"} and parse.span_arrays(df).count() == 1
+    assert parse.span_arrays_tolerant(df).count() == 1 + len(spoiled)
+    reasons = {r.i: r.reason for r in parse.quarantine(df).collect()}
+    assert reasons == {**{i + 1: "bad element" for i in range(len(spoiled))}, len(spoiled) + 2: "null value", len(spoiled) + 3: "not a JSON array"}

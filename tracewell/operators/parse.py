@@ -66,24 +66,40 @@ def _span_columns(span: str, keep: list[str]) -> list[Column]:
     ]
 
 
-_NUMBERS = ("timestamp", "duration")
-_NUMBERS_AS_TEXT = "array<struct<timestamp:string,duration:string>>"
-_SPANS = f"array<{schemas.SPAN_JSON.simpleString()}>"
+# Fields of a span that are not text, as JSON paths; a value that does not fit its type spoils the element.
+_TYPED = ("timestamp", "duration", "shared", "localEndpoint", "localEndpoint.port", "remoteEndpoint", "remoteEndpoint.port", "tags")
 
 
-def _all_good(spans: Column, texts: Column) -> Column:
-    """True when every number field that is present came through as a number."""
-    return F.forall(F.arrays_zip(spans.alias("s"), texts.alias("t")), lambda e: F.coalesce(
-        *[F.when(e["t"][n].isNotNull() & e["s"][n].isNull(), False) for n in _NUMBERS], F.lit(True)))
+def _field(span: Column, path: str) -> Column:
+    for name in path.split("."):
+        span = span[name]
+    return span
+
+
+def _sound(text: Column, span: Column) -> Column:
+    """Whether an element is an object and each typed field that is present came through."""
+    spoiled = [F.get_json_object(text, f"$.{p}").isNotNull() & _field(span, p).isNull() for p in _TYPED]
+    bad = spoiled[0]
+    for more in spoiled[1:]:
+        bad = bad | more
+    return F.ltrim(text).startswith("{") & span.isNotNull() & ~bad
+
+
+def _elements(raw: DataFrame, value: str, keep: list[str]) -> DataFrame:
+    """``_e``: the array's elements with their text, decoded once, and whether they are sound; null elements are left out."""
+    texts = F.array_compact(F.from_json(F.col(value), "array<string>"))
+    split = raw.select(*keep, F.col(value).alias("_value"), texts.alias("_texts"))
+    decoded = F.transform("_texts", lambda t: F.struct(t.alias("j"), F.from_json(t, schemas.SPAN_JSON).alias("s")))
+    with_spans = split.withColumn("_d", decoded)
+    return with_spans.withColumn("_e", F.transform(
+        "_d", lambda e: F.struct(e["s"].alias("s"), F.coalesce(_sound(e["j"], e["s"]), F.lit(False)).alias("ok")))).drop("_d")
 
 
 def span_arrays(raw: DataFrame, value: str = "value", keep: list[str] | None = None) -> DataFrame:
     """JSON span arrays to span rows, all or nothing: one bad element drops its whole array."""
     keep = keep or []
-    spans, texts = F.from_json(F.col(value), _SPANS), F.from_json(F.col(value), _NUMBERS_AS_TEXT)
-    checked = raw.select(*keep, F.when(_all_good(spans, texts), spans).alias("_a"))
-    decoded = checked.select(*keep, F.explode("_a").alias("_s"))
-    return decoded.where(F.col("_s").isNotNull()).select(*_span_columns("_s", keep))
+    good = _elements(raw, value, keep).where(F.forall("_e", lambda e: e["ok"]))
+    return good.select(*keep, F.explode("_e.s").alias("_s")).select(*_span_columns("_s", keep))
 
 
 def span_arrays_tolerant(raw: DataFrame, value: str = "value", keep: list[str] | None = None) -> DataFrame:
@@ -92,23 +108,19 @@ def span_arrays_tolerant(raw: DataFrame, value: str = "value", keep: list[str] |
     Names and services are lower-cased, as the topology reader sees them.
     """
     keep = keep or []
-    decoded = (raw.select(*keep, F.explode(F.from_json(F.col(value), "array<string>")).alias("_j"))
-               .select(*keep, F.from_json("_j", schemas.SPAN_JSON).alias("_s"),
-                       *[F.get_json_object("_j", f"$.{n}").alias(f"_{n}") for n in _NUMBERS]))
+    decoded = _elements(raw, value, keep).select(*keep, F.explode("_e").alias("_x")).where("_x.ok").select(*keep, F.col("_x.s").alias("_s"))
     good = decoded.where(F.col("_s.id").isNotNull() & E.not_blank(F.col("_s.traceId")))
-    for n in _NUMBERS:
-        good = good.where(F.col(f"_{n}").isNull() | F.col(f"_s.{n}").isNotNull())
     return good.select(*_span_columns("_s", keep)).withColumns({
         c: F.lower(c) for c in ("name", "local_service", "remote_service")})
 
 
 def quarantine(raw: DataFrame, value: str = "value") -> DataFrame:
     """Span messages that do not decode as a whole, with the reason."""
-    spans, texts = F.from_json(F.col(value), _SPANS), F.from_json(F.col(value), _NUMBERS_AS_TEXT)
-    reason = F.when(F.col(value).isNull(), "null value").when(
-        F.from_json(F.col(value), "array<string>").isNull(), "not a JSON array").when(
-        spans.isNull() | ~_all_good(spans, texts), "bad element")
-    return raw.withColumn("reason", reason).where(F.col("reason").isNotNull())
+    reason = F.when(F.col("_value").isNull(), "null value").when(F.col("_texts").isNull(), "not a JSON array").when(
+        ~F.forall("_e", lambda e: e["ok"]), "bad element")
+    checked = _elements(raw, value, [c for c in raw.columns if c != value]).withColumn("reason", reason)
+    return checked.where(F.col("reason").isNotNull()).select(
+        *[F.col("_value").alias(value) if c == value else F.col(c) for c in raw.columns], "reason")
 
 
 def change_records(raw: DataFrame, key: str = "key", value: str = "value") -> DataFrame:

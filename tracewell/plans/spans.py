@@ -45,19 +45,19 @@ tag_error FROM v_span WHERE """
 
 @query("span_decode", SPAN + """
 SELECT CASE WHEN l_partkey % 50 = 2 THEN ' ' ELSE trace_id END AS trace_id, span_id, parent_id, kind, name, ts,
-duration, local_service, remote_service, tag_error FROM v_span WHERE l_partkey % 50 NOT IN (0, 1)""")
+duration, local_service, remote_service, tag_error FROM v_span WHERE l_partkey % 50 NOT IN (0, 1, 4, 5, 6)""")
 def span_decode(spark, sf):
     return decoded_columns(parse.span_arrays(messages(spark, sf)))
 
 
-@query("span_decode_tolerant", SPAN + DECODED_SQL + "l_partkey % 50 NOT IN (0, 2)")
+@query("span_decode_tolerant", SPAN + DECODED_SQL + "l_partkey % 50 NOT IN (0, 2, 4, 5, 6)")
 def span_decode_tolerant(spark, sf):
     return decoded_columns(parse.span_arrays_tolerant(messages(spark, sf)))
 
 
 @query("quarantine", SPAN + """
 SELECT trace_id, span_id, CASE WHEN l_partkey % 50 = 0 THEN 'not a JSON array' ELSE 'bad element' END AS reason
-FROM v_span WHERE l_partkey % 50 IN (0, 1)""")
+FROM v_span WHERE l_partkey % 50 IN (0, 1, 4, 5, 6)""")
 def quarantine(spark, sf):
     return parse.quarantine(messages(spark, sf)).select("trace_id", "span_id", "reason")
 

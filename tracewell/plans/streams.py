@@ -66,7 +66,7 @@ def src_topic_replay(spark, sf):
     return runs.run_to_table(parse.request_logs(stream).select("key", "uri", "http_code")).drop("batch")
 
 
-@query("src_span_file", SPAN + DECODED_SQL + "l_partkey % 50 NOT IN (0, 2)")
+@query("src_span_file", SPAN + DECODED_SQL + "l_partkey % 50 NOT IN (0, 2, 4, 5, 6)")
 def src_span_file(spark, sf):
     path = new_path(spark, "spanfile")
     messages(spark, sf).select("value").write.text(path)

@@ -118,6 +118,10 @@ def span_messages(frame: DataFrame) -> DataFrame:
              .when(part % 50 == 1, F.concat(F.lit('['), "json", F.lit(',{"traceId":"t","id":"x","timestamp":"soon"}]')))
              .when(part % 50 == 2, F.concat(F.lit("["), blank, F.lit("]")))
              .when(part % 50 == 3, F.concat(F.lit("[null,"), "json", F.lit("]")))
+             .when(part % 50 == 4, F.concat(F.lit('[{"shared":"maybe",'), F.substr("json", F.lit(2)), F.lit("]")))
+             .when(part % 50 == 5, F.concat(F.lit("["), F.replace("json", F.lit('"localEndpoint":{'), F.lit('"localEndpoint":{"port":"x",')),
+                                            F.lit("]")))
+             .when(part % 50 == 6, F.concat(F.lit("["), F.regexp_replace("json", r'"tags":\{[^}]*\}', '"tags":"oops"'), F.lit("]")))
              .otherwise(F.concat(F.lit("["), "json", F.lit("]"))))
     return span_json(frame).select("trace_id", "span_id", "row_key", value.alias("value"))
 
