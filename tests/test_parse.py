@@ -94,3 +94,12 @@ def test_every_typed_field_is_checked(spark):
     assert parse.span_arrays_tolerant(df).count() == 1 + len(spoiled)
     reasons = {r.i: r.reason for r in parse.quarantine(df).collect()}
     assert reasons == {**{i + 1: "bad element" for i in range(len(spoiled))}, len(spoiled) + 2: "null value", len(spoiled) + 3: "not a JSON array"}
+
+
+def test_metric_names_split_back(spark):
+    df = spark.createDataFrame([("a", "SERVER", "/x"), ("a", None, "/y")], "app string, kind string, uri string")
+    name = E.span_metric_name(F.col("app"), F.col("kind"), F.col("uri"))
+    app, kind, uri = E.metric_name_parts(F.col("n"))
+    back = df.withColumn("n", name).select(app.alias("app"), kind.alias("kind"), uri.alias("uri"))
+    assert back.collect() == df.collect()
+    assert df.select(E.link_metric_name(F.col("app"), F.col("uri"))).first()[0] == "a||/x"

@@ -59,6 +59,18 @@ def span_metric_name(app: Column, kind: Column, uri: Column, metric: Column | No
                     F.lit(SEPARATOR), metric, uri)
 
 
+def metric_name_parts(name: Column) -> tuple[Column, Column, Column]:
+    """App, kind and uri of a span metric name; the kind is null for roots."""
+    parts = F.split(name, r"\|\|")
+    kind = F.when(F.size(parts) > 2, parts[1])
+    return parts[0], kind, F.element_at(parts, -1)
+
+
+def link_metric_name(parent: Column, child: Column, metric: Column | None = None) -> Column:
+    """Name of a link's metric: ``[metric]parent||child``."""
+    return F.concat(F.lit("") if metric is None else F.coalesce(metric, F.lit("")), parent, F.lit(SEPARATOR), child)
+
+
 def request_metric_name(app: Column, uri: Column, prefix: Column | None = None) -> Column:
     """``app-[prefix]uri`` with prefixes such as ``HTTP-500-``, ``BIZ-CODE-7-``, ``COST-``."""
     return F.concat(app, F.lit("-"), F.lit("") if prefix is None else prefix, uri)

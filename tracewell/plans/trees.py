@@ -51,17 +51,19 @@ chosen AS (SELECT root, signature, count(*) AS trees, max(size) AS size, min((tr
 
 METRIC_TREE = SIGNATURES + f""",
 totals AS (SELECT app, CASE WHEN metric_kind IS NULL THEN name ELSE metric_kind || '||' || name END AS name,
-           count(*) AS total, avg(duration) AS cost, max(duration) AS cost_max, count(*) FILTER ({FAILED}) AS errors
-           FROM v_norm WHERE tag_sql IS NULL GROUP BY 1, 2),
+           count(*) AS total, avg(duration) AS cost, max(duration) AS cost_max, count(*) FILTER ({FAILED}) AS errors,
+           quantile_cont(duration, 0.95) AS cost_tp95, quantile_cont(duration, 0.99) AS cost_tp99,
+           count(*) FILTER ({FAILED}) * 100.0 / count(*) AS error_rate FROM v_norm WHERE tag_sql IS NULL GROUP BY 1, 2),
 picked AS (SELECT DISTINCT c.signature, t.root, t.app, t.name, t.labels, t.depth FROM template t JOIN chosen c
            ON t.root = c.root AND t.trace_id = c.example[1] AND t.root_id = c.example[2]),
-valued AS (SELECT p.*, total, cost, cost_max, errors FROM picked p LEFT JOIN totals m USING (app, name)),
+valued AS (SELECT p.*, total, cost, cost_max, errors, cost_tp95, cost_tp99, error_rate FROM picked p LEFT JOIN totals m USING (app, name)),
 kept AS (SELECT * FROM valued v WHERE total IS NOT NULL AND NOT EXISTS (SELECT 1 FROM valued s
          WHERE s.signature = v.signature AND s.total IS NULL AND s.labels = v.labels[:len(s.labels)])),
 mtree AS (SELECT signature, root, CAST('0x' || substr(md5(signature || '|' || array_to_string(labels, '>')), 1, 15)
           AS BIGINT) AS id, CASE WHEN depth = 0 THEN -1 ELSE CAST('0x' || substr(md5(signature || '|' ||
           array_to_string(labels[:len(labels) - 1], '>')), 1, 15) AS BIGINT) END AS pid, app AS app_name, name, depth,
-          total, round(cost, 4) AS cost, cost_max, errors FROM kept)"""
+          total, round(cost, 4) AS cost, cost_max, errors, round(cost_tp95, 4) AS cost_tp95,
+          round(cost_tp99, 4) AS cost_tp99, round(error_rate, 4) AS error_rate FROM kept)"""
 
 
 def span_forest(spark: SparkSession, sf: str) -> DataFrame:
@@ -76,8 +78,8 @@ def span_metric_tree(spark: SparkSession, sf: str) -> DataFrame:
     rows = span_templates(spark, sf)
     chosen = trees.distinct_templates(trees.signatures(rows))
     values = metrics.endpoint_metrics(tree_spans(spark, sf), ["app", "metric_kind", "name"]).select(
-        "app", "metric_kind", "name", "total", "cost", "cost_max", "errors")
-    return rounded(trees.metric_tree(rows, chosen, values), "cost")
+        "app", "metric_kind", "name", "total", "cost", "cost_max", "errors", "cost_tp95", "cost_tp99", "error_rate")
+    return rounded(trees.metric_tree(rows, chosen, values), "cost", "cost_tp95", "cost_tp99", "error_rate")
 
 
 @query("trace_forest", with_views(V_SPAN, V_NORM, FOREST) + """
