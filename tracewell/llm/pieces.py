@@ -27,8 +27,8 @@ from tracewell.llm.textbytes import SeenUnits, chunks, mix, spread, text_buffer,
 
 BLANK = "▁"
 PENALTY = 10.0
-TOGETHER = 8192      # stretches segmented at once
-CELLS = 1 << 21      # letters of them at most, beyond a single one
+TOGETHER = 4096      # stretches segmented at once
+CELLS = 1 << 18      # letters of them at most, beyond a single one
 
 
 class Automaton:
@@ -150,7 +150,7 @@ class Neighbours:
         self.number, self.score = number, score
         self.text = {n: t for t, n in number.items()}
         self.base = np.uint64(max(self.text, default=0) + 2)
-        self.seen = SeenUnits(self._work, most=2_000_000, dtype=np.uint8)
+        self.seen = SeenUnits(self._work, most=1_000_000, dtype=np.uint8)
 
     def merged(self, text: str) -> list[str]:
         """Plain BPE: the neighbours whose union has the best score become one, the leftmost first."""
@@ -194,9 +194,8 @@ class Pieces:
         byte_of = {i: bytes([int(model.id_to_piece(i)[1:-1], 16)]) for i in self.byte_ids.tolist()}
         self.byte_ids = np.array(sorted(byte_of, key=lambda i: byte_of[i]), dtype=np.int64)
         self.unknown = model.unk_id()
-        normal = [(i, model.id_to_piece(i), model.get_score(i)) for i in range(n) if i not in special and i not in byte_of]
-        self.automaton = Automaton(normal)
-        self.neighbours = Neighbours({t: i for i, t, _ in normal}, {t: s for _, t, s in normal}) if merges else None
+        self.normal = [(i, model.id_to_piece(i), model.get_score(i)) for i in range(n) if i not in special and i not in byte_of]
+        self.merges = merges
         written = [b"" if i in special else byte_of.get(i) or model.id_to_piece(i).replace(BLANK, " ").encode() for i in range(n)]
         if self.unknown >= 0:
             written[self.unknown] = " ⁇ ".encode()
@@ -204,6 +203,12 @@ class Pieces:
         ends = np.cumsum([len(w) for w in written])
         self.written_length = np.array([len(w) for w in written], dtype=np.int64)
         self.written_start = ends - self.written_length
+        self.seen: SeenUnits | None = None
+
+    def _prepare(self) -> None:
+        """What encoding needs beyond decoding; workers that only decode don't hold it."""
+        self.automaton = Automaton(self.normal)
+        self.neighbours = Neighbours({t: i for i, t, _ in self.normal}, {t: s for _, t, s in self.normal}) if self.merges else None
         self.seen = SeenUnits(self.segment_all)
 
     def segment_all(self, stretches: list[bytes]) -> list:
@@ -257,6 +262,8 @@ class Pieces:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of consecutive texts, and how many each has."""
+        if self.seen is None:
+            self._prepare()
         n = len(offsets) - 1
         full = np.diff(offsets) > 0
         if not full.any():
