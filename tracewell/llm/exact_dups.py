@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tracewell.session import prepare, stage
 
 SALTS = 8
+NO_ID = -(1 << 63)
 
 
 def normalised(text: Column) -> Column:
@@ -24,9 +25,14 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), r"[\t-\r][ \t-\r]*| [ \t-\r]+", " ")
 
 
+def digest(content: Column) -> Column:
+    """SHA-256 in binary; never null, so that joins on it add no null filter, which would work it out twice."""
+    return F.coalesce(F.unhex(F.sha2(content, 256)), F.lit(b""))
+
+
 def _content(docs: DataFrame) -> DataFrame:
     content = docs.select(F.col("doc_id").cast("long").alias("doc_id"), normalised(F.col("text")).alias("content"))
-    return content.withColumn("digest", F.unhex(F.sha2("content", 256)))
+    return content.withColumn("digest", digest(F.col("content")))
 
 
 def groups(docs: DataFrame, salts: int = SALTS) -> DataFrame:
@@ -61,9 +67,11 @@ def exact_duplicates(docs: DataFrame, salts: int = SALTS) -> DataFrame:
 
 def drop_exact_duplicates(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     """The rows of ``docs`` that are kept, all columns as they were."""
-    kept = groups(docs, salts).select(F.col("keep_id").alias("__tw_id"), F.col("digest").alias("__tw_digest"))
-    marked = docs.withColumn("__tw_content", F.unhex(F.sha2(normalised(F.col("text")), 256)))
-    rows = marked.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__tw_id"))
-                       & (F.col("__tw_content") == F.col("__tw_digest")), "left_semi")
-    order = Window.partitionBy("doc_id", "__tw_content").orderBy(F.lit(0))
+    # the same two keys serve the join and the window, so whole rows are shuffled once; no id stands for a null one
+    def id_key(column: str) -> Column:
+        return F.coalesce(F.col(column).cast("long"), F.lit(NO_ID))
+    kept = groups(docs, salts).select(id_key("keep_id").alias("__tw_id"), F.col("digest").alias("__tw_digest"))
+    marked = docs.withColumn("__tw_id", id_key("doc_id")).withColumn("__tw_digest", digest(normalised(F.col("text"))))
+    rows = marked.join(kept, ["__tw_id", "__tw_digest"], "left_semi")
+    order = Window.partitionBy("__tw_id", "__tw_digest").orderBy(F.lit(0))
     return rows.withColumn("__tw_row", F.row_number().over(order)).where("__tw_row = 1").select(*docs.columns)
