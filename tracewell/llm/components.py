@@ -52,11 +52,10 @@ def _candidates(members: DataFrame, may_link: str, turn: int) -> DataFrame:
     """
     member = ["node", "n", "component"]
     drawn = F.min(F.struct(F.xxhash64("bucket", "node", F.lit(turn)).alias("rank"), *member)).alias("drawn")
-    centres = members.groupBy("bucket").agg(drawn, F.min(F.struct(F.lit(0).cast("long").alias("rank"), *member)).alias("least"),
-                                            F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high"))
-    open_ones = centres.where("low < high" if turn == 0 else "low < high AND size > 2")
+    least = F.min(F.struct(F.lit(0).cast("long").alias("rank"), *member)).alias("least")
+    centres = members.groupBy("bucket").agg(*[least, drawn] if turn == 0 else [drawn])
     chosen = F.array("least", "drawn") if turn == 0 else F.array("drawn")
-    pairs = members.join(open_ones.select("bucket", chosen.alias("centres")), "bucket").select(*member, F.explode("centres").alias("c"))
+    pairs = members.join(centres.select("bucket", chosen.alias("centres")), "bucket").select(*member, F.explode("centres").alias("c"))
     fitting = pairs.where("component != c.component").withColumn("m", F.col("c.n")).where(may_link)
     return fitting.select(F.greatest("node", "c.node").alias("a"), F.least("node", "c.node").alias("b")).distinct()
 
@@ -64,10 +63,11 @@ def _candidates(members: DataFrame, may_link: str, turn: int) -> DataFrame:
 def bucket_links(members: DataFrame, confirm: Callable[[DataFrame], DataFrame], may_link: str) -> tuple[DataFrame, DataFrame]:
     """(links, components) of nodes that share buckets.
 
-    ``members``: bucket, node, n (a size); ``may_link`` is a condition on the sizes n and m of two nodes. ``confirm`` keeps of
+    ``members``: bucket, size (its number of nodes), node, n (a node's size); ``may_link`` is a condition on the sizes n and m of two nodes. ``confirm`` keeps of
     (a, b) the pairs that are links. A bucket of k nodes gives at most 2 k candidates in the first turn, and k - 1 in
     later ones. Buckets left with several components get other centres, drawn anew for each bucket and turn, until
-    a turn with drawn centres alone finds no further link.
+    a turn with drawn centres alone finds no further link. Buckets of two, and those of one component, are
+    settled and not looked at again.
     """
     links, found, current, turn = None, None, members.withColumn("component", F.col("node")), 0
     while True:
@@ -79,7 +79,15 @@ def bucket_links(members: DataFrame, confirm: Callable[[DataFrame], DataFrame],
             break
         links = confirmed if links is None else links.unionByName(confirmed)
         found = stage(components(links, "a", "b"), "components")
-        joined = members.join(found, "node", "left")
-        current = stage(joined.select("bucket", "node", "n", F.coalesce("component", "node").alias("component")), "buckets")
+        joined = current.drop("component").where("size > 2").join(found, "node", "left").select(
+            "bucket", "size", "node", "n", F.coalesce("component", "node").alias("component"))
+        left = joined.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+        current = stage(joined.join(left.select("bucket"), "bucket", "left_semi"), "buckets")
         turn += 1
     return links.distinct(), found
+
+
+def shared_buckets(rows: DataFrame) -> DataFrame:
+    """(bucket, size, node, n) of the buckets with two nodes or more."""
+    sizes = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    return rows.join(sizes, "bucket").select("bucket", "size", "node", "n")

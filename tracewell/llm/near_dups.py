@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tracewell.llm.components import bucket_links
+from tracewell.llm.components import bucket_links, shared_buckets
 from tracewell.llm.shingles import overlap, shingle_sets
 from tracewell.llm.textbytes import chunks, mix, text_buffer
 from tracewell.session import prepare, stage
@@ -148,8 +148,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similar: int = SIMI
     # texts with equal sets have equal bands
     classes = stage(whole.groupBy(*key).agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")), "classes")
     rows = classes.select(F.explode("bands").alias("bucket"), "node", F.col("n_shingles").alias("n"))
-    shared = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket")
-    members = stage(rows.join(shared, "bucket", "left_semi"), "buckets")
+    members = stage(shared_buckets(rows), "buckets")
     sets = stage(_sets(docs, members.select(F.col("node").alias("doc_id")).distinct(), shingle), "sets")
     links, found = bucket_links(members, lambda pairs: _confirmed(pairs, sets, similar),
                                 f"100 * least(n, m) >= {similar} * greatest(n, m)")
@@ -165,7 +164,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similar: int = SIMI
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similar: int = SIMILAR) -> DataFrame:
     """The rows of ``docs`` that are kept, one per component, all columns as they were."""
-    kept = near_duplicates(docs, shingle, similar).where("kept").select(F.col("doc_id").alias("__tw_id")).distinct()
-    rows = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__tw_id")), "left_semi")
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64(F.col("text")), "text")
-    return rows.withColumn("__tw_row", F.row_number().over(order)).where("__tw_row = 1 OR doc_id IS NULL").drop("__tw_row")
+    no_id = F.lit(-(1 << 63))
+    kept = near_duplicates(docs, shingle, similar).where("kept").select(F.coalesce("doc_id", no_id).alias("__tw_id")).distinct()
+    rows = docs.withColumn("__tw_id", F.coalesce(F.col("doc_id").cast("long"), no_id)).join(kept, "__tw_id", "left_semi")
+    order = Window.partitionBy("__tw_id").orderBy(F.xxhash64(F.col("text")), "text")
+    return rows.withColumn("__tw_row", F.row_number().over(order)).where("__tw_row = 1 OR doc_id IS NULL").select(*docs.columns)
