@@ -26,6 +26,7 @@ LANGUAGES = 200      # most frequent ones that are learned
 RIDGE = 1e-3
 SHARPNESS = 6.0      # of the scores' softmax
 GROUP = 64           # texts whose presence is held at once
+STEP = 64            # sample texts made dense at once
 
 FOLD = LOWER.copy()
 FOLD[[c for c in range(128) if not chr(c).isalpha()]] = 32
@@ -120,13 +121,11 @@ def _sample_presence(sample: DataFrame) -> tuple[np.ndarray, list[str]]:
     return np.stack([np.frombuffer(r["bits"], dtype=np.uint8) for r in got]), [r["lang"] for r in got]
 
 
-def _weighted(bits: np.ndarray) -> np.ndarray:
-    """Rows of presence divided by the root of their number of n-grams of each length."""
-    dense = np.unpackbits(bits, axis=1)[:, :TOTAL].astype(np.float32)
-    for n, size in SIZES.items():
-        block = dense[:, OFFSETS[n]:OFFSETS[n] + size]
-        block /= np.sqrt(np.maximum(block.sum(axis=1, keepdims=True), 1))
-    return dense
+def _weighted(bits: np.ndarray, n: int) -> np.ndarray:
+    """Rows of presence of n-grams of one length, divided by the root of their number."""
+    block = np.unpackbits(bits[:, OFFSETS[n] // 8:(OFFSETS[n] + SIZES[n]) // 8], axis=1).astype(np.float32)
+    block /= np.sqrt(np.maximum(block.sum(axis=1, keepdims=True), 1))
+    return block
 
 
 def fit(labelled: DataFrame) -> Model:
@@ -136,9 +135,14 @@ def fit(labelled: DataFrame) -> Model:
     languages = sorted(set(langs))
     if not languages:
         return Model([], np.zeros((TOTAL, 0), dtype=np.float32), np.zeros(0))
-    landmarks = _weighted(bits[:LANDMARKS])     # the rows are in the order of a hash, so these are a random choice
-    kernel = np.concatenate([_weighted(bits[a:a + 256]) @ landmarks.T for a in range(0, len(bits), 256)]).astype(np.float64)
-    among = kernel[:len(landmarks)]
+    first = bits[:LANDMARKS]     # the rows are in the order of a hash, so these are a random choice
+    kernel = np.zeros((len(bits), len(first)))
+    for n in SIZES:              # one length at a time, so that one block of landmarks is dense at once
+        landmarks = _weighted(first, n)
+        for a in range(0, len(bits), STEP):
+            kernel[a:a + STEP] += _weighted(bits[a:a + STEP], n) @ landmarks.T
+        del landmarks
+    among = kernel[:len(first)]
     values, vectors = np.linalg.eigh((among + among.T) / 2)
     good = values > 1e-6 * values.max()
     whiten = vectors[:, good] / np.sqrt(values[good])             # Nyström: K(., landmarks) times this
@@ -152,7 +156,9 @@ def fit(labelled: DataFrame) -> Model:
     gram = shifted.T @ (shifted * weight[:, None]) + RIDGE * len(langs) * np.eye(shifted.shape[1])
     ridge = np.linalg.solve(gram, shifted.T @ ((targets - middle) * weight[:, None]))
     # scores = K(x, landmarks) whiten ridge + constant = presence(x) (landmarks^T whiten ridge) + constant
-    return Model(languages, (landmarks.T @ (whiten @ ridge).astype(np.float32)).astype(np.float32), middle - centre @ ridge)
+    coefficients = (whiten @ ridge).astype(np.float32)
+    table = np.concatenate([_weighted(first, n).T @ coefficients for n in SIZES])
+    return Model(languages, table, middle - centre @ ridge)
 
 
 def _predicted(model: Model, data: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray]:
