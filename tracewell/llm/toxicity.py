@@ -1,7 +1,7 @@
 """Toxicity by a learned lexicon, matched with Levenshtein automata, and scores of the context of each match.
 
-Fitting takes a bounded sample of labelled texts: words and word beginnings that mark toxic texts become the
-lexicon, the share of toxic texts gives each term and number of edits its weight, and a logistic model joins
+Fitting takes a bounded sample of labelled texts, near copies left out: words and word beginnings that mark toxic texts
+become the lexicon, each chosen for the toxic texts that those before it don't explain, the share of toxic texts gives each term and number of edits its weight, and a logistic model joins
 the weights of a text's matches. A match in quotation marks or next to a reporting word counts as
 quotation, one next to a word of direct address as abuse.
 """
@@ -24,6 +24,8 @@ from tracewell.session import stage
 
 SAMPLE = {1: 6000, 0: 9000}   # labelled rows to fit on, by label
 TERMS = 400                   # terms at most, those with most evidence
+KINDRED = 0.15                # share of the chosen terms' median evidence that makes a term one of theirs
+CANDIDATES = 1500             # terms tried, those with most evidence each by itself
 EVIDENCE = 25.0               # likelihood ratio (G²) that a term must reach
 RATIO = 6.0                  # times its share of clean texts that its share of toxic texts must reach
 PREFIXES = range(3, 9)
@@ -71,6 +73,17 @@ def sample_of(labelled: DataFrame, sizes: dict[int, int] = SAMPLE) -> DataFrame:
     return known.where(draw < share)
 
 
+def unlike(sample: DataFrame) -> DataFrame:
+    """(text, label) with one row of near copies: texts of one label that agree in the two smallest hashes of their long words.
+
+    A text copied a thousand times says no more about its words than once.
+    """
+    long_words = F.filter(F.split(F.lower("text"), r"\s+"), lambda w: F.char_length(w) >= 8)
+    smallest = F.slice(F.array_sort(F.array_distinct(F.transform(long_words, lambda w: F.xxhash64(w)))), 1, 2)
+    sketch = F.when(F.size(smallest) == 2, F.xxhash64(smallest)).otherwise(F.xxhash64("text"))
+    return sample.withColumn("sketch", sketch).groupBy("label", "sketch").agg(F.min("text").alias("text")).select("text", "label")
+
+
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """(batch, first and last row, bytes, offsets) of stretches of bounded size."""
     for batch in batches:
@@ -110,7 +123,7 @@ def _term_counts(sample: DataFrame) -> DataFrame:
     return partial.groupBy("term", "stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def choose_terms(found: list, most: int = TERMS) -> list[tuple[str, bool]]:
+def candidate_terms(found: list, most: int = CANDIDATES) -> list[tuple[str, bool]]:
     """From terms with evidence, those that say most: the longest beginning that loses hardly a text, whole words where a
     beginning is always one word."""
     stems = {r["term"]: r["toxic"] for r in found if r["stem"]}
@@ -237,6 +250,59 @@ def _sample_matches(sample: DataFrame, model: Model) -> list:
         rows, "label int, matches array<struct<place:long,term:long,edits:long,context:string,word:string>>").collect()
 
 
+def _sample_terms(sample: DataFrame, terms: list[tuple[str, bool]]) -> list:
+    """Per sample text: its label and the numbers of the terms that occur in it as they are."""
+    model = Model(terms=terms)
+
+    def rows(batches):
+        found = matcher(model)
+        for batch, i, j, part, at in _texts(batches):
+            _, per_text = found.matches(part, at)
+            numbers = [np.array(sorted({t for _, t, e, _, _ in m if not e}), dtype="<u2").tobytes() for m in per_text]
+            yield pa.RecordBatch.from_arrays([batch.column("label").slice(i, j - i).cast(pa.int32()), pa.array(numbers, pa.binary())],
+                                             ["label", "terms"])
+    return sample.select("text", "label").mapInArrow(rows, "label int, terms binary").collect()
+
+
+def evidence(toxic, clean, n1: int, n0: int):
+    """Likelihood ratio of a term's occurrence in toxic and clean texts (G²); numbers or arrays."""
+    share = (toxic + clean) / (n1 + n0)
+    out = 0.0
+    for seen, n, expected in ((toxic, n1, share), (clean, n0, share), (n1 - toxic, n1, 1 - share), (n0 - clean, n0, 1 - share)):
+        ratio = np.where(seen > 0, seen / np.maximum(n * expected, 1e-12), 1.0)
+        out = out + 2 * seen * np.log(ratio)
+    return out
+
+
+def explaining_terms(terms: list[tuple[str, bool]], rows: list, most: int = TERMS) -> list[tuple[str, bool]]:
+    """Of candidates those with most evidence in the toxic texts that the terms before them leave unexplained.
+
+    Terms that explain nothing new, but whose own evidence is of the order of these terms', belong to the same vocabulary
+    and are taken as well; words of a text that happens to be copied often are not.
+    """
+    labels = np.array([r["label"] for r in rows])
+    has = np.zeros((len(rows), len(terms)), dtype=bool)
+    for k, r in enumerate(rows):
+        has[k, np.frombuffer(r["terms"], dtype="<u2").astype(np.int64)] = True
+    n0 = int((labels == 0).sum())
+    clean = has[labels == 0].sum(axis=0)
+    toxic_rows = has[labels == 1]
+    open_rows = np.ones(len(toxic_rows), dtype=bool)
+    chosen: list[int] = []
+    while len(chosen) < most and open_rows.any():
+        toxic, n1 = toxic_rows[open_rows].sum(axis=0), int(open_rows.sum())
+        gain = np.where(toxic * n0 > RATIO * clean * n1, evidence(toxic.astype(float), clean.astype(float), n1, n0), 0.0)
+        best = int(gain.argmax())
+        if gain[best] < EVIDENCE:
+            break
+        chosen.append(best)
+        open_rows &= ~toxic_rows[:, best]
+    whole = evidence(toxic_rows.sum(axis=0).astype(float), clean.astype(float), len(toxic_rows), n0)
+    level = KINDRED * float(np.median(whole[chosen])) if chosen else np.inf
+    alike = [int(k) for k in np.argsort(-whole, kind="stable") if whole[k] >= max(level, EVIDENCE) and k not in chosen]
+    return [terms[k] for k in sorted(chosen + alike[:most - len(chosen)])]
+
+
 def _fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
     """Newton steps on the penalised likelihood; quotation starts, and is drawn, to a third of abuse."""
     prior = np.array([math.log((y.mean() + 1e-4) / (1 - y.mean() + 1e-4)), 1.0, 0.33, 0.0])
@@ -255,19 +321,19 @@ def _fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarr
 
 def fit(labelled: DataFrame) -> Model:
     """A model from (text, label), label 0 or 1; see ``sample_of`` for the bound on its rows."""
-    sample = stage(labelled.select(F.col("text").cast("string").alias("text"), F.col("label").cast("int").alias("label")), "toxicity-sample")
+    given = labelled.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("label").cast("int").alias("label"))
+    sample = stage(unlike(given), "toxicity-sample")
     counts = stage(_term_counts(sample), "terms")
     total = counts.where("term = '' AND NOT stem").agg(F.sum("toxic"), F.sum("clean")).first()
     n1, n0 = int(total[0] or 0), int(total[1] or 0)
     if not n1 or not n0:
         return Model(coefficients=[30.0 if n1 else -30.0, 0.0, 0.0, 0.0]) if n1 or n0 else Model()
     a, b = F.col("toxic").cast("double"), F.col("clean").cast("double")
-    cells = [(a, n1), (b, n0), (n1 - a, n1), (n0 - b, n0)]
-    share = [(a + b) / (n1 + n0), 1 - (a + b) / (n1 + n0)]
-    g = sum(F.when(observed > 0, 2 * observed * F.log(observed / (n * share[i // 2]))).otherwise(0.0) for i, (observed, n) in enumerate(cells))
-    found = (counts.where("term != ''").withColumn("evidence", g).where((F.col("evidence") >= EVIDENCE) & (a / n1 > RATIO * b / n0))
-             .orderBy(F.desc("evidence"), "term", "stem").limit(20 * TERMS).collect())
-    model = Model(terms=choose_terms(found))
+    found = counts.where("term != ''").where((a / n1 > RATIO * b / n0) & (a >= 3)).orderBy(
+        F.desc((a / n1 - b / n0) * F.sqrt(a)), "term", "stem").limit(8 * CANDIDATES).collect()
+    strong = [{**r.asDict(), "evidence": float(evidence(float(r["toxic"]), float(r["clean"]), n1, n0))} for r in found]
+    candidates = candidate_terms([r for r in strong if r["evidence"] >= EVIDENCE])
+    model = Model(terms=explaining_terms(candidates, _sample_terms(sample, candidates)) if candidates else [])
     rows = _sample_matches(sample, model)
     hits = {0: Counter(), 1: Counter()}
     for r in rows:
