@@ -28,17 +28,18 @@ from tracewell.session import prepare, stage
 WINDOW = 2048
 DEPTH = 6
 DRAWN = 1200  # combinations drawn per depth above two
-STEPS = 400
+STEPS = 300
+ROUNDS = 12
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
-def combinations(counts: np.ndarray, window: int) -> list[tuple[int, ...]]:
+def combinations(counts: np.ndarray, window: int, seed: int = 0) -> list[tuple[int, ...]]:
     """Different multisets of occurring lengths whose sum is ``window``: all pairs, and drawn ones of three to ``DEPTH``."""
     present = np.flatnonzero(counts)
     here = counts > 0
     found = {(int(a), window - int(a)) for a in present if 2 * a <= window and here[window - a]}
     found |= {(int(a),) * (window // int(a)) for a in present if 2 < window // a <= DEPTH and window % a == 0}
-    rng = np.random.default_rng(41)
+    rng = np.random.default_rng(41 + seed)
     cumulated = np.cumsum(counts[present]) / max(counts.sum(), 1)
     for depth in range(3, DEPTH + 1):
         drawn = present[np.searchsorted(cumulated, rng.random((8 * DRAWN, depth - 1))).clip(0, len(present) - 1)] if len(present) else np.zeros((0, depth - 1), int)
@@ -82,28 +83,35 @@ class Plan:
         self.window = window
         self.counts = counts = counts.astype(np.int64)
         left = counts.copy()
-        columns = combinations(counts, window)
-        solved = repeats(columns, counts)
-        uses = np.zeros(len(columns), dtype=np.int64)
-        shapes = [np.unique(np.array(c), return_counts=True) for c in columns]
-        order = np.argsort(-solved, kind="stable")
-        for wanted in (lambda p: int(solved[p]), lambda p: 1 << 62):   # the rounded solution, then whatever still fits
-            for p in order.tolist():
-                lengths, times = shapes[p]
-                n = min(wanted(p), int((left[lengths] // times).min()))
-                uses[p] += n
-                left[lengths] -= n * times
+        shapes: list[tuple[np.ndarray, np.ndarray]] = []
+        uses: list[int] = []
+        for turn in range(ROUNDS):   # each turn combines the lengths that the turns before it left over
+            columns = combinations(left, window, turn)
+            solved = repeats(columns, left)
+            mine = [np.unique(np.array(c), return_counts=True) for c in columns]
+            used = np.zeros(len(columns), dtype=np.int64)
+            before = int(left.sum())
+            for wanted in (lambda p: int(solved[p]), lambda p: 1 << 62):   # the rounded solution, then whatever still fits
+                for p in np.argsort(-solved, kind="stable").tolist():
+                    lengths, times = mine[p]
+                    n = min(wanted(p), int((left[lengths] // times).min()))
+                    used[p] += n
+                    left[lengths] -= n * times
+            shapes += [mine[p] for p in np.flatnonzero(used)]
+            uses += used[used > 0].tolist()
+            if before - int(left.sum()) < 0.01 * before:
+                break
         # intervals of ranks, per length; the ranks of all lengths stand on one line
         self.line = np.concatenate([[0], np.cumsum(counts)])
         taken = np.zeros(window, dtype=np.int64)
         rows, sequence = [], whole
-        for p in np.flatnonzero(uses).tolist():
+        for p in range(len(uses)):
             at = 0
             for length, times in zip(*(v.tolist() for v in shapes[p])):
                 rows.append((self.line[length] + taken[length], times, sequence, at, -1))
                 taken[length] += times * uses[p]
                 at += times * length
-            sequence += int(uses[p])
+            sequence += uses[p]
         self.stream = sequence
         position = 0
         for length in range(window - 1, 0, -1):
