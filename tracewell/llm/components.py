@@ -44,34 +44,35 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
-def _candidates(members: DataFrame, may_link: str, turn: int) -> DataFrame:
+def _candidates(members: DataFrame, may_link: str, turn: int, draws: int) -> DataFrame:
     """Pairs (a, b) of a bucket's members with its centres, if their components differ and their sizes allow a link.
 
     A centre is drawn by a hash of bucket, node and turn. The first turn also takes the smallest node, which groups of
     near copies share over many buckets; with that, the only pair of a bucket of two is settled.
     """
     member = ["node", "n", "component"]
-    drawn = F.min(F.struct(F.xxhash64("bucket", "node", F.lit(turn)).alias("rank"), *member)).alias("drawn")
+    count = 1 if turn == 0 else draws
+    drawn = [F.min(F.struct(F.xxhash64("bucket", "node", F.lit(turn), F.lit(k)).alias("rank"), *member)).alias(f"drawn{k}") for k in range(count)]
     least = F.min(F.struct(F.lit(0).cast("long").alias("rank"), *member)).alias("least")
-    centres = members.groupBy("bucket").agg(*[least, drawn] if turn == 0 else [drawn])
-    chosen = F.array("least", "drawn") if turn == 0 else F.array("drawn")
+    centres = members.groupBy("bucket").agg(*[least, *drawn] if turn == 0 else drawn)
+    chosen = F.array(*["least"] * (turn == 0), *[f"drawn{k}" for k in range(count)])
     pairs = members.join(centres.select("bucket", chosen.alias("centres")), "bucket").select(*member, F.explode("centres").alias("c"))
     fitting = pairs.where("component != c.component").withColumn("m", F.col("c.n")).where(may_link)
     return fitting.select(F.greatest("node", "c.node").alias("a"), F.least("node", "c.node").alias("b")).distinct()
 
 
-def bucket_links(members: DataFrame, confirm: Callable[[DataFrame], DataFrame], may_link: str) -> tuple[DataFrame, DataFrame]:
+def bucket_links(members: DataFrame, confirm: Callable[[DataFrame], DataFrame], may_link: str, draws: int = 1) -> tuple[DataFrame, DataFrame]:
     """(links, components) of nodes that share buckets.
 
     ``members``: bucket, size (its number of nodes), node, n (a node's size); ``may_link`` is a condition on the sizes n and m of two nodes. ``confirm`` keeps of
-    (a, b) the pairs that are links. A bucket of k nodes gives at most 2 k candidates in the first turn, and k - 1 in
+    (a, b) the pairs that are links. A bucket of k nodes gives at most 2 k candidates in the first turn, and ``draws`` times k in
     later ones. Buckets left with several components get other centres, drawn anew for each bucket and turn, until
     a turn with drawn centres alone finds no further link. Buckets of two, and those of one component, are
     settled and not looked at again.
     """
     links, found, current, turn = None, None, members.withColumn("component", F.col("node")), 0
     while True:
-        pairs = stage(_candidates(current, may_link, turn), "pairs")
+        pairs = stage(_candidates(current, may_link, turn, draws), "pairs")
         if links is not None and pairs.isEmpty():
             break
         confirmed = stage(confirm(pairs), "links")
