@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from check import compare, engine
 from conftest import SMALL
 from test_coding import edits
-from corpus_fixtures import no_docs, odd_docs  # noqa: F401
+from corpus_fixtures import no_docs, odd_docs, prose  # noqa: F401
 from tracewell.llm import chat, exact_dups, fingerprints, language, line_dups, near_dups, packing, pieces, token_files, toxicity
-from tracewell.llm.components import components
+from tracewell.llm.components import bucket_links, components
 from tracewell.llm.queries import ORACLES, QUERIES, table
 from tracewell.session import new_path
 
@@ -168,6 +168,42 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "x long, y long"), "x", "y").count() == 0
 
 
+def test_bucket_links_tests_every_pair(spark):
+    # two buckets of unlike nodes, with a few links that hardly any centre meets
+    members = spark.range(2300).selectExpr("explode(array(1L, 2L)) AS bucket", "2300L AS size", "id AS node", "100 + id % 3 AS n")
+    confirm = lambda pairs: pairs.where("a = b + 3 AND a % 100 = 7 OR a = 2299 AND b = 2")
+    links, found = bucket_links(members, confirm, "n = m OR n + m = 203")
+    want = {(a, a - 3) for a in range(7, 2300, 100)} | {(2299, 2)}
+    assert {(r["a"], r["b"]) for r in links.collect()} == want
+    assert {r["node"]: r["component"] for r in found.collect()} == {x: b for a, b in want for x in (a, b)}
+
+
+def test_near_in_a_family(spark):
+    # texts of one template at resemblance 0.6, a few real near copies among them
+    rng, frame = random.Random(11), prose(21, 120).split()
+    texts = []
+    for k in range(400):
+        own = frame.copy()
+        own[70:100] = prose(1000 + k, 30).split()
+        texts.append(own)
+    for k in range(0, 400, 40):
+        texts.append(texts[k].copy())
+        texts[-1][rng.randrange(70, 100)] = "changed"
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    want, _ = near_brute(rows, 2)
+    got = {r["doc_id"]: r["component_id"] for r in near_dups.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()}
+    assert got == want and sum(i != c for i, c in got.items()) == 10
+
+
+def test_sketch_differs_no_more_than_the_sets():
+    rng = np.random.default_rng(3)
+    for size in (1, 30, 3000):
+        a, b = (rng.integers(0, 1 << 63, size, dtype=np.uint64) for _ in range(2))
+        b[:size // 2] = a[:size // 2]
+        bits = sum(bin(int(x) & 0xFFFFFFFFFFFFFFFF).count("1") for x in near_dups.sketch(a) ^ near_dups.sketch(b))
+        assert bits <= len(set(a.tolist()) ^ set(b.tolist()))
+
+
 # --- fingerprints
 
 def shingles(text: str) -> set:

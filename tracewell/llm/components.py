@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
+from tracewell.functions.scale import running_count
 from tracewell.session import stage
 
+BLOCK = 1024  # nodes of a bucket that are compared with as many others at once
+
 
 def _is_stars(edges: DataFrame) -> bool:
     """Whether every node has one smaller neighbour at most, and none of these has one itself."""
@@ -61,14 +64,38 @@ def _candidates(members: DataFrame, may_link: str, turn: int, draws: int) -> Dat
     return fitting.select(F.greatest("node", "c.node").alias("a"), F.least("node", "c.node").alias("b")).distinct()
 
 
-def bucket_links(members: DataFrame, confirm: Callable[[DataFrame], DataFrame], may_link: str, draws: int = 1) -> tuple[DataFrame, DataFrame]:
-    """(links, components) of nodes that share buckets.
+def _open_pairs(members: DataFrame, may_link: str, blocks: DataFrame) -> DataFrame:
+    """All pairs (a, b) of nodes that share a bucket, have different components and may be linked.
+
+    ``members`` has a ``block``: a stretch of at most ``BLOCK`` of a bucket's nodes, ordered by component. Each two blocks of a bucket are compared, and
+    each with itself, but for those that hold one and the same component.
+    """
+    x, y = (blocks.select("bucket", *[F.col(c).alias(f"{c}_{side}") for c in ("block", "low", "high")]) for side in "xy")
+    both = x.join(y, "bucket").where("block_x <= block_y AND (low_x < high_x OR low_y < high_y OR low_x < low_y)")
+    left = both.select("bucket", F.col("block_x").alias("block"), "block_y").join(members, ["bucket", "block"]).select(
+        "bucket", F.col("block_y").alias("block"), F.col("block").alias("of"), F.col("node").alias("left"), F.col("n").alias("n"), F.col("component").alias("c"))
+    right = members.select("bucket", "block", F.col("node").alias("right"), F.col("n").alias("m"), F.col("component").alias("d"))
+    pairs = left.join(right, ["bucket", "block"]).where("c != d AND (of < block OR left < right)").where(may_link)
+    return pairs.select(F.greatest("left", "right").alias("a"), F.least("left", "right").alias("b")).distinct()
+
+
+def _blocked(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``members`` with the block of each, and (bucket, block, low, high): the components at a block's ends."""
+    placed = running_count(members, ["bucket"], ["component", "node"])
+    blocked = stage(placed.withColumn("block", F.floor((F.col("pos") - 1) / BLOCK)).drop("pos"), "blocks")
+    return blocked, blocked.groupBy("bucket", "block").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+
+
+def bucket_links(members: DataFrame, confirm: Callable[[DataFrame], DataFrame], may_link: str, draws: int = 1,
+                 refine: Callable[[DataFrame], DataFrame] | None = None, refined: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(links, components) of nodes that share buckets: the components are those of all links within buckets.
 
     ``members``: bucket, size (its number of nodes), node, n (a node's size); ``may_link`` is a condition on the sizes n and m of two nodes. ``confirm`` keeps of
     (a, b) the pairs that are links. A bucket of k nodes gives at most 2 k candidates in the first turn, and ``draws`` times k in
     later ones. Buckets left with several components get other centres, drawn anew for each bucket and turn, until
-    a turn with drawn centres alone finds no further link. Buckets of two, and those of one component, are
-    settled and not looked at again.
+    a turn with drawn centres alone finds no further link: large groups are joined by few links. Then all pairs
+    of different components in all open buckets are compared, block by block. Buckets of two, and those of one component, are
+    settled and not looked at again. ``refine`` may replace the n of the nodes left by more than their size, for the condition ``refined`` on them.
     """
     links, found, current, turn = None, None, members.withColumn("component", F.col("node")), 0
     while True:
@@ -85,6 +112,14 @@ def bucket_links(members: DataFrame, confirm: Callable[[DataFrame], DataFrame],
         left = joined.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
         current = stage(joined.join(left.select("bucket"), "bucket", "left_semi"), "buckets")
         turn += 1
+    if not current.isEmpty():
+        rest, condition = current, may_link
+        if refine is not None:
+            rest, condition = refine(current), refined
+        blocked, blocks = _blocked(rest.select("bucket", "node", "n", "component"))
+        confirmed = stage(confirm(stage(_open_pairs(blocked, condition, blocks), "pairs")), "links")
+        links = links.unionByName(confirmed)
+        found = stage(components(links, "a", "b"), "components")
     return links.distinct(), found
 
 
