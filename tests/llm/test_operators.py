@@ -341,6 +341,21 @@ def test_toxic_words_misspelled_and_quoted():
     assert x[0][1] > x[4][1] > 0 and x[2][1] == 0 < x[2][2]
 
 
+def test_density_counts_the_whole_text():
+    model = toxicity.Model([("idiot", False)], {(0, 0): 1.0}, [-4.0, 1.0, 0.3, 0.1])
+    scattered = [(100 * k, 0, 0, "plain", "idiot") for k in range(300)]
+    run = [(40_000 + k, 0, 0, "plain", "idiot") for k in range(49)]
+    assert toxicity.features(model, scattered)[3] == pytest.approx(np.log1p(1))
+    assert toxicity.features(model, scattered + run)[3] == pytest.approx(np.log1p(49))
+    assert toxicity.features(model, [])[3] == 0
+
+
+def test_fitting_sees_every_match(spark):
+    model = toxicity.Model([("idiot", False)], {(0, 0): 1.0}, [-4.0, 1.0, 0.3, 0.1])
+    sample = spark.createDataFrame([("idiot " * 1500, 1)], "text string, label int")
+    assert [len(r["matches"]) for r in toxicity._sample_matches(sample, model)] == [1500]
+
+
 def test_toxicity_without_labels(spark, odd_docs):
     empty = spark.createDataFrame([], "text string, label int")
     assert {r["predicted"] for r in toxicity.score(odd_docs, toxicity.fit(empty)).collect()} == {0}

@@ -220,7 +220,8 @@ def features(model: Model, matches: list[tuple]) -> list[float]:
         into[word] = max(into.get(word, 0.0), weight * (1.25 if context == "address" else 1.0))
         if context != "quotation":
             places.append(place)
-    dense = max((sum(1 for q in places[i:] if q < p + CLOSE) for i, p in enumerate(places[:200])), default=0)
+    at = np.sort(np.array(places, dtype=np.int64))
+    dense = int((np.searchsorted(at, at + CLOSE) - np.arange(len(at))).max(initial=0))
     return [1.0, min(sum(abuse.values()), 20.0), min(sum(quoted.values()), 20.0), math.log1p(dense)]
 
 
@@ -241,11 +242,10 @@ def _sample_matches(sample: DataFrame, model: Model) -> list:
         found = matcher(model)
         for batch, i, j, part, at in _texts(batches):
             _, per_text = found.matches(part, at)
-            out = [m[:1000] for m in per_text]
             kind = pa.list_(pa.struct([("place", pa.int64()), ("term", pa.int64()), ("edits", pa.int64()), ("context", pa.string()), ("word", pa.string())]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("label").slice(i, j - i).cast(pa.int32()),
-                 pa.array([[dict(zip(("place", "term", "edits", "context", "word"), x)) for x in m] for m in out], kind)], ["label", "matches"])
+                 pa.array([[dict(zip(("place", "term", "edits", "context", "word"), x)) for x in m] for m in per_text], kind)], ["label", "matches"])
     return sample.select("text", "label").mapInArrow(
         rows, "label int, matches array<struct<place:long,term:long,edits:long,context:string,word:string>>").collect()
 
