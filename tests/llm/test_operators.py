@@ -307,6 +307,17 @@ def test_lines_odd_rows(spark, odd_docs):
     assert got[5]["dropped"] == [0] and got[13]["dropped"] == [0] and got[8]["dropped"] == [0] and got[12]["n_kept"] == 1
 
 
+def dropped_of(spark, texts: list) -> list:
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    return [r["dropped"] for r in line_dups.repeated_lines(docs).orderBy("doc_id").collect()]
+
+
+def test_lines_are_compared_by_letters(spark):
+    # two of six words differ, but two of 39 letters; the long word decides the SimHash
+    line = "alphabet alphabet alphabet alphabet a b"
+    assert dropped_of(spark, [line, line.replace("a b", "c d"), "alphabet alphabet alphabet alphabet and others behind"]) == [[], [0], []]
+
+
 # --- toxicity
 
 def test_toxicity(spark, odd_docs, no_docs):
