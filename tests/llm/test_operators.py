@@ -318,6 +318,13 @@ def test_lines_are_compared_by_letters(spark):
     assert dropped_of(spark, [line, line.replace("a b", "c d"), "alphabet alphabet alphabet alphabet and others behind"]) == [[], [0], []]
 
 
+def test_lines_without_blanks(spark):
+    line = "".join(chr(0x4E00 + 37 * k % 5000) for k in range(200))
+    address = "example" + "abcdefghijklmnopqrstuvwxyz" * 6
+    texts = [line + "\n" + address, line[:120] + "\u3002" + line[121:], address + "x", "\u4e00" * 3 + line[::-1]]
+    assert dropped_of(spark, texts) == [[], [0], [0], []]
+
+
 # --- toxicity
 
 def test_toxicity(spark, odd_docs, no_docs):
