@@ -325,6 +325,16 @@ def test_lines_without_blanks(spark):
     assert dropped_of(spark, texts) == [[], [0], [0], []]
 
 
+def test_lines_of_null_and_repeated_ids(spark):
+    line = "a long line of boilerplate text that stands in many documents with the number %d at its end"
+    rows = [(None, line % 1), (1, line % 1), (2, line % 2), (3, "quite another thing"), (3, "wonderful weather outside, said nobody at all today"),
+            (4, "wonderful wezther outside, said nobody at all today")]
+    # equal lines after folding digits are one node; the misspelled line differs by a letter
+    rows += [(5, (line % 1).replace("boilerplate", "boilerplzte"))]
+    got = {r["doc_id"]: r["dropped"] for r in line_dups.repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[None] == [] and got[1] == got[2] == got[5] == [0] and got[3] == [] and got[4] == [0]
+
+
 # --- toxicity
 
 def test_toxicity(spark, odd_docs, no_docs):
