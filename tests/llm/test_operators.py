@@ -265,6 +265,11 @@ def test_packing(spark, odd_docs, no_docs):
     assert packing.pack(no_docs, model, 1).count() == 0
 
 
+def test_drawn_combinations_favour_no_length():
+    found = [c for c in packing.combinations(np.where(np.arange(2048) > 0, 10, 0), 2048) if len(c) == 3]
+    assert max(min(c) for c in found) > 500
+
+
 def test_plan_places_most_remainders_whole():
     rng = np.random.default_rng(5)
     counts = np.bincount(np.clip(rng.lognormal(6, 0.9, 40_000).astype(int), 1, 2047), minlength=2048)

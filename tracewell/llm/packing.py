@@ -27,7 +27,7 @@ from tracewell.session import prepare, stage
 
 WINDOW = 2048
 DEPTH = 6
-DRAWN = 1200  # combinations drawn per depth above two
+DRAWN = 1200  # combinations per depth above two, of those drawn at random by the lengths' shares
 STEPS = 300
 ROUNDS = 12
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -46,7 +46,9 @@ def combinations(counts: np.ndarray, window: int, seed: int = 0) -> list[tuple[i
         rest = window - drawn.sum(axis=1)
         fits = (rest > 0) & here[np.clip(rest, 0, window - 1)] & (rest < window)
         chosen = np.sort(np.column_stack([drawn[fits], rest[fits]]), axis=1)
-        found |= set(map(tuple, np.unique(chosen, axis=0)[:DRAWN].tolist())) if len(chosen) else set()
+        # in the order drawn, so that no length is favoured
+        _, order = np.unique(chosen, axis=0, return_index=True)
+        found |= set(map(tuple, chosen[np.sort(order)[:DRAWN]].tolist())) if len(chosen) else set()
     return sorted(found)
 
 
