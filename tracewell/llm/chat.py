@@ -1,7 +1,7 @@
 """Chat formatting: a role automaton checks the order of turns, a template gives text segments with loss flags.
 
-DataFrame functions only. The unit of work is the turn: state and order come from windows over short columns,
-so a long conversation is never gathered to be formatted.
+DataFrame functions only. The unit of work is the turn: state and order come from windows that sort a conversation's
+turns, texts included, in one task. It may spill, but no conversation is gathered into one row to be formatted.
 """
 
 from __future__ import annotations
