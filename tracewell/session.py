@@ -22,6 +22,7 @@ RECOMMENDED = {
 }
 
 _staged: list[tuple[SparkSession, str]] = []
+_scratch: dict[str, str] = {}  # the folder of a local session that names none, by application
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -44,9 +45,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _scratch:
+        _scratch[application] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return _scratch[application]
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -59,17 +61,30 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` as parquet in the shared folder and read it back: lineage ends here."""
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.staged_at = path
+    return table
+
+
+def _delete(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True))
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete staged tables that nothing will read again; other frames and None are left alone."""
+    for table in tables:
+        path = getattr(table, "staged_at", None)
+        if path is not None:
+            _delete(table.sparkSession, path)
+            _staged[:] = [entry for entry in _staged if entry[1] != path]
 
 
 def release(spark: SparkSession) -> int:
     """Delete the tables staged through this session; returns how many were removed."""
-    jvm = spark._jvm
     removed = 0
     for owner, path in list(_staged):
         if owner is spark:
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-            removed += bool(fs.delete(target, True))
+            removed += _delete(spark, path)
             _staged.remove((owner, path))
     return removed
