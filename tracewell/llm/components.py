@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 
 from tracewell.functions.scale import running_count
-from tracewell.session import stage
+from tracewell.session import discard, stage
 
 BLOCK = 1024  # nodes of a bucket that are compared with as many others at once
+CHEAP = 8     # open pairs for each open member that are compared at once rather than thinned out by another turn
 
 
 def _is_stars(edges: DataFrame) -> bool:
@@ -37,31 +38,26 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
     a table in the shared folder, and a number of rounds logarithmic in the longest path suffices.
     """
     a, b = F.col(left), F.col(right)
-    edges = stage(edges.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")), "edges")
+    edges = stage(edges.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
     while not _is_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _star(both, larger_only=True)
-        edges = stage(_star(large, larger_only=False).where("u > v").distinct(), "edges")
-    edges = edges.distinct()
+        before, edges = edges, stage(_star(large, larger_only=False).where("u > v").distinct(), "edges")
+        discard(before)
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
-def _candidates(members: DataFrame, may_link: str, turn: int, draws: int) -> DataFrame:
-    """Pairs (a, b) of a bucket's members with its centres, if their components differ and their sizes allow a link.
+def _candidates(members: DataFrame, may_link: str, turn: int) -> DataFrame:
+    """Pairs (a, b) of a bucket's members with its centre, if their components differ and their sizes allow a link.
 
-    A centre is drawn by a hash of bucket, node and turn. The first turn also takes the smallest node, which groups of
-    near copies share over many buckets; with that, the only pair of a bucket of two is settled.
+    The first turn's centre is the smallest node: like nodes share it over many buckets, so a large group gives few different pairs. Later ones
+    are drawn by hashes of component and node that do not depend on the bucket, for the same reason.
     """
-    member = ["node", "n", "component"]
-    count = 1 if turn == 0 else draws
-    drawn = [F.min(F.struct(F.xxhash64("bucket", "node", F.lit(turn), F.lit(k)).alias("rank"), *member)).alias(f"drawn{k}") for k in range(count)]
-    least = F.min(F.struct(F.lit(0).cast("long").alias("rank"), *member)).alias("least")
-    centres = members.groupBy("bucket").agg(*[least, *drawn] if turn == 0 else drawn)
-    chosen = F.array(*["least"] * (turn == 0), *[f"drawn{k}" for k in range(count)])
-    pairs = members.join(centres.select("bucket", chosen.alias("centres")), "bucket").select(*member, F.explode("centres").alias("c"))
-    fitting = pairs.where("component != c.component").withColumn("m", F.col("c.n")).where(may_link)
-    return fitting.select(F.greatest("node", "c.node").alias("a"), F.least("node", "c.node").alias("b")).distinct()
+    drawn = [F.xxhash64("component", F.lit(turn)).alias("rank"), F.xxhash64("node", F.lit(turn)).alias("place")] if turn else []
+    centres = members.groupBy("bucket").agg(F.min(F.struct(*drawn, "node", "component", "n")).alias("c"))
+    pairs = members.join(centres, "bucket").where("component != c.component").withColumn("m", F.col("c.n")).where(may_link)
+    return pairs.select(F.greatest("node", "c.node").alias("a"), F.least("node", "c.node").alias("b")).distinct()
 
 
 def _open_pairs(members: DataFrame, may_link: str, blocks: DataFrame) -> DataFrame:
@@ -86,40 +82,64 @@ def _blocked(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     return blocked, blocked.groupBy("bucket", "block").agg(F.min("component").alias("low"), F.max("component").alias("high"))
 
 
-def bucket_links(members: DataFrame, confirm: Callable[[DataFrame], DataFrame], may_link: str, draws: int = 1,
+def _with_component(members: DataFrame, found: DataFrame) -> DataFrame:
+    return members.drop("component").join(found, "node", "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("component"))
+
+
+def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """``found`` after further links: only the components that these join are looked at."""
+    ends = links
+    for side in "ab":
+        known = found.select(F.col("node").alias(side), F.col("component").alias(f"c{side}"))
+        ends = ends.join(known, side, "left").withColumn(f"c{side}", F.coalesce(f"c{side}", side))
+    joined = components(ends, "ca", "cb").select(F.col("node").alias("component"), F.col("component").alias("into"))
+    moved = found.join(joined, "component", "left").select("node", F.coalesce("into", "component").alias("component"))
+    single = joined.select(F.col("component").alias("node"), F.col("into").alias("component")).join(found, "node", "left_anti")
+    return moved.unionByName(single)
+
+
+def _open_buckets(members: DataFrame) -> tuple[DataFrame, int, int]:
+    """Members of the buckets with several components, their number, and that of the pairs of different components within the buckets."""
+    sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("k"))
+    buckets = sizes.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("k").alias("size"), F.sum(F.col("k") * F.col("k")).alias("squares")).where(
+        "parts > 1")
+    left = stage(members.join(buckets, "bucket"), "buckets")
+    total = left.agg(F.count("*").alias("members"), F.sum((F.col("size") - F.col("squares") / F.col("size")) / 2).alias("pairs")).first()
+    return left, total["members"], total["pairs"] or 0
+
+
+def bucket_links(members: DataFrame, confirm: Callable[[DataFrame], DataFrame], may_link: str,
                  refine: Callable[[DataFrame], DataFrame] | None = None, refined: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(links, components) of nodes that share buckets: the components are those of all links within buckets.
 
     ``members``: bucket, size (its number of nodes), node, n (a node's size); ``may_link`` is a condition on the sizes n and m of two nodes. ``confirm`` keeps of
-    (a, b) the pairs that are links. A bucket of k nodes gives at most 2 k candidates in the first turn, and ``draws`` times k in
-    later ones. Buckets left with several components get other centres, drawn anew for each bucket and turn, until
-    a turn with drawn centres alone finds no further link: large groups are joined by few links. Then all pairs
-    of different components in all open buckets are compared, block by block. Buckets of two, and those of one component, are
-    settled and not looked at again. ``refine`` may replace the n of the nodes left by more than their size, for the condition ``refined`` on them.
+    (a, b) the pairs that are links. A turn gives at most one candidate for each member of a bucket. Buckets left with
+    several components get other centres, as long as that halves the pairs of different components left within buckets: so
+    large groups are joined by few links. Then all these pairs are compared, block by block, unless there were none. ``refine`` may replace the n
+    of the nodes left by more than their size, for the condition ``refined`` on them.
     """
-    links, found, current, turn = None, None, members.withColumn("component", F.col("node")), 0
+    current = members.where("size > 1").select("bucket", "node", "n", F.col("node").alias("component"))
+    links, found, turn, work = None, None, 0, None
     while True:
-        pairs = stage(_candidates(current, may_link, turn, draws), "pairs")
-        if links is not None and pairs.isEmpty():
-            break
+        pairs = stage(_candidates(current, may_link, turn), "pairs")
         confirmed = stage(confirm(pairs), "links")
-        if links is not None and confirmed.isEmpty():
-            break
         links = confirmed if links is None else links.unionByName(confirmed)
-        found = stage(components(links, "a", "b"), "components")
-        joined = current.drop("component").where("size > 2").join(found, "node", "left").select(
-            "bucket", "size", "node", "n", F.coalesce("component", "node").alias("component"))
-        left = joined.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-        current = stage(joined.join(left.select("bucket"), "bucket", "left_semi"), "buckets")
-        turn += 1
-    if not current.isEmpty():
+        found = stage(components(confirmed, "a", "b") if found is None else _merged(found, confirmed), "components")
+        following, count, open_pairs = _open_buckets(_with_component(current, found))
+        discard(pairs, current)
+        current = following
+        if open_pairs <= CHEAP * count or work is not None and 2 * open_pairs > work:
+            break
+        turn, work = turn + 1, open_pairs
+    if count:
         rest, condition = current, may_link
         if refine is not None:
             rest, condition = refine(current), refined
         blocked, blocks = _blocked(rest.select("bucket", "node", "n", "component"))
-        confirmed = stage(confirm(stage(_open_pairs(blocked, condition, blocks), "pairs")), "links")
-        links = links.unionByName(confirmed)
-        found = stage(components(links, "a", "b"), "components")
+        pairs = stage(_open_pairs(blocked, condition, blocks), "pairs")
+        confirmed = stage(confirm(pairs), "links")
+        links, found = links.unionByName(confirmed), stage(_merged(found, confirmed), "components")
+        discard(pairs, current, blocked)
     return links.distinct(), found
 
 
