@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tracewell.llm import chat, exact_dups, fingerprints, language, line_dups, near_dups, packing, pieces, token_files, toxicity
+from tracewell.llm import chat, exact_dups, fingerprints, language, line_dups, near_dups, packing, pieces, token_files, toxicity, vector_codes
 from tracewell.session import new_path, prepare, stage
 
 QUERIES: dict = {}
@@ -109,3 +109,33 @@ def op10_pieces(spark: SparkSession, folder: str) -> DataFrame:
     back = pieces.decode_pieces(pieces.encode_pieces(docs, model), model)
     return back.select("doc_id", "n_pieces", F.crc32("ids").alias("ids_crc32"), F.char_length("text").cast("long").alias("n_chars"),
                        F.sha2("text", 256).alias("text_sha256"))
+
+
+def _coded_sql() -> str:
+    """Two rounds of codebooks and the last assignment, by a full search."""
+    distance = "list_sum([(s[i] - b[i]) * (s[i] - b[i]) for i in range(1, len(s) + 1)])"
+
+    def assigned(name: str, books: str) -> str:
+        return f"""{name} AS (SELECT vec_id, label, p, s, min((d, e)) AS hit FROM (
+  SELECT vec_id, label, c.p, s, e, {distance} AS d FROM cut c JOIN {books} k ON c.p = k.p) GROUP BY vec_id, label, p, s)"""
+
+    def moved(name: str, books: str, hits: str) -> str:
+        return f"""{name} AS (SELECT k.p, k.e, coalesce(n.b, k.b) AS b FROM {books} k LEFT JOIN (
+  SELECT p, e, list(CAST(floor(total / n) AS BIGINT) ORDER BY i) AS b FROM (
+    SELECT p, hit[2] AS e, i, sum(s[i]) AS total, count(*) AS n FROM {hits}, range(1, 17) r(i) WHERE i <= len(s) GROUP BY ALL)
+  GROUP BY p, e) n ON k.p = n.p AND k.e = n.e)"""
+    return f"""
+WITH kept AS (SELECT vec_id, label, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+cut AS (SELECT vec_id, label, p, v[p * len(v) // 16 + 1:(p + 1) * len(v) // 16] AS s FROM kept, range(16) r(p)),
+b0 AS (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, s AS b FROM cut QUALIFY e < 64),
+{assigned("a0", "b0")}, {moved("b1", "b0", "a0")}, {assigned("a1", "b1")}, {moved("b2", "b1", "a1")}, {assigned("a2", "b2")},
+coded AS (SELECT vec_id, label, string_agg(printf('%02x', hit[2]), '' ORDER BY p) AS code, CAST(sum(hit[1]) AS BIGINT) AS error FROM a2 GROUP BY vec_id, label)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(b, ','), ',' ORDER BY p, e)) FROM b2) AS codebooks_sha256 FROM coded"""
+
+
+@query("op13_vector_codes", _coded_sql())
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    coded, books = vector_codes.compress(table(spark, folder, "embeddings"))
+    return coded.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
