@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tracewell.llm import chat, exact_dups, fingerprints, language, line_dups, near_dups, packing, pieces, token_files, toxicity, vector_codes
+from tracewell.llm import chat, exact_dups, fingerprints, hard_negatives, language, line_dups, near_dups, ngram_join, packing, pieces, token_files, toxicity, vector_codes
 from tracewell.session import new_path, prepare, stage
 
 QUERIES: dict = {}
@@ -111,6 +111,42 @@ def op10_pieces(spark: SparkSession, folder: str) -> DataFrame:
                        F.sha2("text", 256).alias("text_sha256"))
 
 
+@query("op11_hard_negatives", """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.other_id AS positive_id, CAST(row_number() OVER w AS INT) AS rank, s.other_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+WINDOW w AS (PARTITION BY p.anchor_id, p.other_id ORDER BY s.score DESC, s.other_id)
+QUALIFY row_number() OVER w <= 10""")
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, folder, "embeddings").withColumn("label", label)
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+def _jaccard_sql(words: int) -> str:
+    """Components of documents that share 80 per cent of their shingles, by counting common shingles of all pairs."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, md5_number(array_to_string(w[i:i + {words - 1}], ' ')) AS e
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - {words - 1}, 1))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM s x JOIN s y ON x.e = y.e AND x.doc_id <> y.doc_id GROUP BY ALL) p
+  JOIN n x ON p.a = x.doc_id JOIN n y ON p.b = y.doc_id WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id
+FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a) USING (doc_id)"""
+
+
+@query("op12_ngram_join", _jaccard_sql(5))
+def op12_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.jaccard_join(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def _coded_sql() -> str:
     """Two rounds of codebooks and the last assignment, by a full search."""
     distance = "list_sum([(s[i] - b[i]) * (s[i] - b[i]) for i in range(1, len(s) + 1)])"
