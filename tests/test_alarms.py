@@ -37,9 +37,10 @@ def test_schedule_forgets_disabled_rules(spark):
 
 
 def test_ttl_max(spark):
+    from tracewell.operators import metrics
     df = spark.createDataFrame([("k", 0, 5.0), ("k", 10, 3.0), ("k", 14, 4.0), ("k", 15, 1.0), ("k", 16, 2.0)],
                                "k string, t long, v double")
-    got = [r.v_max for r in alarms.ttl_max(df, ["k"], "t", "v", 15).orderBy("t").collect()]
+    got = [r.v_max for r in metrics.largest_alive(df, ["k"], "t", "v", 15).orderBy("t").collect()]
     assert got == [5.0, 5.0, 5.0, 1.0, 2.0]
 
 

@@ -33,16 +33,54 @@ def test_stream_over_several_batches_equals_the_batch(spark):
         assert {(r.key, r.n) for r in runs.latest(written, ["key"]).collect()} == {(ip, 4) for ip in {a for a, _ in ACCESS}}
 
 
-def test_traces_close_after_sixteen_idle_minutes(spark, make_spans):
+def batches(spark, rows, *picks):
+    """A stream of one file for each list of row numbers."""
     path = new_path(spark, "spans")
-    spans = make_spans(dict(trace="a", id="1", at=0), dict(trace="a", id="2", at=900), dict(trace="b", id="1", at=960),
-                       dict(trace="c", id="1", at=900 + 16 * 60 + 1))
-    spans.coalesce(1).write.parquet(path)
-    stream = traces.closed_sessions(spark.readStream.schema(spans.schema).parquet(path))
-    closed = runs.run_to_table(stream).drop("batch")
-    assert [(r.trace_id, r.received) for r in closed.collect()] == [("a", 2)]
-    found = traces.session_spans(closed, spans)
-    assert sorted((r.trace_id, r.span_id) for r in found.collect()) == [("a", "1"), ("a", "2")]
+    rows = rows.withColumn("_nr", F.col("row_key").cast("int"))
+    for pick in picks:
+        rows.where(F.col("_nr").isin(pick)).drop("_nr").coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.drop("_nr").schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def test_traces_close_after_sixteen_idle_minutes(spark, make_spans):
+    minute = 60
+    spans = make_spans(
+        dict(trace="a", id="1", at=0), dict(trace="a", id="2", at=15 * minute, parent="1", tags={"error": "500"}, local="x"),   # one session of two
+        dict(trace="b", id="1", at=16 * minute), dict(trace="a", id="3", at=32 * minute),                                   # a's next one
+        dict(trace="c", id="1", at=100 * minute), dict(trace="a", id="4", at=14 * minute), dict(trace="d", id="1", at=200 * minute))
+    #  spans 0 and 3 come again; span 5 comes when its session has closed
+    stream = batches(spark, spans, [1, 3], [0, 2], [0, 3], [4], [5], [6])
+    out = runs.run_to_table(traces.assemble(stream, "20 minutes")).cache()
+    closed = {(r.trace_id, r.span_id, r.session_start.minute) for r in out.where("outcome = 'closed'").collect()}
+    assert closed == {("a", "1", 0), ("a", "2", 0), ("b", "1", 16), ("a", "3", 32), ("c", "1", 40)}
+    assert [(r.trace_id, r.span_id, r.session_start) for r in out.where("outcome = 'late'").collect()] == [("a", "4", None)]
+    assert {(r.session_start.minute, r.times) for r in out.where("outcome = 'repeated'").collect()} == {(0, 1), (32, 1)}
+    # all but the span whose session is still open
+    assert out.agg(F.sum("times")).first()[0] == 9 - 1
+    whole = lambda df: sorted(map(str, df.select(spans.columns).collect()))
+    assert whole(out.where("outcome = 'closed'")) == whole(spans.where("row_key NOT IN (5, 6)"))
+
+
+def test_trace_assembly_of_shuffled_spans_equals_the_batch(spark, make_spans):
+    import random
+    rng = random.Random(8)
+    rows = [dict(trace=f"t{rng.randrange(12)}", id=str(i), at=rng.randrange(40_000)) for i in range(300)]
+    spans = make_spans(*rows)
+    order = sorted(range(300), key=lambda i: rows[i]["at"] + rng.randrange(1_200))
+    stream = batches(spark, spans, *[order[k:k + 30] for k in range(0, 300, 30)])
+    out = runs.run_to_table(traces.assemble(stream, "20 minutes"))
+    got = {(r.trace_id, r.span_id): r.session_start.timestamp() for r in out.where("outcome = 'closed'").collect()}
+    assert out.where("outcome != 'closed'").count() == 0
+    want, end = {}, max(r["at"] for r in rows) - 1_200
+    for trace in {r["trace"] for r in rows}:
+        sessions = []
+        for r in sorted((r for r in rows if r["trace"] == trace), key=lambda r: r["at"]):
+            if not sessions or r["at"] >= sessions[-1][-1]["at"] + 960:
+                sessions.append([])
+            sessions[-1].append(r)
+        want |= {(trace, r["id"]): s[0]["at"] for s in sessions if s[-1]["at"] + 960 <= end for r in s}
+    base = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc).timestamp()
+    assert {k: round(v - base) for k, v in got.items()} == want and len(want) > 250
 
 
 def test_insert_absent_and_snapshot_are_repeatable(spark):

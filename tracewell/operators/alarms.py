@@ -119,25 +119,3 @@ def actions(fired: DataFrame, rules: DataFrame) -> DataFrame:
         F.when(kind.isin("EMAIL", "SMS", "WECHAT"), kind).otherwise("DEFAULT").alias("type"),
         F.col("a.name").alias("name"), F.col("a.from").alias("sender"), F.col("a.to").alias("receiver"),
         F.col("a.subject").alias("subject"), F.col("a.msg").alias("msg"))
-
-
-def _ttl_group(ttl: int):
-    def fold(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("t")
-        best, since, out = None, None, []
-        for t, v in zip(frame["t"], frame["v"]):
-            if best is None or t >= since + ttl or v > best:
-                best, since = v, t
-            out.append(best)
-        return frame.assign(v_max=out)
-    return fold
-
-
-def ttl_max(df: DataFrame, keys: Sequence[str], t: str, v: str, ttl: int) -> DataFrame:
-    """Largest value per key with a time to live of ``ttl`` seconds, renewed only by a larger value.
-
-    Meant for per-interval metrics: a group holds one row per interval.
-    """
-    rows = df.select(*keys, F.col(t).cast("long").alias("t"), F.col(v).cast("double").alias("v"))
-    schema = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
-    return rows.groupBy(*keys).applyInPandas(_ttl_group(ttl), f"{schema}, t long, v double, v_max double")

@@ -74,7 +74,7 @@ def rates(df: DataFrame, keys: Sequence[str], ts: str, end: Column, minutes: Seq
 
 
 def endpoint_metrics(spans: DataFrame, keys: Sequence[str], interval_end: Column | None = None) -> DataFrame:
-    """One metric row per key: totals, 15-minute rate, latency summary, failures and failure rate.
+    """One metric row per key: totals, 15-minute rate at ``interval_end``, latency summary, failures and failure rate.
 
     Counts, failures and latency come out of one histogram pass.
     """
@@ -89,8 +89,38 @@ def endpoint_metrics(spans: DataFrame, keys: Sequence[str], interval_end: Column
         return shaped
     moving = rates(spans, keys, "ts", interval_end, (15,)).select(*keys, F.col("m15_rate").alias("qps"))
     on = [F.col(f"b.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
-    return shaped.alias("b").join(moving.alias("r"), on, "left").select(
-        "b.*", "r.qps", F.col("r.qps").alias("qps_max"))
+    return shaped.alias("b").join(moving.alias("r"), on, "left").select("b.*", "r.qps")
+
+
+def _living_largest(steps: Column, ttl: int) -> Column:
+    """``(t, v)`` steps in time order with the largest v that still lives at each; see ``largest_alive``."""
+    start = F.struct(F.lit(None).cast("double").alias("best"), F.lit(None).cast("long").alias("since"),
+                     F.array().cast("array<struct<t:bigint,v_max:double>>").alias("out"))
+
+    def step(state: Column, x: Column) -> Column:
+        anew = state["best"].isNull() | (x["t"] >= state["since"] + ttl) | (x["v"] > state["best"])
+        best, since = F.when(anew, x["v"]).otherwise(state["best"]), F.when(anew, x["t"]).otherwise(state["since"])
+        return F.struct(best.alias("best"), since.alias("since"),
+                        F.array_append(state["out"], F.struct(x["t"].alias("t"), best.alias("v_max"))).alias("out"))
+    return F.aggregate(steps, start, step, lambda state: state["out"])
+
+
+def largest_alive(df: DataFrame, keys: Sequence[str], t: str, v: str, ttl: int) -> DataFrame:
+    """``(keys, t, v, v_max)``: per key the largest value with a time to live of ``ttl`` seconds, renewed only by a larger value.
+
+    Meant for per-interval metrics: a key has one row per interval, and times are whole seconds.
+    """
+    steps = df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.col(t).cast("long").alias("t"), F.col(v).cast("double").alias("v")))).alias("_steps"))
+    both = steps.select(*keys, F.arrays_zip("_steps", _living_largest(F.col("_steps"), ttl).alias("_best")).alias("_z"))
+    return both.select(*keys, F.explode("_z").alias("_z")).select(
+        *keys, F.col("_z._steps.t").alias("t"), F.col("_z._steps.v").alias("v"), F.col("_z._best.v_max").alias("v_max"))
+
+
+def with_largest_rate(rows: DataFrame, keys: Sequence[str], at: str, ttl: int) -> DataFrame:
+    """Interval metric rows with ``qps_max``, the largest rate of their key that still lives."""
+    best = largest_alive(rows.withColumn("_t", F.unix_seconds(at)), keys, "_t", "qps", ttl).select(
+        *keys, F.timestamp_seconds("t").alias(at), F.col("v_max").alias("qps_max"))
+    return lookup(rows, best, [*keys, at])
 
 
 def report_rows(metric: DataFrame, name: Column, kind: str, values: Sequence[str], host: str,

@@ -7,10 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tracewell.functions import expressions as E
-from tracewell.functions.scale import distribution, lookup
 
 
-def snapshots(metrics: DataFrame, at: str = "day") -> DataFrame:
+def snapshots(metrics: DataFrame, at: str) -> DataFrame:
     """Metric rows as snapshot documents: one per time, app and url, with a nested row per call kind."""
     is_root = F.col("metric_kind").isNull()
     row = F.struct(
@@ -23,25 +22,6 @@ def snapshots(metrics: DataFrame, at: str = "day") -> DataFrame:
         F.sort_array(F.collect_list(row)).alias("spans"))
 
 
-def day_to_date(requests: DataFrame, keys: Sequence[str], ts: str, value: str, probs: Sequence[float],
-                seconds: int = 900, width: int = 1000) -> DataFrame:
-    """Per interval: its own count, and the latency summary of the day up to the interval's end.
-
-    Rows become per-interval histograms first; each histogram row then counts in its own interval and
-    in the later ones of that day in which the key was active, at most a day's worth of intervals.
-    """
-    keys = list(keys)
-    hist = (requests.groupBy(*keys, E.bucket_start(F.col(ts), seconds).alias("w"), F.col(value).alias("_value"))
-            .agg(F.count("*").alias("_count")).withColumn("_day", F.to_date("w")))
-    counts = hist.groupBy(*keys, "w").agg(F.sum("_count").alias("total"))
-    active = hist.groupBy(*keys, "_day").agg(F.collect_set("w").alias("_active"))
-    until = lookup(hist, active, [*keys, "_day"], "inner").withColumn(
-        "_w", F.explode(F.filter("_active", lambda a: a >= F.col("w"))))
-    summary = distribution(until.select(*keys, F.col("_w").alias("w"), "_value", "_count"), [*keys, "w"], "_value",
-                           probs, width, weight="_count").drop("rows")
-    return lookup(counts, summary, [*keys, "w"], "inner")
-
-
 def nested_rows(docs: DataFrame, column: str = "spans") -> DataFrame:
     """Documents with one output row per nested row, its fields prefixed ``span_``."""
     nested = docs.withColumn("_s", F.explode(column)).drop(column)

@@ -9,12 +9,13 @@ from tracewell.operators import alarms, metrics, search
 from tracewell.plans.panels import HIT, kept
 from tracewell.plans.registry import query
 from tracewell.plans.requests import rate_sql, rounded
-from tracewell.plans.spans import KEPT
-from tracewell.plans.sql_views import RULE_MATCH, V_ACCESS, V_NORM, V_SPAN, v_alarm, with_views
+from tracewell.plans.spans import KEPT, normalized
+from tracewell.plans.sql_views import RULE_MATCH, V_NORM, V_SPAN, v_alarm, with_views
 from tracewell.sources import derived
 
-NOW, START = "2000-06-15 12:00:00", "1995-01-01 00:00:00"
-START_SECONDS = 788918400
+NOW, START = "2024-03-01 00:15:00", "2024-02-29 22:00:00"
+START_SECONDS = 1709244000
+TICK = 60
 LISTED = with_views(v_alarm("customer", "c_custkey"))
 
 
@@ -89,7 +90,7 @@ def alarm_test(spark, sf):
 
 
 TICKS = MATCHED + f""",
-timed AS (SELECT *, epoch_us(create_time) // 1000000 AS t, CAST(ceil(frequency / 86400.0) AS BIGINT) * 86400 AS period FROM m),
+timed AS (SELECT *, epoch_us(create_time) // 1000000 AS t, CAST(ceil(frequency / {TICK}.0) AS BIGINT) * {TICK} AS period FROM m),
 firsts AS (SELECT *, {START_SECONDS} + CAST(ceil((t - {START_SECONDS}) / CAST(period AS DOUBLE)) AS BIGINT) * period AS f FROM timed),
 ticks AS (SELECT rule_id, throttle, threshold, tick, count(*) AS matches FROM firsts,
           LATERAL (SELECT unnest(generate_series(f, t + frequency, period)) AS tick) GROUP BY ALL),
@@ -104,7 +105,7 @@ fold AS (
 
 
 def fired(spark: SparkSession, sf: str) -> DataFrame:
-    ticks = alarms.match_ticks(kept(spark, sf), rules(spark, sf), START, 86_400)
+    ticks = alarms.match_ticks(kept(spark, sf), rules(spark, sf), START, TICK)
     return alarms.throttle(ticks)
 
 
@@ -152,33 +153,35 @@ def alarm_schedule(spark, sf):
     return alarms.schedule(ticks.withColumn("frequency", 600 * (F.col("rule_id") + 1)))
 
 
-QUARTERS = with_views(V_ACCESS, """
-binned AS (SELECT app, uri, to_timestamp(epoch_us(ts) // 900000000 * 900)::TIMESTAMP AS w, ts FROM v_access)""",
-                      rate_sql("binned", "app, uri, w", "w + INTERVAL 15 MINUTE", (15,))) + """
-, q AS (SELECT app, uri, epoch_us(w) // 1000000 AS t, round(m15_rate, 6) AS v FROM rated)"""
+FIVES = with_views(V_SPAN, V_NORM, """
+binned AS (SELECT app, metric_kind, name, to_timestamp(epoch_us(ts) // 300000000 * 300)::TIMESTAMP AS w, ts FROM v_norm)""",
+                   rate_sql("binned", "app, metric_kind, name, w", "w + INTERVAL 5 MINUTE", (5,))) + """
+, q AS (SELECT app, metric_kind, name, epoch_us(w) // 1000000 AS t, round(m5_rate, 6) AS v FROM rated)"""
+ENDPOINT = ["app", "metric_kind", "name"]
 
 
-def quarters(spark: SparkSession, sf: str) -> DataFrame:
-    binned = derived.access(spark, sf).withColumn("w", E.bucket_start(F.col("ts"), 900))
-    rated = metrics.rates(binned, ["app", "uri", "w"], "ts", F.col("w") + F.expr("INTERVAL 15 MINUTES"), (15,))
-    return rated.select("app", "uri", F.unix_seconds("w").alias("t"), F.round("m15_rate", 6).alias("v"))
+def fives(spark: SparkSession, sf: str) -> DataFrame:
+    """Moving rate of each endpoint at the end of every five minutes in which it was called."""
+    binned = normalized(spark, sf).withColumn("w", E.bucket_start(F.col("ts"), 300))
+    rated = metrics.rates(binned, [*ENDPOINT, "w"], "ts", F.col("w") + F.expr("INTERVAL 5 MINUTES"), (5,))
+    return rated.select(*ENDPOINT, F.unix_seconds("w").alias("t"), F.round("m5_rate", 6).alias("v"))
 
 
-@query("qps_max_ttl", QUARTERS + """
-, n AS (SELECT *, row_number() OVER (PARTITION BY app, uri ORDER BY t) AS rn FROM q),
+@query("qps_max_ttl", FIVES + """
+, n AS (SELECT *, row_number() OVER (PARTITION BY app, metric_kind, name ORDER BY t) AS rn FROM q),
 fold AS (
-  SELECT app, uri, rn, t, v, v AS v_max, t AS since FROM n WHERE rn = 1
+  SELECT app, metric_kind, name, rn, t, v, v AS v_max, t AS since FROM n WHERE rn = 1
   UNION ALL
-  SELECT n.app, n.uri, n.rn, n.t, n.v, CASE WHEN s THEN n.v ELSE f.v_max END, CASE WHEN s THEN n.t ELSE f.since END
-  FROM fold f JOIN n ON n.app = f.app AND n.uri = f.uri AND n.rn = f.rn + 1,
-       LATERAL (SELECT n.t >= f.since + 43200 OR n.v > f.v_max AS s))
-SELECT app, uri, t, v, v_max FROM fold""")
+  SELECT n.app, n.metric_kind, n.name, n.rn, n.t, n.v, CASE WHEN s THEN n.v ELSE f.v_max END, CASE WHEN s THEN n.t ELSE f.since END
+  FROM fold f JOIN (SELECT *, true AS one FROM n) n ON n.app = f.app AND n.metric_kind IS NOT DISTINCT FROM f.metric_kind AND n.name = f.name AND n.rn = f.rn + 1,
+       LATERAL (SELECT n.t >= f.since + 900 OR n.v > f.v_max AS s))
+SELECT app, metric_kind, name, t, v, v_max FROM fold""")
 def qps_max_ttl(spark, sf):
-    """Quarter-hour rates with a maximum that lives for half a day."""
-    return alarms.ttl_max(quarters(spark, sf), ["app", "uri"], "t", "v", 43_200)
+    """Five-minute rates with a maximum that lives for a quarter hour."""
+    return metrics.largest_alive(fives(spark, sf), ENDPOINT, "t", "v", 900)
 
 
-@query("qps_max_15m", QUARTERS + """
-SELECT app, uri, t, v, max(v) OVER (PARTITION BY app, uri ORDER BY t RANGE BETWEEN 900 PRECEDING AND CURRENT ROW) AS v_max FROM q""")
+@query("qps_max_15m", FIVES + """
+SELECT app, metric_kind, name, t, v, max(v) OVER (PARTITION BY app, metric_kind, name ORDER BY t RANGE BETWEEN 900 PRECEDING AND CURRENT ROW) AS v_max FROM q""")
 def qps_max_15m(spark, sf):
-    return search.sliding_max(quarters(spark, sf), ["app", "uri"], "t", "v", 900)
+    return search.sliding_max(fives(spark, sf), ENDPOINT, "t", "v", 900)

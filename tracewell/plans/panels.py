@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tracewell.functions import expressions as E
-from tracewell.operators import metrics, outliers, search, trees
+from tracewell.operators import metrics, outliers, search, snapshots, trees
 from tracewell.plans.registry import query
 from tracewell.plans.requests import rate_sql, rounded
-from tracewell.plans.spans import KEPT, METRIC_ROWS, daily_metrics, normalized, tree_spans
+from tracewell.plans.spans import KEPT, METRIC_ROWS, QPS_LIVES, interval_metrics, normalized, tree_spans
 from tracewell.plans.sql_views import V_ACCESS, V_NORM, V_SPAN, with_views
 from tracewell.sources import derived
 
-MONTH, HOUR = 30 * 86_400, 3_600
+HALF_HOUR, HOUR = 1_800, 3_600
 HIT = with_views(V_SPAN, V_NORM, KEPT)
 SNAP = with_views(V_SPAN, V_NORM, METRIC_ROWS) + """
-, snap AS (SELECT day AS create_time, app, name, CASE WHEN metric_kind IS NULL THEN -1 ELSE 1 END AS span_pid,
+, snap AS (SELECT w AS create_time, app, name, CASE WHEN metric_kind IS NULL THEN -1 ELSE 1 END AS span_pid,
            CASE WHEN metric_kind IS NULL THEN name ELSE metric_kind || '||' || name END AS span_name, total AS span_total,
            qps AS span_qps, cost AS span_cost, errors AS span_errors, error_rate AS span_error_rate FROM v_metric)"""
 REPORT = with_views(V_ACCESS, """
@@ -40,7 +40,8 @@ def kept(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def snapshot_docs(spark: SparkSession, sf: str) -> DataFrame:
-    return search.snapshots(daily_metrics(spark, sf))
+    rows = metrics.with_largest_rate(interval_metrics(spark, sf), ["app", "metric_kind", "name"], "w", QPS_LIVES)
+    return search.snapshots(rows, "w")
 
 
 def snapshot_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -72,9 +73,8 @@ SELECT c.app, c.uri, c.w, c.total, count(*) AS n, min(cost_ms) AS min, max(cost_
 FROM c JOIN b ON b.app = c.app AND b.uri = c.uri AND date_trunc('day', b.ts) = date_trunc('day', c.w)
      AND b.ts < c.w + INTERVAL 15 MINUTE GROUP BY ALL""")
 def snapshot_15m(spark, sf):
-    rows = derived.access(spark, sf)
-    return rounded(search.day_to_date(rows, ["app", "uri"], "ts", "cost_ms", (0.95, 0.99)).drop("stddev"),
-                   "mean", "p95", "p99")
+    hist = snapshots.interval_histograms(derived.access(spark, sf), ["app", "uri"], "ts", "cost_ms")
+    return rounded(snapshots.day_to_date(hist, ["app", "uri"], (0.95, 0.99)), "mean", "p95", "p99")
 
 
 @query("nested_exists", SNAP + """
@@ -109,13 +109,13 @@ def terms_avg(spark, sf):
 
 @query("trace_search", HIT + """
 SELECT app, type, trace_id, span_id, row_key, span_name, duration, create_time, (SELECT count(*) FROM v_trace_hit
-  WHERE app = 'svc1' AND type = 'COST' AND span_name = '/p1' AND create_time BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '2000-12-31') AS total
+  WHERE app = 'svc1' AND type = 'COST' AND span_name = '/p1' AND create_time BETWEEN TIMESTAMP '2024-02-29 23:00:00' AND TIMESTAMP '2024-03-01 00:59:59') AS total
 FROM v_trace_hit WHERE app = 'svc1' AND type = 'COST' AND span_name = '/p1'
-  AND create_time BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '2000-12-31'
+  AND create_time BETWEEN TIMESTAMP '2024-02-29 23:00:00' AND TIMESTAMP '2024-03-01 00:59:59'
 ORDER BY create_time DESC, duration DESC, trace_id, span_id, row_key LIMIT 20""")
 def trace_search(spark, sf):
     """First page of the matching kept traces, with the number of all matches."""
-    found = search.search_traces(kept(spark, sf), "svc1", "COST", "/p1", "1996-01-01", "2000-12-31")
+    found = search.search_traces(kept(spark, sf), "svc1", "COST", "/p1", "2024-02-29 23:00:00", "2024-03-01 00:59:59")
     order = [F.desc("create_time"), F.desc("duration"), F.asc("trace_id"), F.asc("span_id"), F.asc("row_key")]
     first = search.page(found, order)
     total = found.agg(F.count("*").alias("total")).withColumn("_one", F.lit(1))
@@ -179,46 +179,46 @@ ONE = "app = 'svc1' AND name = '/p1'"
 
 
 @query("panel_qps", SNAP + f"""
-SELECT {_bucket('create_time', MONTH)} AS bucket, name, round(avg(span_qps), 6) AS value FROM snap WHERE {ONE} GROUP BY ALL""")
+SELECT {_bucket('create_time', HALF_HOUR)} AS bucket, name, round(avg(span_qps), 6) AS value FROM snap WHERE {ONE} GROUP BY ALL""")
 def panel_qps(spark, sf):
-    out = search.panel(_endpoint(spark, sf), "create_time", "name", {"value": F.avg("span_qps")}, MONTH, 20,
+    out = search.panel(_endpoint(spark, sf), "create_time", "name", {"value": F.avg("span_qps")}, HALF_HOUR, 20,
                        F.avg("span_qps"))
     return rounded(out, "value", places=6)
 
 
 @query("panel_total_errors", SNAP + f"""
-SELECT {_bucket('create_time', MONTH)} AS bucket, name, max(span_total) AS total, CAST(max(span_errors) AS BIGINT) AS errors
+SELECT {_bucket('create_time', HALF_HOUR)} AS bucket, name, max(span_total) AS total, CAST(max(span_errors) AS BIGINT) AS errors
 FROM snap WHERE {ONE} GROUP BY ALL""")
 def panel_total_errors(spark, sf):
     return search.panel(_endpoint(spark, sf), "create_time", "name", {
-        "total": F.max("span_total"), "errors": F.max("span_errors")}, MONTH, 10, F.max("span_total"))
+        "total": F.max("span_total"), "errors": F.max("span_errors")}, HALF_HOUR, 10, F.max("span_total"))
 
 
 @query("panel_cost", SNAP + f"""
-SELECT {_bucket('create_time', MONTH)} AS bucket, name, round(avg(span_cost), 4) AS value FROM snap WHERE {ONE} GROUP BY ALL""")
+SELECT {_bucket('create_time', HALF_HOUR)} AS bucket, name, round(avg(span_cost), 4) AS value FROM snap WHERE {ONE} GROUP BY ALL""")
 def panel_cost(spark, sf):
-    return rounded(search.panel(_endpoint(spark, sf), "create_time", "name", {"value": F.avg("span_cost")}, MONTH, 20,
+    return rounded(search.panel(_endpoint(spark, sf), "create_time", "name", {"value": F.avg("span_cost")}, HALF_HOUR, 20,
                                 F.avg("span_cost")), "value")
 
 
 @query("panel_app_total", SNAP + f"""
 , f AS (SELECT * FROM snap WHERE app = 'svc1')
-SELECT {_bucket('create_time', MONTH)} AS bucket, name, max(span_total) AS value FROM f
+SELECT {_bucket('create_time', HALF_HOUR)} AS bucket, name, max(span_total) AS value FROM f
 WHERE name IN {_top('f', 'name', 'max(span_total) DESC, name', 10)} GROUP BY ALL""")
 def panel_app_total(spark, sf):
     rows = snapshot_rows(spark, sf).where("app = 'svc1'")
-    return search.panel(rows, "create_time", "name", {"value": F.max("span_total")}, MONTH, 10, F.max("span_total"))
+    return search.panel(rows, "create_time", "name", {"value": F.max("span_total")}, HALF_HOUR, 10, F.max("span_total"))
 
 
 @query("panel_error_rate", SNAP + f"""
 , o AS (SELECT app FROM snap GROUP BY app ORDER BY app DESC LIMIT 10),
 p AS (SELECT app, span_name FROM (SELECT DISTINCT app, span_name FROM snap WHERE app IN (SELECT app FROM o))
       QUALIFY row_number() OVER (PARTITION BY app ORDER BY span_name DESC) <= 10)
-SELECT {_bucket('create_time', MONTH)} AS bucket, app AS "span_appName", span_name, round(avg(span_error_rate), 4) AS value
+SELECT {_bucket('create_time', HALF_HOUR)} AS bucket, app AS "span_appName", span_name, round(avg(span_error_rate), 4) AS value
 FROM snap JOIN p USING (app, span_name) GROUP BY ALL""")
 def panel_error_rate(spark, sf):
     return rounded(search.panel_two_terms(snapshot_rows(spark, sf), "create_time", "span_appName", "span_name",
-                                          {"value": F.avg("span_errorRate")}, MONTH, 10), "value")
+                                          {"value": F.avg("span_errorRate")}, HALF_HOUR, 10), "value")
 
 
 @query("panel_p95_table", REPORT + """

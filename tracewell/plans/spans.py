@@ -15,7 +15,8 @@ from tracewell.sources import derived
 SPAN = with_views(V_SPAN)
 NORM = with_views(V_SPAN, V_NORM)
 FAILED = "tag_error IS NOT NULL AND tag_error <> '200'"
-NOW = "2001-01-01 00:10:00"
+NOW = "2024-03-01 00:40:00"
+MIDNIGHT = "2024-03-01"
 
 MESSAGE_KEYS = "trace_id, span_id, kind, name, duration, local_service, remote_service"
 
@@ -165,40 +166,51 @@ def kept_traces(spark, sf):
     return outliers.kept_traces(normalized(spark, sf))
 
 
-@query("sink_insert_absent", with_views(V_SPAN, V_NORM, KEPT) + """
+@query("sink_insert_absent", with_views(V_SPAN, V_NORM, KEPT) + f"""
 SELECT app, type, trace_id, span_id, arg_min(duration, (create_time, row_key)) AS duration FROM v_trace_hit h
-WHERE NOT EXISTS (SELECT 1 FROM v_trace_hit e WHERE e.create_time < TIMESTAMP '1998-01-01' AND e.trace_id = h.trace_id
+WHERE NOT EXISTS (SELECT 1 FROM v_trace_hit e WHERE e.create_time < TIMESTAMP '{MIDNIGHT}' AND e.trace_id = h.trace_id
   AND e.type = h.type AND e.app = h.app AND e.span_id = h.span_id)
 GROUP BY ALL""")
 def sink_insert_absent(spark, sf):
     hits = outliers.kept_traces(normalized(spark, sf))
-    stored = hits.where("create_time < TIMESTAMP '1998-01-01'")
+    stored = hits.where(f"create_time < TIMESTAMP '{MIDNIGHT}'")
     return outliers.insert_absent(hits, stored).select("app", "type", "trace_id", "span_id", "duration")
 
 
-DAY_KEYS = ["day", "app", "metric_kind", "name"]
-METRIC_ROWS = f"""daily AS (SELECT *, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day FROM v_norm WHERE tag_sql IS NULL),
-base AS (SELECT day, app, metric_kind, name, count(*) AS total, avg(duration) AS cost,
+INTERVAL_KEYS = ["w", "app", "metric_kind", "name"]
+QPS_LIVES = 1_800  # seconds that a largest rate lives
+METRIC_ROWS = f"""binned AS (SELECT *, to_timestamp(epoch_us(ts) // 900000000 * 900)::TIMESTAMP AS w FROM v_norm WHERE tag_sql IS NULL),
+base AS (SELECT w, app, metric_kind, name, count(*) AS total, avg(duration) AS cost,
          quantile_cont(duration, 0.95) AS cost_tp95, quantile_cont(duration, 0.99) AS cost_tp99,
-         max(duration) AS cost_max, count(*) FILTER ({FAILED}) AS errors FROM daily GROUP BY ALL),
-""" + rate_sql("daily", "day, app, metric_kind, name", "day + INTERVAL 15 MINUTE", (15,)) + """,
+         max(duration) AS cost_max, count(*) FILTER ({FAILED}) AS errors FROM binned GROUP BY ALL),
+""" + rate_sql("binned", "w, app, metric_kind, name", "w + INTERVAL 15 MINUTE", (15,)) + """,
 v_metric AS (SELECT b.*, errors * 100.0 / b.total AS error_rate, m15_rate AS qps FROM base b JOIN rated r
-  ON b.day = r.day AND b.app = r.app AND b.name = r.name AND b.metric_kind IS NOT DISTINCT FROM r.metric_kind)"""
-
-
-def daily_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    """Endpoint metric rows per day; every derived span lies in the first quarter hour of its day."""
-    rows = tree_spans(spark, sf).withColumn("day", F.date_trunc("DAY", "ts"))
-    return metrics.endpoint_metrics(rows, DAY_KEYS, F.col("day") + F.expr("INTERVAL 15 MINUTES"))
-
-
-@query("metric_rows", with_views(V_SPAN, V_NORM, METRIC_ROWS) + """
-SELECT day, app, metric_kind, name, total, round(cost, 4) AS cost, round(cost_tp95, 4) AS cost_tp95,
-       round(cost_tp99, 4) AS cost_tp99, cost_max, errors, round(error_rate, 4) AS error_rate, round(qps, 6) AS qps
-FROM v_metric""")
+  ON b.w = r.w AND b.app = r.app AND b.name = r.name AND b.metric_kind IS NOT DISTINCT FROM r.metric_kind)"""
+# the largest rate is renewed by a larger one, or when it has lived its time
+QPS_MAX = f""",
+qps_n AS (SELECT *, epoch_us(w) // 1000000 AS t, row_number() OVER (PARTITION BY app, metric_kind, name ORDER BY w) AS rn FROM v_metric),
+qps_fold AS (
+  SELECT app, metric_kind, name, w, rn, qps AS qps_max, t AS since FROM qps_n WHERE rn = 1
+  UNION ALL
+  SELECT n.app, n.metric_kind, n.name, n.w, n.rn, CASE WHEN s THEN n.qps ELSE f.qps_max END, CASE WHEN s THEN n.t ELSE f.since END
+  FROM qps_fold f JOIN (SELECT *, true AS one FROM qps_n) n ON n.app = f.app AND n.metric_kind IS NOT DISTINCT FROM f.metric_kind AND n.name = f.name
+       AND n.rn = f.rn + 1, LATERAL (SELECT n.t >= f.since + {QPS_LIVES} OR n.qps > f.qps_max AS s))"""
+
+
+def interval_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Endpoint metric rows of each quarter hour."""
+    rows = tree_spans(spark, sf).withColumn("w", E.bucket_start(F.col("ts"), 900))
+    return metrics.endpoint_metrics(rows, INTERVAL_KEYS, F.col("w") + F.expr("INTERVAL 15 MINUTES"))
+
+
+@query("metric_rows", with_views(V_SPAN, V_NORM, METRIC_ROWS) + QPS_MAX + """
+SELECT m.w, m.app, m.metric_kind, m.name, total, round(cost, 4) AS cost, round(cost_tp95, 4) AS cost_tp95, round(cost_tp99, 4) AS cost_tp99, cost_max, errors,
+       round(error_rate, 4) AS error_rate, round(qps, 6) AS qps, round(qps_max, 6) AS qps_max
+FROM v_metric m JOIN qps_fold f ON m.w = f.w AND m.app = f.app AND m.name = f.name AND m.metric_kind IS NOT DISTINCT FROM f.metric_kind""")
 def metric_rows(spark, sf):
-    out = daily_metrics(spark, sf).drop("qps_max")
-    return rounded(rounded(out, "cost", "cost_tp95", "cost_tp99", "error_rate"), "qps", places=6)
+    """Metric rows with the largest rate that still lives."""
+    out = metrics.with_largest_rate(interval_metrics(spark, sf), ["app", "metric_kind", "name"], "w", QPS_LIVES)
+    return rounded(rounded(out, "cost", "cost_tp95", "cost_tp99", "error_rate"), "qps", "qps_max", places=6)
 
 
 @query("endpoint_totals", with_views(V_SPAN, V_NORM) + f"""

@@ -15,7 +15,9 @@ V_SPAN = """v_span AS (
          CASE WHEN l_linenumber > 1 THEN CAST(l_linenumber // 2 AS VARCHAR) END AS parent_id,
          CASE l_suppkey % 5 WHEN 0 THEN 'CLIENT' WHEN 1 THEN 'SERVER' WHEN 2 THEN 'PRODUCER'
                             WHEN 3 THEN 'CONSUMER' END AS kind,
-         '/' || (l_partkey % 7) AS name, l_shipdate AS ts,
+         '/' || (l_partkey % 7) AS name,
+         TIMESTAMP '2024-02-29 22:30:00' + to_milliseconds(((l_orderkey * 7919) % 10800 + 2 * l_linenumber + l_partkey % 5
+           + CASE WHEN l_partkey % 23 = 0 THEN 1200 ELSE 0 END) * 1000 + l_partkey % 1000) AS ts,
          CAST(round(l_extendedprice * 100) AS BIGINT) AS duration,
          'svc' || (l_suppkey % 12) AS local_service,
          CASE WHEN l_partkey % 3 <> 0 THEN 'svc' || (l_partkey % 12) END AS remote_service,
@@ -48,7 +50,7 @@ def v_alarm(table: str, key: str) -> str:
     k = f"CAST({key} AS BIGINT)"
     return f"""v_alarm AS (
   SELECT {k} AS id, 'title-' || ({k} % 50) AS title, CASE WHEN {k} % 4 = 1 THEN 0 WHEN {k} % 4 <> 0 THEN 1 END AS enable,
-         86400 * ({k} % 5 + 1) AS frequency, 86400 * ({k} % 8 + 7) AS throttle, {k} % 4 AS threshold FROM {table})"""
+         60 * ({k} % 5 + 1) AS frequency, 60 * ({k} % 8 + 7) AS throttle, {k} % 4 AS threshold FROM {table})"""
 
 
 # which rules of v_alarm a kept trace h satisfies

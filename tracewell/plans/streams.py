@@ -6,17 +6,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tracewell.functions import expressions as E
 from tracewell.operators import alarms, outliers, parse, spans as S, topology
-from tracewell.plans.alarms import ALARM, START, TICKS, rules
+from tracewell.plans.alarms import ALARM, START, TICK, TICKS, rules
 from tracewell.plans.panels import HIT, kept
 from tracewell.plans.registry import query
 from tracewell.plans.requests import ACCESS, rounded
-from tracewell.plans.spans import DECODED_SQL, SPAN, decoded_columns, messages, normalized
+from tracewell.plans.spans import DECODED_SQL, MIDNIGHT, SPAN, decoded_columns, messages, normalized
 from tracewell.plans.sql_views import V_ACCESS, V_NORM, V_SPAN, with_views
 from tracewell.plans.topology import LINKS, URL_CALLS
-from tracewell.session import new_path, stage
+from tracewell.session import discard, new_path, stage
 from tracewell.sinks import writers
 from tracewell.sources import derived, readers
-from tracewell.streaming import runs, stateful, traces, windows
+from tracewell.streaming import runs, stateful, summaries, traces, windows
 
 
 def access_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -161,7 +161,7 @@ def stream_insert_absent(spark, sf):
     """Kept traces inserted by a stream into a table that already holds some of them."""
     path, table = new_path(spark, "hits"), new_path(spark, "kept")
     hits = stage(kept(spark, sf), "hits")
-    outliers.insert_absent(hits, None).where("create_time < TIMESTAMP '1998-01-01'").write.parquet(table)
+    outliers.insert_absent(hits, None).where(f"create_time < TIMESTAMP '{MIDNIGHT}'").write.parquet(table)
     hits.write.parquet(path)
     runs.run_available(spark.readStream.schema(hits.schema).parquet(path), writers.insert_absent(table))
     return spark.read.parquet(table).select("app", "type", "trace_id", "span_id", "duration")
@@ -240,49 +240,110 @@ def running_count(spark, sf):
 
 # --- stateful
 
-# all derived spans lie at midnight, so a session of a trace starts with its day
-CLOSED = """day_span AS (SELECT * REPLACE (trace_id || '@' || strftime(ts, '%Y%m%d%H%M%S%f') AS trace_id) FROM v_span
-  WHERE ts + INTERVAL 16 MINUTE <= (SELECT max(ts) FROM v_span))"""
+LATENESS = "45 minutes"
 
+# sessions of a trace end where sixteen minutes pass without a span; closed are those that the watermark has passed by as much
+CLOSED = """marked AS (SELECT *, coalesce(ts >= lag(ts) OVER w + INTERVAL 16 MINUTE, true) AS opens FROM v_span
+  WINDOW w AS (PARTITION BY trace_id ORDER BY ts)),
+counted AS (SELECT *, count(*) FILTER (opens) OVER (PARTITION BY trace_id ORDER BY ts) AS nr FROM marked),
+bounded AS (SELECT *, min(ts) OVER s AS s_start, max(ts) OVER s AS s_end FROM counted WINDOW s AS (PARTITION BY trace_id, nr)),
+day_span AS (SELECT * EXCLUDE (opens, nr, s_start, s_end) REPLACE (trace_id || '@' || strftime(s_start, '%Y%m%d%H%M%S%f') AS trace_id) FROM bounded
+  WHERE s_end + INTERVAL 61 MINUTE <= (SELECT max(ts) FROM v_span))"""
 
-def closed_traces(spark: SparkSession, sf: str, writer) -> None:
-    """Hand the spans of closed trace sessions to a writer, micro-batch by micro-batch."""
-    stored = derived.spans(spark, sf)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        sessions = stage(batch, "sessions")
-        if not sessions.isEmpty():
-            found = traces.session_spans(sessions, stored)
-            named = F.concat("trace_id", F.lit("@"), F.date_format("session_start", "yyyyMMddHHmmssSSSSSS"))
-            writer(found.withColumn("trace_id", named).drop("session_start", "session_end"), batch_id)
-    runs.run_available(traces.closed_sessions(span_stream(spark, sf)), write)
+def replayed_spans(spark: SparkSession, sf: str, files: int = 6) -> DataFrame:
+    """Spans as a stream of ``files`` micro-batches, one file each: spans arrive half an hour early or late, and a few arrive twice."""
+    path = new_path(spark, "replay")
+    spans = derived.spans(spark, sf)
+    delay = F.pmod(F.xxhash64("trace_id", "span_id", "row_key"), F.lit(1_800)) + 900 * (F.pmod(F.xxhash64("row_key"), F.lit(2)))
+    arrivals = spans.withColumn("_at", F.unix_seconds("ts") + delay)
+    again = arrivals.where(F.pmod(F.xxhash64("trace_id", "row_key"), F.lit(40)) == 0).withColumn("_at", F.col("_at") + 60)
+    every = stage(arrivals.unionByName(again), "arrivals")
+    first, last = every.agg(F.min("_at"), F.max("_at")).first()
+    width = (last - first) // files + 1
+    for k in range(files):      # a file for each stretch of arrival times, in this order
+        every.where((F.col("_at") >= first + k * width) & (F.col("_at") < first + (k + 1) * width)).drop("_at").coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(spans.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def assembled_traces(spark: SparkSession, sf: str) -> DataFrame:
+    """What became of every span of the replay, as a table."""
+    return runs.run_to_table(traces.assemble(replayed_spans(spark, sf), LATENESS))
+
+
+def closed_spans(spark: SparkSession, sf: str) -> DataFrame:
+    """Spans of closed trace sessions, each session under a name of its own."""
+    named = F.concat("trace_id", F.lit("@"), F.date_format("session_start", "yyyyMMddHHmmssSSSSSS"))
+    return assembled_traces(spark, sf).where(F.col("outcome") == traces.CLOSED).withColumn("trace_id", named).drop(
+        "outcome", "times", "session_start", "session_end", "batch")
 
 
 @query("stream_traces", with_views(V_SPAN, CLOSED) + """
 SELECT trace_id, span_id, row_key, ts, duration FROM day_span""")
 def stream_traces(spark, sf):
-    path = new_path(spark, "closed")
-    closed_traces(spark, sf, writers.by_batch(path))
-    return spark.read.parquet(path).select("trace_id", "span_id", "row_key", "ts", "duration")
+    return closed_spans(spark, sf).select("trace_id", "span_id", "row_key", "ts", "duration")
 
 
 @query("stream_topology", with_views(V_SPAN, CLOSED, V_NORM.replace("FROM v_span", "FROM day_span"), URL_CALLS + LINKS) + """
 SELECT trace_id, parent, child, call_count, error_count, round(cost, 4) AS cost FROM links""")
 def stream_topology(spark, sf):
-    """Closed trace sessions turned into links with the batch operators."""
+    """Closed trace sessions turned into links with the batch operators, micro-batch by micro-batch."""
     path = new_path(spark, "links")
     to_path = writers.by_batch(path)
-    closed_traces(spark, sf, lambda batch, batch_id: to_path(
-        topology.trace_links(topology.linked_calls(S.normalize(batch))), batch_id))
+    named = F.concat("trace_id", F.lit("@"), F.date_format("session_start", "yyyyMMddHHmmssSSSSSS"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        closed = stage(batch.where(F.col("outcome") == traces.CLOSED).withColumn("trace_id", named).drop("outcome", "times", "session_start", "session_end"), "closed")
+        if not closed.isEmpty():
+            to_path(topology.trace_links(topology.linked_calls(S.normalize(closed))), batch_id)
+        discard(closed)
+    runs.run_available(traces.assemble(replayed_spans(spark, sf), LATENESS), write)
     return rounded(spark.read.parquet(path).select(
         "trace_id", "parent", "child", "call_count", "error_count", "cost"), "cost")
 
 
+def replayed_in_order(rows: DataFrame, ts: str, files: int = 5) -> DataFrame:
+    """Rows as a stream of ``files`` micro-batches, one file for each stretch of time."""
+    spark, path = rows.sparkSession, new_path(rows.sparkSession, "replay")
+    first, last = rows.agg(F.min(F.unix_micros(ts)), F.max(F.unix_micros(ts))).first()
+    width = (last - first) // files + 1
+    for k in range(files):
+        at = F.unix_micros(ts)
+        rows.where((at >= first + k * width) & (at < first + (k + 1) * width)).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@query("stream_kept_traces", HIT + "SELECT * FROM v_trace_hit")
+def stream_kept_traces(spark, sf):
+    """Failed and slow spans of a stream, by moments that go on from micro-batch to micro-batch."""
+    path = new_path(spark, "kept")
+    spans = stage(S.normalize(derived.spans(spark, sf)), "spans")
+    runs.run_available(replayed_in_order(spans, "ts"), summaries.keep_traces(new_path(spark, "moments"), writers.by_batch(path)))
+    return spark.read.parquet(path).drop("batch")
+
+
+@query("stream_snapshot_15m", with_views(V_ACCESS) + """
+, b AS (SELECT *, to_timestamp(epoch_us(ts) // 900000000 * 900)::TIMESTAMP AS w FROM v_access),
+c AS (SELECT app, uri, w, count(*) AS total FROM b GROUP BY ALL)
+SELECT c.app, c.uri, c.w, c.total, count(*) AS n, min(cost_ms) AS min, max(cost_ms) AS max,
+       round(avg(cost_ms), 4) AS mean, round(quantile_cont(cost_ms, 0.95), 4) AS p95, round(quantile_cont(cost_ms, 0.99), 4) AS p99
+FROM c JOIN b ON b.app = c.app AND b.uri = c.uri AND date_trunc('day', b.ts) = date_trunc('day', c.w)
+     AND b.ts < c.w + INTERVAL 15 MINUTE
+WHERE c.w + INTERVAL 45 MINUTE <= (SELECT max(ts) FROM v_access) GROUP BY ALL""")
+def stream_snapshot_15m(spark, sf):
+    """The quarter-hour snapshots of a stream, each given out when its interval has ended half an hour ago."""
+    path, keys = new_path(spark, "snapshots"), ["app", "uri"]
+    rows = replayed_in_order(derived.access(spark, sf), "ts")
+    closed = summaries.closed_histograms(rows, keys, "ts", "cost_ms", late="30 minutes")
+    runs.run_available(closed, summaries.snapshot_writer(new_path(spark, "history"), writers.by_batch(path), keys, (0.95, 0.99)))
+    return rounded(spark.read.parquet(path).drop("batch"), "mean", "p95", "p99")
+
+
 @query("stream_alarms", ALARM + TICKS + "SELECT rule_id, tick, matches, CAST(fired AS INT) AS fired FROM fold")
 def stream_alarms(spark, sf):
     """Alarm throttling as a stream over the rules' matches."""
     path = new_path(spark, "matches")
-    ticks = alarms.match_ticks(kept(spark, sf), rules(spark, sf), START, 86_400)
+    ticks = alarms.match_ticks(kept(spark, sf), rules(spark, sf), START, TICK)
     ticks.write.parquet(path)
     schema = spark.read.parquet(path).schema
     fired = stateful.throttle_stream(spark.readStream.schema(schema).parquet(path))

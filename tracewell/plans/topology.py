@@ -53,10 +53,10 @@ tree AS (SELECT m.*, r.root_id, coalesce(m.span_id = r.root_id, false) AS is_roo
 
 CALLS = REPAIRED + """,
 walk AS (
-  SELECT t.*, [strftime(first_ts, '%Y%m%d%H%M%S') || '#' || span_id] AS rank, CAST(NULL AS VARCHAR) AS anc
+  SELECT t.*, [strftime(first_ts, '%Y%m%d%H%M%S%f') || '#' || span_id] AS rank, CAST(NULL AS VARCHAR) AS anc
   FROM tree t WHERE parent IS NULL
   UNION ALL
-  SELECT t.*, list_append(w.rank, strftime(t.first_ts, '%Y%m%d%H%M%S') || '#' || t.span_id),
+  SELECT t.*, list_append(w.rank, strftime(t.first_ts, '%Y%m%d%H%M%S%f') || '#' || t.span_id),
          CASE WHEN w.kind IS NOT NULL THEN w.span_id ELSE w.anc END
   FROM walk w JOIN tree t ON t.trace_id = w.trace_id AND t.parent = w.span_id),
 named AS (SELECT *, {local} AS svc, {remote} AS rem FROM walk),

@@ -80,6 +80,15 @@ def discard(*tables: DataFrame | None) -> None:
             _staged[:] = [entry for entry in _staged if entry[1] != path]
 
 
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the ``batch=`` folders below ``path`` whose table was written to its end, ascending."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    found = sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch="))
+    return [v for v in found if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch={v}/_SUCCESS"))]
+
+
 def release(spark: SparkSession) -> int:
     """Delete the tables staged through this session; returns how many were removed."""
     removed = 0

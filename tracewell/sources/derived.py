@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tracewell.session import prepare
 
+SPAN_START = "2024-02-29 22:30:00"
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
@@ -68,6 +70,13 @@ def areas(spark: SparkSession, folder: str) -> DataFrame:
         F.col("n_nationkey").cast("long").alias("ip_key"), F.col("n_name").alias("area"))
 
 
+def _span_time() -> Column:
+    """Orders start within three hours around a midnight; lines follow each other by seconds, a few by twenty minutes."""
+    order, line, part = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
+    seconds = (order * 7919) % 10_800 + 2 * line + part % 5 + F.when(part % 23 == 0, 1_200).otherwise(0)
+    return F.timestamp_millis(F.unix_millis(F.lit(SPAN_START).cast("timestamp")) + seconds.cast("long") * 1_000 + part % 1_000)
+
+
 def span_columns(lineitem: DataFrame) -> DataFrame:
     """One span per order line; also applies to a stream of order lines."""
     part, supp = F.col("l_partkey"), F.col("l_suppkey")
@@ -85,7 +94,7 @@ def span_columns(lineitem: DataFrame) -> DataFrame:
         F.when(F.col("l_linenumber") > 1, _text(F.floor(F.col("l_linenumber") / 2).cast("int"))).alias("parent_id"),
         kinds.getItem((supp % 5).cast("int")).alias("kind"),
         F.concat(F.lit("/"), _text(part % 7)).alias("name"),
-        F.col("l_shipdate").cast("timestamp").alias("ts"),
+        _span_time().alias("ts"),
         F.round(F.col("l_extendedprice") * 100).cast("long").alias("duration"),
         F.concat(F.lit("svc"), _text(supp % 12)).alias("local_service"),
         F.when(part % 3 != 0, F.concat(F.lit("svc"), _text(part % 12))).alias("remote_service"),
@@ -161,6 +170,6 @@ def rules(keys: DataFrame, key: str) -> DataFrame:
     return keys.select(
         k.alias("id"), F.concat(F.lit("title-"), _text(k % 50)).alias("title"),
         F.when(k % 4 == 1, False).when(k % 4 != 0, True).alias("enable"),
-        (86_400 * (k % 5 + 1)).alias("frequency"), (86_400 * (k % 8 + 7)).alias("throttle"), (k % 4).alias("threshold"),
+        (60 * (k % 5 + 1)).alias("frequency"), (60 * (k % 8 + 7)).alias("throttle"), (k % 4).alias("threshold"),
         F.when(k % 3 == 0, error).when(k % 3 == 1, slow).otherwise(narrow).alias("condition"),
         F.when(k % 2 == 0, both).otherwise(F.array(action("push", "Push", _text(k)))).alias("actions"))

@@ -1,28 +1,129 @@
-"""Trace assembly: which traces have closed, and their spans."""
+"""Trace assembly on a stream: spans wait in state until their trace has been idle long enough."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Iterator
+from typing import Any
 
-from tracewell.functions.scale import lookup
+from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-IDLE = "16 minutes"
+from tracewell.session import prepare
 
+IDLE_MINUTES = 16
+CLOSED, LATE, REPEATED = "closed", "late", "repeated"
 
-def closed_sessions(spans: DataFrame, late: str = "0 seconds", idle: str = IDLE) -> DataFrame:
-    """Stream of trace sessions, each given out once when event time has passed its last span by ``idle``.
+_OUT = "trace_id string, outcome string, times long, session_start long, session_end long, at long, span_id string, row_key string, body string"
+_Out = Row(*[field.split()[0] for field in _OUT.split(", ")])
 
-    Only the bounds of a session are state, never its spans, and they are merged before the shuffle;
-    so neither a long nor a busy trace makes state large.
+
+def _merged(sessions: list[tuple[int, int, int]], idle: int) -> list[tuple[int, int, int]]:
+    """(first, last, received) sessions in time order; two belong together if less than ``idle`` lies between them."""
+    out: list[tuple[int, int, int]] = []
+    for first, last, received in sorted(sessions):
+        if out and first < out[-1][1] + idle:
+            out[-1] = (out[-1][0], max(last, out[-1][1]), received + out[-1][2])
+        else:
+            out.append((first, last, received))
+    return out
+
+
+class TraceAssembly(StatefulProcessor):
+    """Keeps a trace's spans one by one in a map, and its open sessions as bounds; a timer closes each session.
+
+    Times are microseconds. A span is late if a session ending with it would have closed already; late spans are given out at once.
+    A span that comes again overwrites itself; how often that happened is told when its session closes.
     """
-    return (spans.withWatermark("ts", late).groupBy("trace_id", F.session_window("ts", idle).alias("s"))
-            .agg(F.count("*").alias("received"))
-            .select("trace_id", F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"), "received"))
 
+    def __init__(self, idle: int) -> None:
+        self.idle = idle
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.spans = handle.getMapState("spans", "at long, span_id string, row_key string", "body string")
+        self.open = handle.getValueState("open", "first array<bigint>, last array<bigint>, received array<bigint>")
+
+    def _sessions(self) -> list[tuple[int, int, int]]:
+        found = self.open.get() if self.open.exists() else None
+        return list(zip(*found)) if found else []
+
+    def _keep(self, before: list, after: list) -> None:
+        """Store the sessions and let timers follow their ends."""
+        if after:
+            self.open.update(tuple(map(list, zip(*after))))
+        elif before:
+            self.open.clear()
+        old, new = ({self._closes(last) for _, last, _ in sessions} for sessions in (before, after))
+        for timer in old - new:
+            self.handle.deleteTimer(timer)
+        for timer in new - old:
+            self.handle.registerTimer(timer)
 
-def session_spans(sessions: DataFrame, stored: DataFrame) -> DataFrame:
-    """The stored spans of closed sessions. Time bounds of the sessions prune the stored table."""
-    bounds = sessions.agg(F.min("session_start").alias("lo"), F.max("session_end").alias("hi")).first()
-    near = stored.where((F.col("ts") >= F.lit(bounds.lo)) & (F.col("ts") < F.lit(bounds.hi)))
-    found = lookup(near, sessions.drop("received"), ["trace_id"], "inner")
-    return found.where((F.col("ts") >= F.col("session_start")) & (F.col("ts") < F.col("session_end")))
+    def _closes(self, last: int) -> int:
+        """The watermark in milliseconds that ends a session with this last span."""
+        return -(-(last + self.idle) // 1000)
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        watermark = timerValues.getCurrentWatermarkInMs() * 1000
+        arrived = []
+        for row in rows:
+            if row.at + self.idle <= watermark:
+                yield _Out(key[0], LATE, 1, None, None, row.at, row.span_id, row.row_key, row.body)
+                continue
+            self.spans.updateValue((row.at, row.span_id, row.row_key), (row.body,))
+            arrived.append((row.at, row.at, 1))
+        if arrived:
+            before = self._sessions()
+            self._keep(before, _merged(before + arrived, self.idle))
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        sessions = self._sessions()
+        done = [s for s in sessions if self._closes(s[1]) <= watermark]
+        if not done:
+            return
+        written = dict.fromkeys(done, 0)
+        gone = []
+        for (at, span_id, row_key), (body,) in self.spans.iterator():
+            session = next((s for s in done if s[0] <= at <= s[1]), None)
+            if session is not None:
+                written[session] += 1
+                gone.append((at, span_id, row_key))
+                yield _Out(key[0], CLOSED, 1, session[0], session[1], at, span_id, row_key, body)
+        left = [s for s in sessions if s not in written]
+        if left:
+            for place in gone:
+                self.spans.removeKey(place)
+            self.open.update(tuple(map(list, zip(*left))))
+        else:
+            self.spans.clear()
+            self.open.clear()
+        for (first, last, received), n in written.items():
+            if received > n:
+                yield _Out(key[0], REPEATED, received - n, first, last, None, None, None, None)
+
+    def close(self) -> None:
+        pass
+
+
+def assemble(spans: DataFrame, late: str = "16 minutes", idle_minutes: int = IDLE_MINUTES) -> DataFrame:
+    """Stream of what became of each span: ``outcome``, ``times``, ``session_start``, ``session_end`` and the span's columns.
+
+    ``closed``: a span of a trace that has been idle for ``idle_minutes`` since its last span, by a watermark that lies ``late`` behind the newest
+    span; a trace id that comes up again later is another session. ``late``: a span whose session could only be one that has closed; it has no session.
+    ``repeated``: no span, but how often spans of a closed session came again. ``times`` adds up to the spans received, once all sessions have closed. Spans need
+    ``trace_id``, ``span_id``, ``row_key`` and ``ts``; those without trace or time are of no trace and left out. Each span is an entry of its own in the
+    state store, which is disk-backed, and sessions are given out span by span: a busy trace keeps one task busy but fills no memory.
+    """
+    prepare(spans.sparkSession)
+    keys = ("trace_id", "span_id", "row_key", "ts")
+    rest = [f for f in spans.schema if f.name not in keys]
+    # the watermark goes with ts, which late spans must not carry into the processor: there they would be dropped unseen
+    waiting = spans.where("trace_id IS NOT NULL AND ts IS NOT NULL").withWatermark("ts", late).select(
+        "trace_id", "span_id", "row_key", F.unix_micros("ts").alias("at"), F.to_json(F.struct(*[f.name for f in rest])).alias("body"))
+    found = waiting.groupBy("trace_id").transformWithState(TraceAssembly(idle_minutes * 60_000_000), _OUT, "Append", "EventTime")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest)
+    moment = lambda name: F.timestamp_micros(name)
+    opened = found.withColumn("_b", F.from_json("body", schema))
+    return opened.select("outcome", "times", moment("session_start").alias("session_start"), moment("session_end").alias("session_end"),
+                         "trace_id", "span_id", "row_key", moment("at").alias("ts"), *[F.col(f"_b.{f.name}").alias(f.name) for f in rest])
