@@ -119,7 +119,8 @@ def bucket_links(members: DataFrame, confirm: Callable[[DataFrame], DataFrame],
     of the nodes left by more than their size, for the condition ``refined`` on them.
     """
     current = members.where("size > 1").select("bucket", "node", "n", F.col("node").alias("component"))
-    links, found, turn, work = None, None, 0, None
+    links, found, turn = None, None, 0
+    work = members.where("size > 1").agg(F.sum((F.col("size") - 1) / 2).alias("pairs")).first()["pairs"] or 0
     while True:
         pairs = stage(_candidates(current, may_link, turn), "pairs")
         confirmed = stage(confirm(pairs), "links")
@@ -128,7 +129,7 @@ def bucket_links(members: DataFrame, confirm: Callable[[DataFrame], DataFrame],
         following, count, open_pairs = _open_buckets(_with_component(current, found))
         discard(pairs, current)
         current = following
-        if open_pairs <= CHEAP * count or work is not None and 2 * open_pairs > work:
+        if open_pairs <= CHEAP * count or 2 * open_pairs > work:
             break
         turn, work = turn + 1, open_pairs
     if count:

@@ -33,6 +33,7 @@ COUNTED = 0.25    # share of the hash range whose lists are counted; any share g
 SKIP = 0.01       # the cost factor of DivideSkip's choice of L
 SKETCH = 8        # 64-bit words of a sketch
 BATCH_SETS = 256
+SEARCHED_BYTES = 1 << 20   # of candidates' sets that are searched together
 LAST_COUNTED = np.uint64(int(COUNTED * 2 ** 64))
 
 
@@ -165,15 +166,16 @@ def _searched(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
         for batch in batches:
             a, b = (batch.column(c).to_pylist() for c in "ab")
             left, right = batch.column("left"), batch.column("right")
-            start = 0
-            queries, found = [], []
-            for (node, content), run in groupby(zip(a, left.to_pylist())):
-                size = sum(1 for _ in run)
-                query = np.frombuffer(content, dtype=np.uint64)
-                hits = divide_skip(query, [np.frombuffer(right[k].as_buffer(), dtype=np.uint64) for k in range(start, start + size)], similar)
-                queries += [node] * len(hits)
+            queries, found, start = [], [], 0
+            while start < len(a):
+                query, end, size = left[start].as_buffer(), start, 0
+                while end < len(a) and a[end] == a[start] and size < SEARCHED_BYTES and left[end].as_buffer().equals(query):
+                    size += len(right[end].as_buffer())
+                    end += 1
+                hits = divide_skip(np.frombuffer(query, dtype=np.uint64), [np.frombuffer(right[k].as_buffer(), dtype=np.uint64) for k in range(start, end)], similar)
+                queries += [a[start]] * len(hits)
                 found += [b[start + k] for k in hits.tolist()]
-                start += size
+                start = end
             yield pa.RecordBatch.from_arrays([pa.array(queries, pa.int64()), pa.array(found, pa.int64())], ["a", "b"])
     # the node that has more candidates is the query: many candidates of a centre are searched at once
     turned = pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))

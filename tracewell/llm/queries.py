@@ -60,9 +60,24 @@ def op3_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.conversation_digests(chat.parse_turns(formatted))
 
 
-@query("op4_near_dedup")
+def _jaccard_sql(words: int, more: str = "") -> str:
+    """Components of documents that share 80 per cent of their shingles, by counting common shingles of all pairs."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, md5_number(array_to_string(w[i:i + {words - 1}], ' ')) AS e
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - {words - 1}, 1))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM s x JOIN s y ON x.e = y.e AND x.doc_id <> y.doc_id GROUP BY ALL) p
+  JOIN n x ON p.a = x.doc_id JOIN n y ON p.b = y.doc_id WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id{more}
+FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a) USING (doc_id)"""
+
+
+@query("op4_near_dedup", _jaccard_sql(2, ", doc_id = least(doc_id, coalesce(low, doc_id)) AS kept"))
 def op4_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return near_dups.near_duplicates(table(spark, folder, "documents"), shingle=2)
+    return near_dups.near_duplicates(table(spark, folder, "documents"), shingle=2).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 @query("op5_exact_dedup", r"""
@@ -127,21 +142,6 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
 
 
-def _jaccard_sql(words: int) -> str:
-    """Components of documents that share 80 per cent of their shingles, by counting common shingles of all pairs."""
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    return f"""
-WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
-s AS (SELECT DISTINCT doc_id, md5_number(array_to_string(w[i:i + {words - 1}], ' ')) AS e
-  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - {words - 1}, 1))) AS i FROM w WHERE len(w) > 0)),
-n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-links AS (SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM s x JOIN s y ON x.e = y.e AND x.doc_id <> y.doc_id GROUP BY ALL) p
-  JOIN n x ON p.a = x.doc_id JOIN n y ON p.b = y.doc_id WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
-reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
-SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id
-FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a) USING (doc_id)"""
-
-
 @query("op12_ngram_join", _jaccard_sql(5))
 def op12_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.jaccard_join(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
