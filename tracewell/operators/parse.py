@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tracewell import schemas
 from tracewell.functions import expressions as E
@@ -66,40 +66,44 @@ def _span_columns(span: str, keep: list[str]) -> list[Column]:
     ]
 
 
-# Fields of a span that are not text, as JSON paths; a value that does not fit its type spoils the element.
-_TYPED = ("timestamp", "duration", "shared", "localEndpoint", "localEndpoint.port", "remoteEndpoint", "remoteEndpoint.port", "tags")
+_SPOILED = "_spoiled"  # what a span's text goes to if a field does not fit its type
+_SPAN = T.StructType([*schemas.SPAN_JSON.fields, T.StructField(_SPOILED, T.StringType())])
 
 
-def _field(span: Column, path: str) -> Column:
-    for name in path.split("."):
-        span = span[name]
-    return span
+def _decoded(texts: str) -> Column:
+    """Elements of a list of JSON texts, each parsed once: ``s``, with its text again in ``_spoiled`` if a field does not fit its type."""
+    return F.transform(texts, lambda t: F.struct(
+        F.ltrim(t).startswith("{").alias("object"), F.from_json(t, _SPAN, {"columnNameOfCorruptRecord": _SPOILED}).alias("s")))
 
 
-def _sound(text: Column, span: Column) -> Column:
-    """Whether an element is an object and each typed field that is present came through."""
-    spoiled = [F.get_json_object(text, f"$.{p}").isNotNull() & _field(span, p).isNull() for p in _TYPED]
-    bad = spoiled[0]
-    for more in spoiled[1:]:
-        bad = bad | more
-    return F.ltrim(text).startswith("{") & span.isNotNull() & ~bad
+def _ok(element: Column) -> Column:
+    return F.coalesce(element["object"] & element["s"].isNotNull() & element["s"][_SPOILED].isNull(), F.lit(False))
 
 
 def _elements(raw: DataFrame, value: str, keep: list[str]) -> DataFrame:
-    """``_e``: the array's elements with their text, decoded once, and whether they are sound; null elements are left out."""
+    """``_value``, ``_texts`` (the array's elements but for nulls) and ``_d`` (the same decoded)."""
     texts = F.array_compact(F.from_json(F.col(value), "array<string>"))
     split = raw.select(*keep, F.col(value).alias("_value"), texts.alias("_texts"))
-    decoded = F.transform("_texts", lambda t: F.struct(t.alias("j"), F.from_json(t, schemas.SPAN_JSON).alias("s")))
-    with_spans = split.withColumn("_d", decoded)
-    return with_spans.withColumn("_e", F.transform(
-        "_d", lambda e: F.struct(e["s"].alias("s"), F.coalesce(_sound(e["j"], e["s"]), F.lit(False)).alias("ok")))).drop("_d")
+    return split.withColumn("_d", _decoded("_texts"))
+
+
+def _given_out(df: DataFrame, keep: list[str], elements: Column) -> DataFrame:
+    """One row per element, as ``_x``.
+
+    An outer explode with a filter behind it: from a plain one the optimizer infers a filter in front, which decodes everything once more.
+    """
+    return df.select(*keep, elements.alias("_good")).select(*keep, F.explode_outer("_good").alias("_x")).where("_x IS NOT NULL")
+
+
+def _spans(df: DataFrame, keep: list[str]) -> DataFrame:
+    return df.select(*keep, F.col("_x.s").dropFields(_SPOILED).alias("_s"))
 
 
 def span_arrays(raw: DataFrame, value: str = "value", keep: list[str] | None = None) -> DataFrame:
     """JSON span arrays to span rows, all or nothing: one bad element drops its whole array."""
     keep = keep or []
-    good = _elements(raw, value, keep).where(F.forall("_e", lambda e: e["ok"]))
-    return good.select(*keep, F.explode("_e.s").alias("_s")).select(*_span_columns("_s", keep))
+    whole = F.when(F.forall("_d", _ok), F.col("_d"))
+    return _spans(_given_out(_elements(raw, value, keep), keep, whole), keep).select(*_span_columns("_s", keep))
 
 
 def span_arrays_tolerant(raw: DataFrame, value: str = "value", keep: list[str] | None = None) -> DataFrame:
@@ -108,7 +112,7 @@ def span_arrays_tolerant(raw: DataFrame, value: str = "value", keep: list[str] |
     Names and services are lower-cased, as the topology reader sees them.
     """
     keep = keep or []
-    decoded = _elements(raw, value, keep).select(*keep, F.explode("_e").alias("_x")).where("_x.ok").select(*keep, F.col("_x.s").alias("_s"))
+    decoded = _spans(_given_out(_elements(raw, value, keep), keep, F.filter("_d", _ok)), keep)
     good = decoded.where(F.col("_s.id").isNotNull() & E.not_blank(F.col("_s.traceId")))
     return good.select(*_span_columns("_s", keep)).withColumns({
         c: F.lower(c) for c in ("name", "local_service", "remote_service")})
@@ -117,9 +121,10 @@ def span_arrays_tolerant(raw: DataFrame, value: str = "value", keep: list[str] |
 def quarantine(raw: DataFrame, value: str = "value") -> DataFrame:
     """Span messages that do not decode as a whole, with the reason."""
     reason = F.when(F.col("_value").isNull(), "null value").when(F.col("_texts").isNull(), "not a JSON array").when(
-        ~F.forall("_e", lambda e: e["ok"]), "bad element")
-    checked = _elements(raw, value, [c for c in raw.columns if c != value]).withColumn("reason", reason)
-    return checked.where(F.col("reason").isNotNull()).select(
+        ~F.forall("_d", _ok), "bad element")
+    checked = _elements(raw, value, [c for c in raw.columns if c != value]).withColumn("_reasons", F.array(reason))
+    # a filter on the reason itself would be copied below the decoding
+    return checked.drop("_d", "_texts").withColumn("reason", F.explode_outer("_reasons")).where(F.col("reason").isNotNull()).select(
         *[F.col("_value").alias(value) if c == value else F.col(c) for c in raw.columns], "reason")
 
 
