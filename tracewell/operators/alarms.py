@@ -27,7 +27,7 @@ def bad_rules(rules: DataFrame) -> DataFrame:
     return conditions.parsed(enabled(rules)).where("bad").select("id", "condition")
 
 
-def _matching(hits: DataFrame, rules: DataFrame) -> DataFrame:
+def matching(hits: DataFrame, rules: DataFrame) -> DataFrame:
     """Hits with one output row per enabled rule they satisfy.
 
     Rules and hits are joined on what a rule's terms ask for; the other terms and the ranges are checked on the joined
@@ -44,7 +44,7 @@ def _matching(hits: DataFrame, rules: DataFrame) -> DataFrame:
 def match(hits: DataFrame, rules: DataFrame, now: str, size: int = 20) -> DataFrame:
     """The newest hits of each rule within its frequency before ``now``."""
     at = F.lit(now).cast("timestamp")
-    recent = _matching(hits, rules).where((F.col("create_time") >= at - F.make_dt_interval(secs=F.col("frequency")))
+    recent = matching(hits, rules).where((F.col("create_time") >= at - F.make_dt_interval(secs=F.col("frequency")))
                                           & (F.col("create_time") <= at))
     order = [F.desc("create_time"), F.desc("duration"), F.asc("trace_id"), F.asc("span_id"), F.asc("row_key")]
     return newest(recent, ["rule_id"], order, size)
@@ -60,7 +60,7 @@ def match_ticks(hits: DataFrame, rules: DataFrame, start: str, tick: int = 60) -
     origin = F.unix_seconds(F.lit(start).cast("timestamp"))
     period = F.ceil(F.col("frequency") / tick) * tick
     first = origin + F.ceil((t - origin) / period) * period
-    seen = _matching(hits, rules).withColumn("tick", F.explode(F.when(
+    seen = matching(hits, rules).withColumn("tick", F.explode(F.when(
         first <= t + F.col("frequency"), F.sequence(first, t + F.col("frequency"), period)).otherwise(
         F.array().cast("array<bigint>"))))
     return seen.groupBy("rule_id", "throttle", "threshold", "tick").agg(F.count("*").alias("matches"))

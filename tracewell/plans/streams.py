@@ -16,7 +16,7 @@ from tracewell.plans.topology import LINKS, URL_CALLS
 from tracewell.session import discard, new_path, stage
 from tracewell.sinks import writers
 from tracewell.sources import derived, readers
-from tracewell.streaming import runs, stateful, summaries, traces, windows
+from tracewell.streaming import rules as stream_rules, runs, stateful, summaries, traces, windows
 
 
 def access_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -348,3 +348,25 @@ def stream_alarms(spark, sf):
     schema = spark.read.parquet(path).schema
     fired = stateful.throttle_stream(spark.readStream.schema(schema).parquet(path))
     return runs.run_to_table(fired, "update").select("rule_id", "tick", "matches", F.col("fired").cast("int").alias("fired"))
+
+
+def rule_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Stream of rule definitions, then of matched hits in time order, then of a beat after the last run."""
+    path = new_path(spark, "rule-events")
+    known = rules(spark, sf)
+    known.transform(lambda r: stream_rules.rule_changes(r, START)).coalesce(1).write.parquet(path)
+    hits = stage(kept(spark, sf), "hits")
+    to_events: writers.BatchWriter = lambda events, batch_id: events.coalesce(1).write.mode("append").parquet(path)
+    runs.run_available(replayed_in_order(hits, "create_time"), stream_rules.match_writer(lambda batch_id: known, to_events))
+    spark.sql("SELECT CAST(NULL AS BIGINT) AS rule_id, 'beat' AS kind, TIMESTAMP '2024-03-02' AS at").coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(stream_rules.EVENT).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@query("stream_alarm_events", ALARM + TICKS + """
+SELECT rule_id, count(*) AS fired, min(tick) AS first_tick, max(tick) AS last_tick, CAST(sum(matches) AS BIGINT) AS matches
+FROM fold WHERE fired GROUP BY ALL""")
+def stream_alarm_events(spark, sf):
+    """Fired alarms summed up per rule; rules run by timers on a stream of hits."""
+    done = runs.run_to_table(stream_rules.run_rules(rule_events(spark, sf), TICK))
+    return done.where("fired").groupBy("rule_id").agg(
+        F.count("*").alias("fired"), F.min("tick").alias("first_tick"), F.max("tick").alias("last_tick"), F.sum("matches").alias("matches"))
