@@ -71,3 +71,20 @@ def test_rules_join_hits(spark):
     assert alarms.match(hits, rules.limit(0), "2024-01-01 00:00:00").count() == 0
     with pytest.raises(ValueError):
         conditions.predicate(texts[7])
+
+
+def test_rules_of_ranges_meet_only_hits_of_their_cells(spark):
+    import datetime as dt
+    at = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    hits = spark.createDataFrame([("a", "COST", f"t{d}", "1", "k", "/x", d, at) for d in (-5, 0, 1, 7, 8, 1000, 1024, 5_000_000, None)] + [
+        ("b c=d", "ERROR", "t", "1", "k", "/x", 1000, at)],
+        "app string, type string, trace_id string, span_id string, row_key string, span_name string, duration long, create_time timestamp")
+    conditions_of = {
+        1: '{"range":{"span.duration":{"gte":7,"lt":1024}}}', 2: '{"range":{"span.duration":{"gt":1000}}},{"term":{"type":"COST"}}', 3: '{"range":{"span.duration":{"lte":0}}}',
+        4: '{"term":{"type":"ERROR"}}', 5: '{"term":{"app":"b c=d"}}', 6: '{"range":{"createTime":{"gte":"2023-01-01"}}}', 7: '{"range":{"span.duration":{"gte":9,"lt":3}}}'}
+    rules = spark.createDataFrame([(i, True, 60, 60, 1, c) for i, c in conditions_of.items()],
+                                  "id long, enable boolean, frequency int, throttle int, threshold int, condition string")
+    got = sorted((r.rule_id, r.duration) for r in alarms.matching(hits, rules).collect() if r.duration is not None)
+    every = [-5, 0, 1, 7, 8, 1000, 1000, 1024, 5_000_000]
+    assert got == sorted([*((1, d) for d in (7, 8, 1000, 1000)), *((2, d) for d in (1024, 5_000_000)), (3, -5), (3, 0), (4, 1000), (5, 1000), *((6, d) for d in every)])
+    assert alarms.matching(hits, rules.limit(0)).count() == 0

@@ -89,7 +89,7 @@ def test_insert_absent_and_snapshot_are_repeatable(spark):
     def hits(*ids):
         return spark.createDataFrame([("t", "COST", "a", i, f"{i}{k}", at) for i in ids for k in "xy"],
                                      "trace_id string, type string, app string, span_id string, row_key string, create_time timestamp")
-    write = writers.insert_absent(path)
+    write = writers.insert_absent(path, "create_time")
     for batch in (hits("1", "2"), hits("2", "3"), hits("1")):
         write(batch, 0)
     assert sorted(r.row_key for r in spark.read.parquet(path).collect()) == ["1x", "2x", "3x"]
@@ -100,3 +100,104 @@ def test_running_distribution_flags_slow_spans(make_spans):
     rows = [dict(id=str(i), trace=f"t{i}", local="a", name="/x", duration=d) for i, d in enumerate((10, 10, 12, 40))]
     slow = outliers.slow_spans(S.normalize(make_spans(*rows)))
     assert sorted(r.span_id for r in slow.collect()) == ["2", "3"]
+
+
+def test_moments_go_on_between_batches(spark, make_spans):
+    from tracewell.operators import spans as S
+    from tracewell.streaming import summaries
+    import random
+    rng = random.Random(3)
+    spans = S.normalize(
+        make_spans(*[dict(trace=f"t{i}", id=str(i), at=i // 2, local="ab"[i % 2], name=("/x", "/y")[i % 3 == 0], duration=rng.randrange(1, 90),
+                          tags={"error": rng.choice(("200", "500"))}) for i in range(120)]))
+    for daily in (False, True):
+        state, path = new_path(spark, "moments"), new_path(spark, "kept")
+        write = summaries.keep_traces(state, writers.by_batch(path), daily=daily)
+        cuts = [0, 10, 30, 31, 60]
+        for k, (low, high) in enumerate(zip(cuts[:-1], cuts[1:])):
+            part = spans.where(f"unix_seconds(ts) - unix_seconds(timestamp'2024-01-01') >= {low} AND unix_seconds(ts) - unix_seconds(timestamp'2024-01-01') < {high}")
+            for _ in range(1 + (k == 2)):       # a batch that is run again changes nothing
+                write(part, k)
+        whole = lambda df: sorted(map(str, df.select("app", "type", "trace_id", "span_id", "row_key", "duration", "create_time").collect()))
+        assert whole(spark.read.parquet(path)) == whole(outliers.kept_traces(spans, daily=daily))
+
+
+def test_panes_fire_again_after_three_late_rows(spark):
+    from tracewell.streaming import panes
+    path = new_path(spark, "in")
+
+    def put(*seconds):
+        rows = [("k", dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(seconds=s)) for s in seconds]
+        spark.createDataFrame(rows, "k string, ts timestamp").coalesce(1).write.mode("append").parquet(path)
+    # windows of ten seconds: rows at 1, 2; time passes to 12; one and one late row; one more (the third); one after the third; time passes everything
+    for batch in ((1, 2), (12,), (12, 3), (4,), (5,), (6,), (100,), (101, 7), (200,)):
+        put(*batch)
+    stream = spark.readStream.schema("k string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(path)
+    out = runs.run_to_table(panes.fired_counts(stream, "ts", F.col("k"), 10, 10, 30))
+    first = [(r.firing, r.n) for r in out.where("w_start = timestamp'2024-01-01'").orderBy("batch", "n").collect()]
+    assert first == [("early", 2), ("on time", 2), ("late", 5), ("last", 6)]
+    assert [(r.firing, r.n) for r in out.where("w_start = timestamp'2024-01-01 00:00:10'").orderBy("batch", "n").collect()] == [
+        ("early", 1), ("early", 2), ("on time", 2)]
+
+
+def test_sliding_counts_from_panes_equal_direct_ones(spark):
+    rows = spark.createDataFrame(ACCESS, "ip string, ts string").withColumn("ts", F.col("ts").cast("timestamp"))
+    both = [sorted(map(tuple, windows.windowed_counts(rows, "ts", F.col("ip"), "60 seconds", "5 seconds", panes=p).collect())) for p in (True, False)]
+    assert both[0] == both[1] and len(both[0]) > 60
+
+
+def rule_events(spark, *batches):
+    from tracewell.streaming import rules
+    path = new_path(spark, "events")
+    for batch in batches:
+        rows = [(r, kind, dt.datetime.fromtimestamp(at, dt.timezone.utc), n, on, 60, 300, 1) for r, kind, at, n, on in batch]
+        spark.createDataFrame(rows, rules.EVENT).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(rules.EVENT).option("maxFilesPerTrigger", 1).parquet(path)
+    return {(r.rule_id, r.tick): (r.matches, r.fired) for r in runs.run_to_table(rules.run_rules(stream)).collect()}
+
+
+def test_rules_run_by_timers(spark):
+    base = 1_704_067_200
+    def hit(rule, at, n=1):
+        return (rule, "hits", base + at, n, None)
+    def rule(number, at, on):
+        return (number, "rule", base + at, None, on)
+    beat = lambda at: (None, "beat", base + at, None, None)
+    got = rule_events(spark, [rule(1, 0, True), rule(2, 0, True)], [hit(1, 10, 2), hit(1, 30), hit(2, 20)], [hit(1, 130), beat(200)],
+                      [rule(2, 205, False)], [hit(2, 210), rule(2, 290, True), hit(2, 300), hit(1, 290)], [hit(1, 310), beat(1_000)])
+    assert {(r, t - base): v for (r, t), v in got.items()} == {
+        (1, 60): (3, False), (1, 180): (1, True), (1, 300): (1, True), (1, 360): (1, False),
+        (2, 60): (1, False), (2, 350): (1, False)}
+
+
+def test_snapshots_of_a_day_so_far(spark):
+    import random
+    import numpy as np
+    from tracewell.operators import snapshots
+    rng = random.Random(12)
+    rows = [(rng.choice(("a", "b", None)), dt.datetime(2024, 1, 1 + rng.randrange(2), rng.randrange(24), rng.randrange(60), tzinfo=dt.timezone.utc),
+             rng.choice((None, rng.randrange(-50, 50), rng.randrange(10 ** 6), rng.randrange(10 ** 15)))) for _ in range(900)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp, v long")
+    hist = snapshots.interval_histograms(df, ["k"], "ts", "v")
+    got = {(r.k, r.w.timestamp()): r for r in snapshots.day_to_date(hist, ["k"], (0.5, 0.95)).collect()}
+    active = {(k, t.timestamp() // 900 * 900) for k, t, _ in rows}
+    assert set(got) == active
+    for k, w in active:
+        r = got[k, w]
+        day = w // 86_400
+        seen = [v for kk, t, v in rows if kk == k and v is not None and t.timestamp() // 86_400 == day and t.timestamp() < w + 900]
+        assert r.total == sum(1 for kk, t, _ in rows if kk == k and t.timestamp() // 900 * 900 == w)
+        if not seen:
+            assert r.n is None
+            continue
+        assert (r.n, r.min, r.max) == (len(seen), min(seen), max(seen))
+        assert np.allclose([r.mean, r.p50, r.p95], [np.mean(seen), *np.percentile(seen, [50, 95])])
+
+
+def test_cells_ascend(spark):
+    from tracewell.operators import snapshots
+    values = sorted({s * (2 ** k + d) for k in range(62) for d in (-1, 0, 1) for s in (-1, 1)} | set(range(-200, 200)))
+    got = spark.createDataFrame([(v,) for v in values], "v long").select("v", snapshots.cell(F.col("v")).alias("c")).collect()
+    cells = [r.c for r in sorted(got, key=lambda r: r.v)]
+    assert cells == sorted(cells) and len(set(cells)) < 4_100
+    assert len({r.c for r in got if 0 <= r.v < 64}) == 64

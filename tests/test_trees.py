@@ -44,7 +44,7 @@ def test_metric_tree_cuts_below_silent_nodes(spark, make_spans):
         dict(id="4", parent="1", kind="CLIENT", name="/z", local="a"))))
     metrics = spark.createDataFrame([("a", None, "/r", 1), ("a", "SERVER", "/y", 1), ("a", "CLIENT", "/z", 2)],
                                     "app string, metric_kind string, name string, total long")
-    tree = trees.metric_tree(rows, trees.distinct_templates(trees.signatures(rows)), metrics)
+    tree = trees.metric_tree(rows, trees.distinct_templates(trees.signatures(rows)), metrics, "total")
     assert sorted((r.name, r.depth) for r in tree.collect()) == [("/r", 0), ("CLIENT||/z", 1)]
     doc = json.loads(trees.tree_json(tree).first().json)
     assert doc["pid"] == -1 and [c["name"] for c in doc["children"]] == ["CLIENT||/z"]

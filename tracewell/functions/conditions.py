@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -90,15 +91,46 @@ def parsed(rules: DataFrame) -> DataFrame:
     return done.withColumn("bad", F.coalesce(unknown | odd | empty, F.lit(True))).drop("_clauses", "_terms", "_ranges")
 
 
-def join_key() -> Column:
-    """What a hit must have for a parsed rule: its app, else its type, else nothing."""
-    of = lambda name: F.get(F.filter("terms", lambda t: t["column"] == name), F.lit(0))["value"]
-    return F.coalesce(F.concat(F.lit("app="), of("app")), F.concat(F.lit("type="), of("type")), F.lit(""))
+# Under what a rule is filed, the most selective first: a value of one of its terms, or the cells that its range of durations meets.
+_TERMS = ("trace_id", "span_id", "row_key", "app", "span_name")
+OCTAVES = 65    # cells of the duration: the number of binary digits of its whole part
+
+
+def _octave(value: Column) -> Column:
+    """Cell of a number, negative ones below all others; ascending in the number."""
+    size = F.least(F.floor(F.abs(value)), F.lit(float(1 << 62))).cast("long")
+    digits = F.length(F.bin(size)) - F.when(size == 0, 1).otherwise(0)
+    return F.when(value < 0, -digits - 1).when(value >= 0, digits)
+
 
+def _key(form: str, key: Column) -> Column:
+    return F.struct(F.lit(form).alias("form"), key.cast("string").alias("key"))
 
-def hit_keys() -> Column:
-    """All keys under which rules can ask for a hit."""
-    return F.array(F.concat(F.lit("app="), "app"), F.concat(F.lit("type="), "type"), F.lit(""))
+
+def filed_under() -> Column:
+    """``(form, key)`` pairs of a parsed rule: a hit that satisfies it has exactly one of them.
+
+    A rule is filed under a term; without one, under the cells of its range of durations, together with its type if it asks for one; else under its type; a rule
+    that asks for none of these is met by all hits.
+    """
+    of = lambda name: F.get(F.filter("terms", lambda t: t["column"] == name), F.lit(0))["value"]
+    ranges = F.filter("ranges", lambda r: r["column"] == "duration")
+    low = F.array_max(F.transform(ranges, lambda r: F.greatest(r["at_least"], r["over"])))
+    high = F.array_min(F.transform(ranges, lambda r: F.least(r["at_most"], r["under"])))
+    first, last = F.coalesce(_octave(low), F.lit(-OCTAVES)), F.coalesce(_octave(high), F.lit(OCTAVES))
+    cells = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+    kind = of("type")
+    by_cell = F.when(kind.isNull(), F.transform(cells, lambda c: _key("cell", c))).otherwise(
+        F.transform(cells, lambda c: _key("type and cell", F.concat(kind, F.lit(" "), c.cast("string")))))
+    return F.coalesce(*[F.when(of(t).isNotNull(), F.array(_key(t, of(t)))) for t in _TERMS],
+                      F.when(F.size(ranges) > 0, by_cell), F.when(kind.isNotNull(), F.array(_key("type", kind))), F.array(_key("any", F.lit(""))))
+
+
+def hit_keys(forms: Sequence[str]) -> Column:
+    """The keys of a hit that are of these forms."""
+    cell = _octave(F.col("duration").cast("double")).cast("string")
+    made = {"any": F.lit(""), "type": F.col("type"), "cell": cell, "type and cell": F.concat("type", F.lit(" "), cell), **{t: F.col(t) for t in _TERMS}}
+    return F.filter(F.array(*[_key(f, made[f]) for f in forms]), lambda k: k["key"].isNotNull())
 
 
 def holds(fields: Column) -> Column:

@@ -30,14 +30,18 @@ def bad_rules(rules: DataFrame) -> DataFrame:
 def matching(hits: DataFrame, rules: DataFrame) -> DataFrame:
     """Hits with one output row per enabled rule they satisfy.
 
-    Rules and hits are joined on what a rule's terms ask for; the other terms and the ranges are checked on the joined
+    Rules are filed under their most selective clause, a term or the cells of a range, and joined to the hits that have it; the other terms and the ranges are checked on the joined
     rows. Bad rules match nothing (see ``bad_rules``); without rules there are no rows.
     """
     fields = F.create_map(*[x for name in dict.fromkeys(conditions.FIELDS.values()) for x in (
         F.lit(name), (F.unix_micros(name) if name == "create_time" else F.col(name)).cast("string"))])
-    asked = conditions.parsed(enabled(rules)).where("NOT bad").select(
-        conditions.join_key().alias("_key"), F.col("id").alias("rule_id"), "frequency", "throttle", "threshold", "terms", "ranges")
-    keyed = hits.withColumn("_key", F.explode(conditions.hit_keys()))
+    asked = conditions.parsed(enabled(rules)).where("NOT bad").withColumn("_key", F.explode(conditions.filed_under())).select(
+        "_key", F.col("id").alias("rule_id"), "frequency", "throttle", "threshold", "terms", "ranges")
+    # a handful of forms, whatever the number of rules: hits get no key that no rule asks for
+    forms = [r["form"] for r in asked.select("_key.form").distinct().orderBy("form").collect()]
+    if not forms:
+        return hits.join(asked.drop("_key", "terms", "ranges"), F.lit(False))
+    keyed = hits.withColumn("_key", F.explode(conditions.hit_keys(forms)))
     return keyed.join(asked, "_key").where(conditions.holds(fields)).drop("_key", "terms", "ranges")
 
 

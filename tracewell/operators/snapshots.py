@@ -63,6 +63,8 @@ def _until_cells(keys: list[str], probs: Sequence[float]):
                 n, total = n + int(many[a + i:a + j].sum()), total + sum(sums[a + i:a + j])
                 here = int(low[a + i:a + j].min()), int(high[a + i:a + j].max())
                 least, most = (here[0] if least is None else min(least, here[0])), (here[1] if most is None else max(most, here[1]))
+                if not n:
+                    continue
                 ends = np.cumsum(seen)
                 ranks = np.array([f(p * (n - 1)) for p in probs for f in (np.floor, np.ceil)], dtype=np.int64)
                 found = np.searchsorted(ends, ranks, side="right")
@@ -103,17 +105,21 @@ def _types(df: DataFrame, columns: Sequence[str]) -> str:
 def day_to_date(hist: DataFrame, keys: Sequence[str], probs: Sequence[float], wanted: DataFrame | None = None) -> DataFrame:
     """(keys, w, total, n, min, max, mean, percentiles): an interval's own count, and the exact latency summary of its day up to its end.
 
-    ``hist`` is made by ``interval_histograms``; null values count in ``total`` only. ``wanted`` names the intervals (column w) to give out, by default all in which
+    ``hist`` is made by ``interval_histograms``; null values count in ``total`` only, and a key without any value so far has no summary. ``wanted`` names the intervals (column w) to give out, by default all in which
     a key was active. A key's day is folded from its cells: at most intervals x cells rows, whatever the number of requests; then a cell that holds a wanted rank is folded from its
     different values in each interval.
     """
     keys = list(keys)
     hist = hist.withColumns({"_day": F.unix_date(F.to_date("w")), "w": F.unix_micros("w")})
     counts = hist.groupBy(*keys, "w").agg(F.sum("count").alias("total"))
-    valued = hist.where("value IS NOT NULL").groupBy(*keys, "_day", "w", "value").agg(F.sum("count").alias("count")).withColumn("cell", cell(F.col("value")))
-    cells = valued.groupBy(*keys, "_day", "w", "cell").agg(
-        F.sum("count").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"),
-        F.sum(F.col("value").cast("decimal(19,0)") * F.col("count").cast("decimal(18,0)")).cast("decimal(38,0)").alias("s"))
+    known = hist.groupBy(*keys, "_day", "w", "value").agg(F.sum("count").alias("count"))
+    valued = known.where("value IS NOT NULL").withColumn("cell", cell(F.col("value")))
+    # an interval with null values only asks for the day so far, and adds nothing to it
+    there = F.col("value").isNotNull()
+    cells = known.groupBy(*keys, "_day", "w", F.coalesce(cell(F.col("value")), F.lit(0).cast("long")).alias("cell")).agg(
+        F.sum(F.when(there, F.col("count")).otherwise(0)).alias("n"), F.coalesce(F.min("value"), F.lit((1 << 63) - 1)).alias("low"),
+        F.coalesce(F.max("value"), F.lit(-(1 << 63))).alias("high"),
+        F.coalesce(F.sum(F.col("value").cast("decimal(19,0)") * F.col("count").cast("decimal(18,0)")), F.lit(0)).cast("decimal(38,0)").alias("s"))
     types = _types(valued, [*keys, "_day", "w"])
     # keys share groups, which saves a call for each of very many small keys; a group is at most so much larger than its largest key
     parts = GROUPS * int(hist.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -118,10 +118,10 @@ def path_id(signature: Column, labels: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
-def metric_tree(template_rows: DataFrame, chosen: DataFrame, metrics: DataFrame) -> DataFrame:
-    """Metrics of each node of the distinct templates; a node without requests cuts off its subtree.
+def metric_tree(template_rows: DataFrame, chosen: DataFrame, metrics: DataFrame, meter: str = "qps") -> DataFrame:
+    """Metrics of each node of the distinct templates; a node without a rate, one not called in the reported interval, cuts off its subtree.
 
-    ``metrics`` has app, metric_kind, name and values. Nodes name the remote service, metrics the local
+    ``metrics`` has app, metric_kind, name and values, among them ``meter``. Nodes name the remote service, metrics the local
     one, so nodes of remote calls often find none.
     """
     wanted = chosen.select("trace_id", "root_id", "root", "signature")
@@ -131,11 +131,11 @@ def metric_tree(template_rows: DataFrame, chosen: DataFrame, metrics: DataFrame)
         F.concat("metric_kind", F.lit(E.SEPARATOR), "name"))).drop("name", "metric_kind")
     values = [c for c in named.columns if c not in ("app", "node_name")]
     rows = tree.join(named.withColumnRenamed("node_name", "name"), ["app", "name"], "left")
-    silent = rows.where("total is null").select("signature", F.col("labels").alias("_prefix")).distinct()
-    prefixes = rows.where("total is not null").withColumn("_prefix", F.explode(F.transform(
+    silent = rows.where(F.col(meter).isNull()).select("signature", F.col("labels").alias("_prefix")).distinct()
+    prefixes = rows.where(F.col(meter).isNotNull()).withColumn("_prefix", F.explode(F.transform(
         F.sequence(F.lit(1), F.size("labels")), lambda i: F.slice("labels", F.lit(1), i))))
     cut = prefixes.join(silent, ["signature", "_prefix"], "left_semi").select("signature", "labels").distinct()
-    kept = rows.where("total is not null").join(cut, ["signature", "labels"], "left_anti")
+    kept = rows.where(F.col(meter).isNotNull()).join(cut, ["signature", "labels"], "left_anti")
     above = F.slice("labels", F.lit(1), F.size("labels") - 1)
     return kept.select(
         "signature", "root", path_id(F.col("signature"), F.col("labels")).alias("id"),

@@ -10,6 +10,7 @@ from tracewell.plans.registry import query
 from tracewell.plans.requests import rate_sql, rounded
 from tracewell.plans.spans import KEPT, METRIC_ROWS, QPS_LIVES, interval_metrics, normalized, tree_spans
 from tracewell.plans.sql_views import V_ACCESS, V_NORM, V_SPAN, with_views
+from tracewell.session import stage
 from tracewell.sources import derived
 
 HALF_HOUR, HOUR = 1_800, 3_600
@@ -115,7 +116,7 @@ FROM v_trace_hit WHERE app = 'svc1' AND type = 'COST' AND span_name = '/p1'
 ORDER BY create_time DESC, duration DESC, trace_id, span_id, row_key LIMIT 20""")
 def trace_search(spark, sf):
     """First page of the matching kept traces, with the number of all matches."""
-    found = search.search_traces(kept(spark, sf), "svc1", "COST", "/p1", "2024-02-29 23:00:00", "2024-03-01 00:59:59")
+    found = stage(search.search_traces(kept(spark, sf), "svc1", "COST", "/p1", "2024-02-29 23:00:00", "2024-03-01 00:59:59"), "found")
     order = [F.desc("create_time"), F.desc("duration"), F.asc("trace_id"), F.asc("span_id"), F.asc("row_key")]
     first = search.page(found, order)
     total = found.agg(F.count("*").alias("total")).withColumn("_one", F.lit(1))

@@ -16,7 +16,7 @@ from tracewell.plans.topology import LINKS, URL_CALLS
 from tracewell.session import discard, new_path, stage
 from tracewell.sinks import writers
 from tracewell.sources import derived, readers
-from tracewell.streaming import rules as stream_rules, runs, stateful, summaries, traces, windows
+from tracewell.streaming import panes as fired_panes, rules as stream_rules, runs, stateful, summaries, traces, windows
 
 
 def access_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -117,22 +117,20 @@ def sink_daily(spark, sf):
 
 @query("sink_per_window", ACCESS + """
 SELECT strftime(to_timestamp(epoch_us(ts) // 86400000000 * 86400)::TIMESTAMP, '%Y%m%d-%H%M') AS w_start,
-       strftime(to_timestamp(epoch_us(ts) // 86400000000 * 86400 + 86400)::TIMESTAMP, '%Y%m%d-%H%M') AS w_end,
-       count(*) AS lines FROM v_access GROUP BY ALL""")
+       strftime(to_timestamp(epoch_us(ts) // 86400000000 * 86400 + 86400)::TIMESTAMP, '%Y%m%d-%H%M') AS w_end, event_id || ' ' || uri AS line FROM v_access""")
 def sink_per_window(spark, sf):
     path = new_path(spark, "windows")
     line = F.concat_ws(" ", F.col("event_id").cast("string"), "uri")
     writers.write_per_window(derived.access(spark, sf), path, "ts", 86_400, 3, line)
-    found = spark.read.schema("value string, w_start string, w_end string, shard int").text(path)
-    return found.groupBy("w_start", "w_end").agg(F.count("*").alias("lines"))
+    return spark.read.schema("value string, w_start string, w_end string, shard int").text(path).select("w_start", "w_end", F.col("value").alias("line"))
 
 
-@query("sink_shards", ACCESS + "SELECT count(*) AS lines, 4 AS files FROM v_access")
+@query("sink_shards", ACCESS + "SELECT uri AS line, count(*) AS lines, 4 AS files FROM v_access GROUP BY uri")
 def sink_shards(spark, sf):
     path = new_path(spark, "shards")
     writers.write_shards(derived.access(spark, sf), path, 4, F.col("uri"))
-    per_file = spark.read.text(path).groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n"))
-    return per_file.agg(F.sum("n").alias("lines"), F.count("*").cast("int").alias("files"))
+    lines = spark.read.text(path).select(F.col("value").alias("line"), F.input_file_name().alias("f"))
+    return lines.groupBy("line").agg(F.count("*").alias("lines")).withColumn("files", F.lit(lines.select("f").distinct().count()))
 
 
 @query("sink_snapshot", ACCESS + "SELECT upper(app) || '-' || uri AS key, count(*) AS n FROM v_access GROUP BY 1")
@@ -146,25 +144,27 @@ def sink_snapshot(spark, sf):
 
 
 @query("sink_fanout", ACCESS + """
-SELECT 'a' AS sink, count(*) AS n FROM v_access UNION ALL SELECT 'b', count(*) FROM v_access""")
+SELECT sink, event_id, uri, cost_ms FROM v_access, (SELECT unnest(['a', 'b']) AS sink)""")
 def sink_fanout(spark, sf):
+    """Every request of a stream in both of two sinks."""
     a, b = new_path(spark, "fan-a"), new_path(spark, "fan-b")
     runs.run_available(access_stream(spark, sf), writers.fan_out(writers.by_batch(a), writers.by_batch(b)))
-    def total(path, name):
-        return spark.read.parquet(path).agg(F.count("*").alias("n")).select(F.lit(name).alias("sink"), "n")
-    return total(a, "a").unionByName(total(b, "b"))
+    got = [spark.read.parquet(path).select(F.lit(name).alias("sink"), "event_id", "uri", "cost_ms") for path, name in ((a, "a"), (b, "b"))]
+    return got[0].unionByName(got[1])
 
 
 @query("stream_insert_absent", HIT + """
-SELECT app, type, trace_id, span_id, arg_min(duration, (create_time, row_key)) AS duration FROM v_trace_hit GROUP BY ALL""")
+SELECT CAST(date_trunc('day', create_time) AS TIMESTAMP) AS day, app, type, trace_id, span_id, arg_min(duration, (create_time, row_key)) AS duration
+FROM v_trace_hit GROUP BY ALL""")
 def stream_insert_absent(spark, sf):
-    """Kept traces inserted by a stream into a table that already holds some of them."""
+    """Kept traces inserted by a stream into daily tables that already hold some of them."""
     path, table = new_path(spark, "hits"), new_path(spark, "kept")
     hits = stage(kept(spark, sf), "hits")
-    outliers.insert_absent(hits, None).where(f"create_time < TIMESTAMP '{MIDNIGHT}'").write.parquet(table)
-    hits.write.parquet(path)
-    runs.run_available(spark.readStream.schema(hits.schema).parquet(path), writers.insert_absent(table))
-    return spark.read.parquet(table).select("app", "type", "trace_id", "span_id", "duration")
+    writers.insert_absent(table, "create_time")(hits.where(f"create_time < TIMESTAMP '{MIDNIGHT}' AND duration % 2 = 0"), -1)
+    hits.repartition(3).write.parquet(path)
+    runs.run_available(spark.readStream.schema(hits.schema).option("maxFilesPerTrigger", 1).parquet(path), writers.insert_absent(table, "create_time"))
+    stored = spark.read.parquet(table)
+    return stored.select(F.col("day").cast("timestamp").alias("day"), "app", "type", "trace_id", "span_id", "duration")
 
 
 # --- change data
@@ -228,10 +228,18 @@ def win_sliding_60_5(spark, sf):
 @query("win_sliding_late", ACCESS + _sliding(15, 5))
 def win_sliding_late(spark, sf):
     """Update mode re-emits a window's whole count; the last emission per window is its result."""
-    counted = windows.windowed_counts(access_stream(spark, sf), "ts", F.col("uri"), "15 seconds", "5 seconds", "30 seconds")
+    counted = windows.windowed_counts(access_stream(spark, sf), "ts", F.col("uri"), "15 seconds", "5 seconds", "30 seconds", panes=False)
     return runs.latest(runs.run_to_table(counted, "update"), ["w_start", "w_end", "key"]).select("w_start", "key", "n")
 
 
+@query("stream_fired_counts", ACCESS + _sliding(15, 5))
+def stream_fired_counts(spark, sf):
+    """The same windows by a processor that fires early, on time and after three late rows; a window's largest count is its last."""
+    rows = replayed_in_order(derived.access(spark, sf), "ts")
+    fired = runs.run_to_table(fired_panes.fired_counts(rows, "ts", F.col("uri"), 15, 5, 30))
+    return fired.groupBy("w_start", "key").agg(F.max("n").alias("n"))
+
+
 @query("running_count", ACCESS + "SELECT upper(app) || '-' || uri AS key, count(*) AS n FROM v_access GROUP BY 1")
 def running_count(spark, sf):
     written = runs.run_to_table(windows.running_counts(access_stream(spark, sf), _app_uri()), "complete")
@@ -339,6 +347,18 @@ def stream_snapshot_15m(spark, sf):
     return rounded(spark.read.parquet(path).drop("batch"), "mean", "p95", "p99")
 
 
+@query("stream_win_links", with_views(V_SPAN, V_NORM, URL_CALLS) + """
+SELECT w AS w_start, parent || '|' || child AS key, count(*) AS n
+FROM calls, LATERAL (SELECT unnest(generate_series(0, 2)) AS i),
+     LATERAL (SELECT to_timestamp(epoch_us(ts) // 300000000 * 300 - i * 300)::TIMESTAMP AS w)
+WHERE w + INTERVAL 45 MINUTE <= (SELECT max(ts) FROM calls) GROUP BY ALL""")
+def stream_win_links(spark, sf):
+    """Call links of a stream counted in 15-minute windows sliding by five minutes, each given out half an hour after its end."""
+    calls = stage(topology.linked_calls(S.normalize(derived.spans(spark, sf))).select("ts", "parent", "child"), "calls")
+    counted = windows.windowed_counts(replayed_in_order(calls, "ts"), "ts", F.concat_ws("|", "parent", "child"), "15 minutes", "5 minutes", "30 minutes")
+    return runs.run_to_table(counted).select("w_start", "key", "n")
+
+
 @query("stream_alarms", ALARM + TICKS + "SELECT rule_id, tick, matches, CAST(fired AS INT) AS fired FROM fold")
 def stream_alarms(spark, sf):
     """Alarm throttling as a stream over the rules' matches."""

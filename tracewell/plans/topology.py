@@ -10,6 +10,7 @@ from tracewell.plans.requests import rate_sql, rounded
 from tracewell.plans.spans import normalized
 from tracewell.plans.sql_views import V_NORM, V_SPAN, with_views
 from tracewell.session import stage
+from tracewell.streaming import windows
 
 PRUNED = """sp AS (SELECT *, (ts, span_id, coalesce(kind, ''), row_key) AS o FROM v_norm),
 ids AS (SELECT DISTINCT trace_id, span_id FROM sp),
@@ -189,6 +190,5 @@ FROM calls, LATERAL (SELECT unnest(generate_series(0, 2)) AS i),
      LATERAL (SELECT to_timestamp(epoch_us(ts) // 300000000 * 300 - i * 300)::TIMESTAMP AS w) GROUP BY ALL""")
 def win_links(spark, sf):
     """Call links counted in 15-minute windows sliding by five minutes."""
-    rows = calls(spark, sf).select("ts", F.concat_ws("|", "parent", "child").alias("link"))
-    return rows.groupBy(F.window("ts", "15 minutes", "5 minutes"), "link").agg(F.count("*").alias("n")).select(
-        F.col("window.start").alias("w_start"), "link", "n")
+    counted = windows.windowed_counts(calls(spark, sf), "ts", F.concat_ws("|", "parent", "child"), "15 minutes", "5 minutes")
+    return counted.select("w_start", F.col("key").alias("link"), "n")

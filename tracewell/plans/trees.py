@@ -8,7 +8,7 @@ from tracewell.functions.scale import running_count
 from tracewell.operators import metrics, trees
 from tracewell.plans.registry import query
 from tracewell.plans.requests import rounded
-from tracewell.plans.spans import FAILED, tree_spans
+from tracewell.plans.spans import METRIC_ROWS, QPS_LIVES, QPS_MAX, interval_metrics, tree_spans
 from tracewell.plans.sql_views import V_NORM, V_SPAN, with_views
 
 FOREST = """nodes AS (
@@ -49,21 +49,21 @@ signed AS (SELECT trace_id, root_id, root, min(root_ts) AS root_ts, count(*) AS
 chosen AS (SELECT root, signature, count(*) AS trees, max(size) AS size, min((trace_id, root_id)) AS example
            FROM signed GROUP BY root, signature)"""
 
-METRIC_TREE = SIGNATURES + f""",
-totals AS (SELECT app, CASE WHEN metric_kind IS NULL THEN name ELSE metric_kind || '||' || name END AS name,
-           count(*) AS total, avg(duration) AS cost, max(duration) AS cost_max, count(*) FILTER ({FAILED}) AS errors,
-           quantile_cont(duration, 0.95) AS cost_tp95, quantile_cont(duration, 0.99) AS cost_tp99,
-           count(*) FILTER ({FAILED}) * 100.0 / count(*) AS error_rate FROM v_norm WHERE tag_sql IS NULL GROUP BY 1, 2),
+REPORTED = "2024-03-01 00:15:00"  # the quarter hour that metric trees report
+METRIC_TREE = SIGNATURES + ", " + METRIC_ROWS + QPS_MAX + f""",
+totals AS (SELECT m.app, CASE WHEN m.metric_kind IS NULL THEN m.name ELSE m.metric_kind || '||' || m.name END AS name,
+           total, cost, cost_max, errors, cost_tp95, cost_tp99, error_rate, qps, qps_max FROM v_metric m JOIN qps_fold f
+           ON m.w = f.w AND m.app = f.app AND m.name = f.name AND m.metric_kind IS NOT DISTINCT FROM f.metric_kind WHERE m.w = TIMESTAMP '{REPORTED}'),
 picked AS (SELECT DISTINCT c.signature, t.root, t.app, t.name, t.labels, t.depth FROM template t JOIN chosen c
            ON t.root = c.root AND t.trace_id = c.example[1] AND t.root_id = c.example[2]),
-valued AS (SELECT p.*, total, cost, cost_max, errors, cost_tp95, cost_tp99, error_rate FROM picked p LEFT JOIN totals m USING (app, name)),
-kept AS (SELECT * FROM valued v WHERE total IS NOT NULL AND NOT EXISTS (SELECT 1 FROM valued s
-         WHERE s.signature = v.signature AND s.total IS NULL AND s.labels = v.labels[:len(s.labels)])),
+valued AS (SELECT p.*, total, cost, cost_max, errors, cost_tp95, cost_tp99, error_rate, qps, qps_max FROM picked p LEFT JOIN totals m USING (app, name)),
+kept AS (SELECT * FROM valued v WHERE qps IS NOT NULL AND NOT EXISTS (SELECT 1 FROM valued s
+         WHERE s.signature = v.signature AND s.qps IS NULL AND s.labels = v.labels[:len(s.labels)])),
 mtree AS (SELECT signature, root, CAST('0x' || substr(md5(signature || '|' || array_to_string(labels, '>')), 1, 15)
           AS BIGINT) AS id, CASE WHEN depth = 0 THEN -1 ELSE CAST('0x' || substr(md5(signature || '|' ||
           array_to_string(labels[:len(labels) - 1], '>')), 1, 15) AS BIGINT) END AS pid, app AS app_name, name, depth,
           total, round(cost, 4) AS cost, cost_max, errors, round(cost_tp95, 4) AS cost_tp95,
-          round(cost_tp99, 4) AS cost_tp99, round(error_rate, 4) AS error_rate FROM kept)"""
+          round(cost_tp99, 4) AS cost_tp99, round(error_rate, 4) AS error_rate, round(qps, 6) AS qps, round(qps_max, 6) AS qps_max FROM kept)"""
 
 
 def span_forest(spark: SparkSession, sf: str) -> DataFrame:
@@ -74,12 +74,15 @@ def span_templates(spark: SparkSession, sf: str) -> DataFrame:
     return trees.templates(span_forest(spark, sf))
 
 
-def span_metric_tree(spark: SparkSession, sf: str) -> DataFrame:
+def span_metric_tree(spark: SparkSession, sf: str, root: str | None = None) -> DataFrame:
+    """Metric trees of all roots, or of one: the other templates are left out before anything is joined."""
     rows = span_templates(spark, sf)
+    rows = rows if root is None else rows.where(F.col("root") == root)
     chosen = trees.distinct_templates(trees.signatures(rows))
-    values = metrics.endpoint_metrics(tree_spans(spark, sf), ["app", "metric_kind", "name"]).select(
-        "app", "metric_kind", "name", "total", "cost", "cost_max", "errors", "cost_tp95", "cost_tp99", "error_rate")
-    return rounded(trees.metric_tree(rows, chosen, values), "cost", "cost_tp95", "cost_tp99", "error_rate")
+    every = metrics.with_largest_rate(interval_metrics(spark, sf), ["app", "metric_kind", "name"], "w", QPS_LIVES)
+    values = every.where(F.col("w") == F.lit(REPORTED).cast("timestamp")).drop("w")
+    out = rounded(trees.metric_tree(rows, chosen, values), "cost", "cost_tp95", "cost_tp99", "error_rate")
+    return rounded(out, "qps", "qps_max", places=6)
 
 
 @query("trace_forest", with_views(V_SPAN, V_NORM, FOREST) + """
@@ -125,7 +128,7 @@ def metric_tree(spark, sf):
 
 @query("metric_tree_of", with_views(V_SPAN, V_NORM, METRIC_TREE) + "SELECT * FROM mtree WHERE root = 'svc1==/p1'")
 def metric_tree_of(spark, sf):
-    return trees.metric_tree_of(span_metric_tree(spark, sf), "svc1", "/p1")
+    return trees.metric_tree_of(span_metric_tree(spark, sf, "svc1==/p1"), "svc1", "/p1")
 
 
 @query("child_rows", with_views(V_SPAN, V_NORM, METRIC_TREE) + """
@@ -134,6 +137,17 @@ def child_rows(spark, sf):
     return trees.child_rows(span_metric_tree(spark, sf))
 
 
-@query("tree_json")
+# no derived tree is deeper than two levels below its root
+@query("tree_json", with_views(V_SPAN, V_NORM, METRIC_TREE) + """
+, heads AS (SELECT signature, root, id, pid, depth, '{"id":' || id || ',"pid":' || pid || ',"app_name":"' || app_name || '","name":"' || name || '","total":' || total
+            || ',"cost_max":' || cost_max || ',"errors":' || errors AS head FROM mtree),
+twos AS (SELECT signature, pid, string_agg(head || '}', ',' ORDER BY head || '}') AS below FROM heads WHERE depth = 2 GROUP BY ALL),
+ones AS (SELECT h.signature, h.pid, h.head || coalesce(',"children":[' || t.below || ']', '') || '}' AS doc
+         FROM heads h LEFT JOIN twos t ON t.signature = h.signature AND t.pid = h.id WHERE depth = 1),
+under AS (SELECT signature, pid, string_agg(doc, ',' ORDER BY doc) AS below FROM ones GROUP BY ALL)
+SELECT h.signature, h.root, h.head || coalesce(',"children":[' || u.below || ']', '') || '}' AS json
+FROM heads h LEFT JOIN under u ON u.signature = h.signature AND u.pid = h.id WHERE depth = 0""")
 def tree_json(spark, sf):
-    return trees.tree_json(span_metric_tree(spark, sf))
+    """Nested documents with the whole numbers of each node."""
+    return trees.tree_json(span_metric_tree(spark, sf).select(
+        "signature", "root", "depth", "id", "pid", "app_name", "name", "total", "cost_max", "errors"))

@@ -72,12 +72,20 @@ def write_snapshot(df: DataFrame, path: str, at: str, interval: str) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy("day", "interval").parquet(path))
 
 
-def insert_absent(path: str, keys: Sequence[str] = outliers.KEPT_KEYS) -> BatchWriter:
-    """Micro-batch writer that appends only rows whose key is not in the table yet."""
+def insert_absent(path: str, at: str, keys: Sequence[str] = outliers.KEPT_KEYS) -> BatchWriter:
+    """Micro-batch writer into daily folders that appends only rows whose key the table of their day (of column ``at``) does not hold yet.
+
+    Only the keys of the batch's days are read, so that this does not grow with the table.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        stored = spark.read.schema(batch.schema).parquet(path) if _exists(spark, path) else None
-        outliers.insert_absent(batch, stored, keys).write.mode("append").parquet(path)
+        rows = with_day(batch, at)
+        days = [r["day"] for r in rows.select("day").distinct().collect()]     # a micro-batch spans a few days
+        stored = None
+        if days and _exists(spark, path):
+            stored = spark.read.schema(rows.schema).parquet(path).where(F.col("day").isin(days))
+        new = outliers.insert_absent(rows, stored, ["day", *keys], (at, "row_key"))
+        new.write.mode("append").partitionBy("day").parquet(path)
     return write
 
 

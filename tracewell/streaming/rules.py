@@ -80,8 +80,9 @@ class RuleClock(StatefulProcessor):
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         if key[0] is None:      # beats only move the watermark
-            return iter(())
+            return
         passed = timerValues.getCurrentWatermarkInMs() // 1000
+        yield from self._run(key[0], passed)       # what these rows change comes after the runs that are due
         rule = self.rule.get() if self.rule.exists() else None
         due = self.due.get()[0] if self.due.exists() else None
         for row in sorted(rows, key=lambda r: (r.at, r.kind == HITS)):
@@ -102,7 +103,6 @@ class RuleClock(StatefulProcessor):
                     due = first if due is None else min(due, first)
         if rule is not None:
             self._wait(due)
-        return iter(())
 
     def _next(self, rule: tuple, at: int) -> int:
         """The rule's first run at ``at`` or later."""
@@ -110,15 +110,17 @@ class RuleClock(StatefulProcessor):
         return rule[0] + -(-(at - rule[0]) // period) * period
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        passed = timerValues.getCurrentWatermarkInMs() // 1000
-        if not self.rule.exists() or not self.due.exists():
+        yield from self._run(key[0], timerValues.getCurrentWatermarkInMs() // 1000)
+
+    def _run(self, rule_id: int, passed: int) -> Iterator[Row]:
+        """All runs that are due by the time ``passed``."""
+        tick = self.due.get()[0] if self.due.exists() else None
+        if tick is None or tick > passed:
             return
         rule = self.rule.get()
         frequency, throttle, threshold = rule[1:]
         counts = {at: n for (at,), (n,) in self.counts.iterator()}
         opened, times = self.window.get() if self.window.exists() else (None, 0)
-        tick = self.due.get()[0]
-        self.due.clear()
         while tick is not None and tick <= passed:
             matches = sum(n for at, n in counts.items() if tick - frequency <= at <= tick)
             if matches:
@@ -126,9 +128,10 @@ class RuleClock(StatefulProcessor):
                     opened, times, fire = tick, 1, False
                 else:
                     fire, times = threshold <= times, times + 1
-                yield _Out(key[0], tick, matches, fire)
-            ahead = [max(self._next(rule, at), self._next(rule, tick + 1)) for at in counts if self._next(rule, tick + 1) <= at + frequency]
-            tick = min(ahead) if ahead else None
+                yield _Out(rule_id, tick, matches, fire)
+            following = self._next(rule, tick + 1)
+            ahead = [run for at in counts if (run := max(self._next(rule, at), following)) <= at + frequency]
+            tick = min(ahead, default=None)
         after = tick if tick is not None else passed + 1
         for at in [at for at in counts if self._next(rule, max(at, after)) > at + frequency]:
             self.counts.removeKey((at,))
