@@ -24,16 +24,16 @@ forest AS (
   WHERE NOT list_contains(f.path, n.span_id))"""
 
 TEMPLATES = FOREST + """,
-firsts AS (SELECT trace_id, root_id, root, root_ts, app, name, parent_id, arg_min(span_id, (path, labels)) AS span_id
+first_nodes AS (SELECT trace_id, root_id, root, root_ts, app, name, parent_id, arg_min(span_id, (path, labels)) AS span_id
   FROM forest GROUP BY ALL),
 template AS (
   SELECT trace_id, root_id, root, root_ts, span_id, parent_id, app, name, [span_id] AS path,
-         [app || '==' || name] AS labels, 0 AS depth FROM firsts WHERE parent_id IS NULL AND span_id = root_id
+         [app || '==' || name] AS labels, 0 AS depth FROM first_nodes WHERE parent_id IS NULL AND span_id = root_id
          AND app || '==' || name = root
   UNION ALL
   SELECT n.trace_id, n.root_id, n.root, n.root_ts, n.span_id, n.parent_id, n.app, n.name,
          list_append(f.path, n.span_id), list_append(f.labels, n.app || '==' || n.name), f.depth + 1
-  FROM template f JOIN firsts n ON n.trace_id = f.trace_id AND n.root_id = f.root_id AND n.root = f.root
+  FROM template f JOIN first_nodes n ON n.trace_id = f.trace_id AND n.root_id = f.root_id AND n.root = f.root
        AND n.parent_id = f.span_id
   WHERE NOT list_contains(f.path, n.span_id))"""
 
