@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 

@@ -8,7 +8,7 @@ from tracewell.functions import conditions, expressions as E
 from tracewell.operators import alarms, metrics, search
 from tracewell.plans.panels import HIT, kept
 from tracewell.plans.registry import query
-from tracewell.plans.requests import rate_sql, rounded
+from tracewell.plans.requests import rate_sql
 from tracewell.plans.spans import KEPT, normalized
 from tracewell.plans.sql_views import RULE_MATCH, V_NORM, V_SPAN, v_alarm, with_views
 from tracewell.sources import derived

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tracewell.functions import expressions as E
-from tracewell.operators import alarms, outliers, parse, spans as S, topology
+from tracewell.operators import alarms, parse, spans as S, topology
 from tracewell.plans.alarms import ALARM, START, TICK, TICKS, rules
 from tracewell.plans.panels import HIT, kept
 from tracewell.plans.registry import query
 from tracewell.plans.requests import ACCESS, rounded
-from tracewell.plans.spans import DECODED_SQL, MIDNIGHT, SPAN, decoded_columns, messages, normalized
+from tracewell.plans.spans import DECODED_SQL, SPAN, decoded_columns, messages
 from tracewell.plans.sql_views import V_ACCESS, V_NORM, V_SPAN, with_views
 from tracewell.plans.topology import LINKS, URL_CALLS
 from tracewell.session import discard, new_path, stage
