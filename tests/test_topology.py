@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from tracewell.operators import topology as T
+from tracewell.session import stage
 
 
 def links(df, **options):
@@ -97,3 +98,38 @@ def test_rows_split_node_names(spark):
     rows = T.topology_rows(df.withColumn("ts", F.lit("2024-01-01 00:00:10").cast("timestamp"))).collect()
     assert sorted((r.parent_app, r.parent_url, r.child_app, r.child_url, r.type, r["count"], r.cost, r.error_rate) for r in rows) == [
         ("a", "/x", "b", "/x", "http", 1, 2.0, 0.0), ("a", "/x", "b", "db-read", "http", 2, 7.0, 50.0)]
+
+
+def test_places_order_nodes_as_their_paths_do(make_spans):
+    import random
+    draw = random.Random(5)
+    rows = [dict(id="r", at=50, trace=t) for t in ("t", "u")] + [dict(id="late", at=60)]
+    for t in ("t", "u"):
+        ids = ["r"]
+        for i in range(90):  # ties in time, siblings whose ids do not follow it, children before their parents
+            ids.append(f"n{draw.randrange(10 ** 6)}")
+            rows.append(dict(id=ids[-1], trace=t, parent=draw.choice(ids[-6:-1]), at=draw.randrange(4), kind=draw.choice([None, "SERVER"])))
+    rows += [dict(id="c", parent="d"), dict(id="d", parent="c"), dict(id="e", parent="c")]
+    nodes = stage(T.repair(T.merge_shared(make_spans(*rows))))
+    paths = sorted(T.climb(nodes).collect(), key=lambda r: (r.trace_id, len(r["rank"]), [tuple(p) for p in r["rank"]]))
+    places = sorted(T.ascend(nodes).collect(), key=lambda r: (r.trace_id, r.depth, r.place))
+    assert len(places) == 183
+    assert [(r.trace_id, r.span_id, r.anc, r.depth) for r in places] == [
+        (r.trace_id, r.span_id, r.anc, len(r["rank"])) for r in paths]
+
+
+def test_long_chain_keeps_a_few_numbers_per_node(spark):
+    n = 5000
+    chain = spark.range(n).selectExpr(
+        "'t' AS trace_id", "cast(id AS string) AS span_id", "cast(nullif(id - 1, -1) AS string) AS parent",
+        "if(id % 1000 = 0, 'SERVER', null) AS kind", "timestamp_seconds(id) AS first_ts")
+    got = T.ascend(chain)
+    assert "rank" not in got.columns
+    wrong = got.where("depth <> cast(span_id AS int) + 1 OR NOT anc <=> "
+                      "if(span_id = '0', null, cast(int((cast(span_id AS int) - 1) / 1000) * 1000 AS string))")
+    assert got.count() == n and wrong.isEmpty()
+
+
+def test_no_nodes_have_no_places(make_spans):
+    nodes = T.repair(T.merge_shared(make_spans(dict(id="1", kind="SERVER", local="a")))).where("false")
+    assert T.ascend(nodes).isEmpty()

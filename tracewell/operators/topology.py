@@ -1,7 +1,7 @@
 """Call links between services and urls, derived from the spans of each trace.
 
 All joins and groupings use (trace, span) keys, so that one oversized trace still spreads out. The few
-per-trace facts (the root) are looked up through a salted join.
+per-trace facts (the root) are looked up by a plain join, whose hot keys AQE splits.
 """
 
 from __future__ import annotations
@@ -93,7 +93,8 @@ def repair(merged: DataFrame) -> DataFrame:
 def climb(nodes: DataFrame) -> DataFrame:
     """Depth-first facts of every node that reaches the top: path of sibling ranks, nearest kind ancestor.
 
-    Pointer doubling over narrow rows; nodes on cycles never reach the top and are dropped.
+    Pointer doubling; nodes on cycles never reach the top and are dropped. The paths of a chain of n nodes hold
+    n²/2 entries: where only their order and length matter, use ``ascend``.
     """
     kinds = nodes.select("trace_id", F.col("span_id").alias("parent"), F.col("kind").isNotNull().alias("_known"))
     start = nodes.select(*KEY, "parent", "first_ts").join(kinds, ["trace_id", "parent"], "left").select(
@@ -116,6 +117,51 @@ def climb(nodes: DataFrame) -> DataFrame:
     return state.where("_top is null").drop("_top")
 
 
+def _placed(rows: DataFrame, order: list[str]) -> DataFrame:
+    """``rows`` as a staged table with ``place``: a number that grows in the given order, with gaps.
+
+    A range shuffle and the number of the partition make it, so neither a trace nor the table is sorted in one task.
+    """
+    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("place", F.monotonically_increasing_id())
+    return stage(placed.drop(*[c for c in order if c.startswith("_by")]), "places")
+
+
+def ascend(nodes: DataFrame) -> DataFrame:
+    """(trace_id, span_id, anc, depth, place) of every node that reaches the top: what ``climb`` tells, without its paths.
+
+    ``anc`` is the nearest ancestor with a kind (null without one). Within a trace and depth, ``place`` orders nodes as
+    their paths of (first_ts, span_id) would. It is kept by rank doubling: the place of twice as long an end of the path is the
+    order of (place of its upper half, place of its lower half), so every round handles a few numbers per
+    node, whatever the depth. Nodes of one depth arrive at the top in one round, which makes their places comparable. Only rows
+    still on their way are written again. Nodes on cycles, or with a null trace or span below the top, never arrive and are dropped.
+    """
+    kinds = nodes.select("trace_id", F.col("span_id").alias("parent"), F.col("kind").isNotNull().alias("_known"))
+    begin = nodes.select(*KEY, "parent", F.col("first_ts").alias("_by_ts")).join(kinds, ["trace_id", "parent"], "left").select(
+        *KEY, F.col("parent").alias("_top"), F.when(F.col("_known"), F.col("parent")).alias("anc"), F.lit(1).alias("depth"), "_by_ts")
+    latest, arrived = _placed(begin, ["trace_id", "_by_ts", "span_id"]), []
+    left = latest.where("_top is not null").count()
+    while left:
+        reachable = latest
+        for part in arrived:
+            reachable = reachable.unionByName(part)
+        low, high = latest.where("_top is not null").alias("low"), reachable.alias("high")
+        on = (F.col("low.trace_id") == F.col("high.trace_id")) & (F.col("low._top") == F.col("high.span_id"))
+        higher = low.join(high, on).select(
+            F.col("low.trace_id").alias("trace_id"), F.col("low.span_id").alias("span_id"), F.col("high._top").alias("_top"),
+            F.coalesce("low.anc", "high.anc").alias("anc"), (F.col("high.depth") + F.col("low.depth")).alias("depth"),
+            F.col("high.place").alias("_by_high"), F.col("low.place").alias("_by_low"))
+        arrived.append(latest.where("_top is null"))
+        latest = _placed(higher, ["trace_id", "_by_high", "_by_low"])
+        still = latest.where("_top is not null").count()
+        if still == left:  # only cycles are left: an acyclic node would have come closer to the top
+            break
+        left = still
+    result = latest.where("_top is null")
+    for part in arrived:
+        result = result.unionByName(part)
+    return result.drop("_top")
+
+
 def linked_calls(spans: DataFrame, style: str = "url", prune: bool = True) -> DataFrame:
     """One row per call link: trace, parent, child, error, duration, time and place in the visit order."""
     source = stage(distinct_spans(spans.select(
@@ -124,7 +170,7 @@ def linked_calls(spans: DataFrame, style: str = "url", prune: bool = True) -> Da
     if prune:
         source = stage(prune_orphans(source), "pruned")
     nodes = stage(repair(stage(merge_shared(source), "merged")), "nodes")
-    reached = climb(nodes)
+    reached = ascend(nodes)
     has_child = nodes.where("parent is not null").select(
         "trace_id", F.col("parent").alias("span_id"), F.lit(True).alias("_has_child")).distinct()
     tags = F.map_filter(F.create_map(
@@ -158,7 +204,7 @@ def linked_calls(spans: DataFrame, style: str = "url", prune: bool = True) -> Da
     links = F.array_compact(F.array(
         link(backfill, 0, F.col("anc_svc"), F.col("svc"), F.lit(False)),
         link(source_node.isNotNull() & F.col("to_node").isNotNull(), 1, source_node, F.col("to_node"), failed)))
-    return rows.select(*KEY, "duration", "ts", F.size("rank").alias("depth"), "rank", F.inline(links))
+    return rows.select(*KEY, "duration", "ts", "depth", "place", F.inline(links))
 
 
 def pairwise_mean(rows: DataFrame, keys: list[str], order: list[Column], value: Column,
@@ -192,7 +238,7 @@ def trace_links(calls: DataFrame) -> DataFrame:
     totals = calls.groupBy(*keys).agg(
         F.count("*").alias("call_count"), F.count_if("error").alias("error_count"), F.min("ts").alias("ts"),
         F.avg(F.when(F.col("duration") > 0, F.col("duration"))).alias("cost_true_mean"))
-    means = pairwise_mean(calls.where("duration > 0"), keys, [F.col("depth"), F.col("rank"), F.col("seq")],
+    means = pairwise_mean(calls.where("duration > 0"), keys, [F.col("depth"), F.col("place"), F.col("seq")],
                           F.col("duration"))
     return totals.join(means, keys, "left").withColumn("cost", F.coalesce("cost", F.lit(0.0)))
 

@@ -139,7 +139,7 @@ def repair_tree(spark, sf):
 
 @query("rpc_ancestor", _views(URL_CALLS) + "SELECT trace_id, span_id, anc, len(rank) AS depth FROM walk")
 def rpc_ancestor(spark, sf):
-    return topology.climb(stage(repaired(spark, sf))).select("trace_id", "span_id", "anc", F.size("rank").alias("depth"))
+    return topology.ascend(stage(repaired(spark, sf))).select("trace_id", "span_id", "anc", "depth")
 
 
 @query("topo_calls", _views(URL_CALLS) + """
