@@ -330,6 +330,59 @@ def test_lines_without_blanks(spark):
     assert dropped_of(spark, texts) == [[], [0], [0], []]
 
 
+def test_lines_find_nine_of_ten_like_lines(spark):
+    """Every pair of different lines of a table against the groups found: letter bags rule out pairs without a loss, edits decide."""
+    docs = table(spark, SMALL, "documents")
+    place, first = {}, []
+    for r in sorted(docs.select("doc_id", "text").collect(), key=lambda r: r["doc_id"]):
+        for k, line in enumerate((r["text"] or "").encode().split(b"\n")):
+            text = line_dups.normalised(line)
+            if len(text) >= line_dups.LEAST and text not in place:
+                place[text] = len(first)
+                first.append((r["doc_id"], k))
+    texts = sorted(place, key=len)
+    bags = np.zeros((len(texts), 512), dtype=np.int32)
+    for i, text in enumerate(texts):
+        for k in range(len(text) - 1):
+            bags[i, (ord(text[k]) * 31 + ord(text[k + 1])) % 512] += 1
+    sizes = np.array([len(t) for t in texts])
+    group = list(range(len(first)))
+
+    def root(x: int) -> int:
+        while group[x] != x:
+            x = group[x]
+        return x
+    for i, text in enumerate(texts):
+        last = np.searchsorted(sizes, sizes[i] / line_dups.SIMILAR + 1e-9, side="right")
+        apart = np.abs(bags[i + 1:last] - bags[i]).sum(axis=1)
+        for j in np.flatnonzero(apart <= 4 * (1 - line_dups.SIMILAR) * sizes[i + 1:last] + 1e-6) + i + 1:
+            if line_dups.word_edits(text, texts[j]) <= (1 - line_dups.SIMILAR) * sizes[j] + 1e-9:
+                a, b = sorted((root(place[text]), root(place[texts[j]])))
+                group[b] = a
+    want = {first[k] for k in range(len(first)) if root(k) != k}
+    got = {r["doc_id"]: set(r["dropped"]) for r in line_dups.repeated_lines(docs).collect()}
+    found = {p for p in first if p[1] in got[p[0]]}
+    assert len(want) > 30 and found <= want and len(found) >= 0.9 * len(want)
+
+
+def test_simhashes_count_votes():
+    rng = np.random.default_rng(5)
+    sizes = [0, 1, 2, 700, 0, 255, 256, 3]
+    hashes = rng.integers(0, 1 << 63, sum(sizes), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    line = np.repeat(np.arange(len(sizes)), sizes)
+    got = line_dups.simhashes(hashes, line, len(sizes))
+    for k in range(len(sizes)):
+        own = [int(h) for h in hashes[line == k]]
+        assert int(got[k]) == sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in own) > len(own))
+
+
+def test_short_lines_with_one_wrong_letter(spark):
+    lines = [f"{prose(100 + k, 6)}" for k in range(40)]
+    wrong = [line[:len(line) // 2] + "y" + line[len(line) // 2 + 1:] for line in lines]
+    found = [d for d in dropped_of(spark, [x for pair in zip(lines, wrong) for x in pair])[1::2]]
+    assert sum(d == [0] for d in found) >= 36
+
+
 def test_lines_of_null_and_repeated_ids(spark):
     line = "a long line of boilerplate text that stands in many documents with the number %d at its end"
     rows = [(None, line % 1), (1, line % 1), (2, line % 2), (3, "quite another thing"), (3, "wonderful weather outside, said nobody at all today"),
