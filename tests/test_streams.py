@@ -122,6 +122,32 @@ def test_moments_go_on_between_batches(spark, make_spans):
         assert whole(spark.read.parquet(path)) == whole(outliers.kept_traces(spans, daily=daily))
 
 
+def test_rates_go_on_between_batches(spark):
+    from tracewell.operators import metrics
+    from tracewell.streaming import summaries
+    import random
+    rng = random.Random(11)
+    start = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    made = [("hot" if rng.random() < 0.6 else rng.choice(["a", "b", None]), start + dt.timedelta(milliseconds=rng.randrange(0, 3_500_000))) for _ in range(600)]
+    rows = spark.createDataFrame(made, "k string, ts timestamp").withColumn("w", F.window("ts", "15 minutes").start).cache()
+    end = F.col("w") + F.expr("INTERVAL 15 MINUTES")
+    state, path = new_path(spark, "rates"), new_path(spark, "reported")
+    write = summaries.rate_writer(state, writers.by_batch(path), ["k", "w"], "ts", end, late=300)
+    # the first rows of each key and interval come in time, others up to five minutes late
+    second = F.unix_seconds("ts") - int(start.timestamp())
+    delay = F.when(F.pmod(second, F.lit(900)) < 300, 0).otherwise(F.pmod(F.xxhash64("ts"), F.lit(250)))
+    arrives = F.floor((second + delay) / 450)
+    for k in range(9):
+        for _ in range(1 + (k == 3)):       # a batch that is run again changes nothing
+            write(rows.where(arrives == k), k)
+    write(rows.where("false"), 9)
+    write(spark.createDataFrame([("end", start + dt.timedelta(hours=2), start + dt.timedelta(hours=2))], rows.schema), 10)
+    write(spark.createDataFrame([("hot", start + dt.timedelta(seconds=5), start)], rows.schema), 11)     # its interval has come out
+    values = lambda df: {(r.k, r.w): (r.total, *(round(r[c], 9) for c in ("mean_rate", "m1_rate", "m5_rate", "m15_rate"))) for r in df.collect()}
+    got, want = spark.read.parquet(path), metrics.rates(rows, ["k", "w"], "ts", end)
+    assert values(got) == values(want) and got.count() == want.count() == 16
+
+
 def test_panes_fire_again_after_three_late_rows(spark):
     from tracewell.streaming import panes
     path = new_path(spark, "in")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tracewell.functions import expressions as E
 from tracewell.operators import alarms, parse, spans as S, topology
 from tracewell.plans.alarms import ALARM, START, TICK, TICKS, rules
 from tracewell.plans.panels import HIT, kept
 from tracewell.plans.registry import query
-from tracewell.plans.requests import ACCESS, rounded
+from tracewell.plans.requests import ACCESS, rate_sql, rounded
 from tracewell.plans.spans import DECODED_SQL, SPAN, decoded_columns, messages
 from tracewell.plans.sql_views import V_ACCESS, V_NORM, V_SPAN, with_views
 from tracewell.plans.topology import LINKS, URL_CALLS
@@ -344,6 +345,21 @@ def stream_snapshot_15m(spark, sf):
     return rounded(spark.read.parquet(path).drop("batch"), "mean", "p95", "p99")
 
 
+@query("stream_rates", with_views(V_ACCESS, """
+binned AS (SELECT app, uri, to_timestamp(epoch_us(ts) // 900000000 * 900)::TIMESTAMP AS w, ts FROM v_access)""",
+       rate_sql("binned", "app, uri, w", "w + INTERVAL 15 MINUTE")) + """
+SELECT app, uri, w, total, round(mean_rate, 6) AS mean_rate, round(m1_rate, 6) AS m1_rate,
+       round(m5_rate, 6) AS m5_rate, round(m15_rate, 6) AS m15_rate FROM rated
+WHERE w + INTERVAL 45 MINUTE <= (SELECT max(ts) FROM v_access)""")
+def stream_rates(spark, sf):
+    """Moving rates of a stream by quarter hours, each given out when its interval has ended half an hour ago."""
+    path = new_path(spark, "rates")
+    rows = derived.access(spark, sf).select("app", "uri", "ts", E.bucket_start(F.col("ts"), 900).alias("w"))
+    writer = summaries.rate_writer(new_path(spark, "decayed"), writers.by_batch(path), ["app", "uri", "w"], "ts", F.col("w") + F.expr("INTERVAL 15 MINUTES"), 1_800)
+    runs.run_available(replayed_in_order(rows, "ts"), writer)
+    return rounded(spark.read.parquet(path).drop("batch"), "mean_rate", "m1_rate", "m5_rate", "m15_rate", places=6)
+
+
 @query("stream_win_links", with_views(V_SPAN, V_NORM, URL_CALLS) + """
 SELECT w AS w_start, parent || '|' || child AS key, count(*) AS n
 FROM calls, LATERAL (SELECT unnest(generate_series(0, 2)) AS i),
