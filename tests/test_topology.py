@@ -100,6 +100,14 @@ def test_rows_split_node_names(spark):
         ("a", "/x", "b", "/x", "http", 1, 2.0, 0.0), ("a", "/x", "b", "db-read", "http", 2, 7.0, 50.0)]
 
 
+def test_links_that_differ_in_the_type_of_the_child_are_rows_of_their_own(spark):
+    df = spark.createDataFrame([("t", "a|grpc:/x", "b|grpc:/x", 1, 0, 3.0), ("u", "a|grpc:/x", "b|null:/x", 2, 1, 5.0)],
+                               "trace_id string, parent string, child string, call_count long, error_count long, cost double")
+    rows = T.topology_rows(df.withColumn("ts", F.lit("2024-01-01 00:00:10").cast("timestamp"))).collect()
+    assert sorted((r.child_app, r.child_url, r.type, r["count"], r.cost, r.errors) for r in rows) == [
+        ("b", "/x", "grpc", 1, 3.0, 0), ("b", "/x", "grpc", 2, 5.0, 1)]
+
+
 def test_places_order_nodes_as_their_paths_do(make_spans):
     import random
     draw = random.Random(5)
