@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -62,6 +63,28 @@ def test_language_held_out(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_language_fit_keeps_dense_rows_out_of_the_driver(spark):
+    docs = table(spark, SMALL.replace("0.001", "0.01"), "documents")
+    tracemalloc.start()
+    model = language.fit(docs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(model.languages) == 4 and peak < 80e6
+
+
+def test_language_kernel_counts_common_sequences():
+    rng = np.random.default_rng(3)
+    bits = rng.random((7, language.TOTAL)) < 0.01
+    bits[6] = False
+    want = np.zeros((7, 3))
+    for n, size in language.SIZES.items():
+        part = bits[:, language.OFFSETS[n]:language.OFFSETS[n] + size].astype(float)
+        part /= np.sqrt(np.maximum(part.sum(axis=1, keepdims=True), 1))
+        want += part @ part[:3].T
+    packed = np.packbits(bits, axis=1)
+    assert np.allclose(language._kernel(packed, packed[:3]), want, atol=1e-5)
+
+
 def test_language_odd_rows(spark, odd_docs, no_docs):
     model = language.fit(table(spark, SMALL, "documents"))
     got = {r["doc_id"]: r for r in language.predict(odd_docs, model).collect()}

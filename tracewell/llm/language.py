@@ -26,7 +26,8 @@ LANGUAGES = 200      # most frequent ones that are learned
 RIDGE = 1e-3
 SHARPNESS = 6.0      # of the scores' softmax
 GROUP = 64           # texts whose presence is held at once
-STEP = 64            # sample texts made dense at once
+STEP = 256           # sample texts made dense at once
+STRETCH = 1 << 13    # features of them, and of the landmarks, made dense at once
 
 FOLD = LOWER.copy()
 FOLD[[c for c in range(128) if not chr(c).isalpha()]] = 32
@@ -100,8 +101,8 @@ def sample_of(labelled: DataFrame, rows: int = SAMPLE) -> DataFrame:
     return labelled.where(draw < share)
 
 
-def _sample_presence(sample: DataFrame) -> tuple[np.ndarray, list[str]]:
-    """Presence bits of the sample, TOTAL / 8 bytes a text however long it is, and the languages."""
+def _sample_presence(sample: DataFrame) -> DataFrame:
+    """(lang, bits, draw) of the texts with a letter: presence bits, TOTAL / 8 bytes a text however long it is; draw is a hash of both."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_buffer(batch.column("text"))
@@ -114,51 +115,84 @@ def _sample_presence(sample: DataFrame) -> tuple[np.ndarray, list[str]]:
                     bits[text, feature] = True
                     packed = [row.tobytes() if ok else None for row, ok in zip(np.packbits(bits, axis=1), letters[i:j])]
                     yield pa.RecordBatch.from_arrays([batch.column("lang").slice(a + i, j - i), pa.array(packed, pa.binary())], ["lang", "bits"])
-    got = sample.select("text", "lang").mapInArrow(rows, "lang string, bits binary").where("bits IS NOT NULL").orderBy(
-        F.xxhash64("bits", "lang"), "lang").collect()
-    if not got:
-        return np.zeros((0, TOTAL // 8), dtype=np.uint8), []
-    return np.stack([np.frombuffer(r["bits"], dtype=np.uint8) for r in got]), [r["lang"] for r in got]
+    got = sample.select("text", "lang").mapInArrow(rows, "lang string, bits binary").where("bits IS NOT NULL")
+    return got.withColumn("draw", F.xxhash64("bits", "lang"))
 
 
-def _weighted(bits: np.ndarray, n: int) -> np.ndarray:
-    """Rows of presence of n-grams of one length, divided by the root of their number."""
-    block = np.unpackbits(bits[:, OFFSETS[n] // 8:(OFFSETS[n] + SIZES[n]) // 8], axis=1).astype(np.float32)
-    block /= np.sqrt(np.maximum(block.sum(axis=1, keepdims=True), 1))
-    return block
+def _landmarks(table: DataFrame) -> np.ndarray:
+    """Presence bits of the first ``LANDMARKS`` rows in the order of the hash, a random choice."""
+    draws = sorted(r["draw"] for r in table.select("draw").collect())
+    if not draws:
+        return np.zeros((0, TOTAL // 8), dtype=np.uint8)
+    lowest = table.where(F.col("draw") <= draws[:LANDMARKS][-1]).groupBy("draw", "lang", "bits").agg(F.count("*").alias("n")).collect()
+    lowest.sort(key=lambda r: (r["draw"], r["lang"]))
+    bits = np.stack([np.frombuffer(r["bits"], dtype=np.uint8) for r in lowest])
+    return np.repeat(bits, [r["n"] for r in lowest], axis=0)[:LANDMARKS]
+
+
+def _weighted(bits: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """First feature, and rows of presence divided by the root of their number for that length, of ``STRETCH`` features at a time."""
+    for n, size in SIZES.items():
+        block = bits[:, OFFSETS[n] // 8:(OFFSETS[n] + size) // 8]
+        root = np.sqrt(np.maximum(np.bitwise_count(block).sum(axis=1, keepdims=True), 1)).astype(np.float32)
+        for a in range(0, size, STRETCH):
+            yield OFFSETS[n] + a, np.unpackbits(block[:, a // 8:(a + STRETCH) // 8], axis=1) / root
+
+
+def _kernel(bits: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The kernel of each row of presence bits with each of ``first``."""
+    out = np.zeros((len(bits), len(first)))
+    for (_, rows), (_, landmarks) in zip(_weighted(bits), _weighted(first)):
+        out += rows @ landmarks.T
+    return out
+
+
+def _kernel_rows(table: DataFrame, first: np.ndarray) -> tuple[np.ndarray, list[str]]:
+    """The kernel of the sample with the landmarks and the languages, in the order of the hash; made where the rows are."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, STEP):
+                part = batch.slice(a, STEP)
+                bits = np.stack([np.frombuffer(b, dtype=np.uint8) for b in part.column("bits").to_pylist()])
+                kernel = [row.tobytes() for row in _kernel(bits, first)]
+                yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("draw"), pa.array(kernel, pa.binary())], ["lang", "draw", "kernel"])
+    got = table.mapInArrow(rows, "lang string, draw long, kernel binary").collect()
+    got.sort(key=lambda r: (r["draw"], r["lang"]))
+    kernel = np.zeros((len(got), len(first)))
+    for k, r in enumerate(got):
+        kernel[k] = np.frombuffer(r["kernel"])
+    return kernel, [r["lang"] for r in got]
 
 
 def fit(labelled: DataFrame) -> Model:
     """A model from (doc_id, text, lang); rows without a language don't count. The sample is bounded by ``SAMPLE``."""
     usable = labelled.where("lang IS NOT NULL").select("doc_id", F.col("text").cast("string").alias("text"), "lang")
-    bits, langs = _sample_presence(stage(sample_of(usable), "language-sample"))
+    table = stage(_sample_presence(stage(sample_of(usable), "language-sample")), "language-presence")
+    first = _landmarks(table)
+    kernel, langs = _kernel_rows(table, first)
     languages = sorted(set(langs))
     if not languages:
         return Model([], np.zeros((TOTAL, 0), dtype=np.float32), np.zeros(0))
-    first = bits[:LANDMARKS]     # the rows are in the order of a hash, so these are a random choice
-    kernel = np.zeros((len(bits), len(first)))
-    for n in SIZES:              # one length at a time, so that one block of landmarks is dense at once
-        landmarks = _weighted(first, n)
-        for a in range(0, len(bits), STEP):
-            kernel[a:a + STEP] += _weighted(bits[a:a + STEP], n) @ landmarks.T
-        del landmarks
     among = kernel[:len(first)]
     values, vectors = np.linalg.eigh((among + among.T) / 2)
     good = values > 1e-6 * values.max()
     whiten = vectors[:, good] / np.sqrt(values[good])             # Nyström: K(., landmarks) times this
     features = kernel @ whiten
+    del kernel, among
     targets = np.where(np.array(langs)[:, None] == np.array(languages)[None, :], 1.0, -1.0)
     weight = np.array([1 / langs.count(x) for x in langs])
     weight *= len(langs) / weight.sum()
     centre = (features * weight[:, None]).mean(axis=0)
     middle = (targets * weight[:, None]).mean(axis=0)
-    shifted = features - centre
-    gram = shifted.T @ (shifted * weight[:, None]) + RIDGE * len(langs) * np.eye(shifted.shape[1])
-    ridge = np.linalg.solve(gram, shifted.T @ ((targets - middle) * weight[:, None]))
+    features -= centre
+    gram = features.T @ (features * weight[:, None]) + RIDGE * len(langs) * np.eye(features.shape[1])
+    ridge = np.linalg.solve(gram, features.T @ ((targets - middle) * weight[:, None]))
     # scores = K(x, landmarks) whiten ridge + constant = presence(x) (landmarks^T whiten ridge) + constant
     coefficients = (whiten @ ridge).astype(np.float32)
-    table = np.concatenate([_weighted(first, n).T @ coefficients for n in SIZES])
-    return Model(languages, table, middle - centre @ ridge)
+    folded = np.zeros((TOTAL, len(languages)), dtype=np.float32)
+    for begin, landmarks in _weighted(first):
+        folded[begin:begin + landmarks.shape[1]] = landmarks.T @ coefficients
+    return Model(languages, folded, middle - centre @ ridge)
 
 
 def _predicted(model: Model, data: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray]:
