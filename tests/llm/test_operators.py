@@ -321,6 +321,8 @@ def test_many_edits_are_those_of_each_pair():
     left = ["".join(rng.choice("abc \u4e00") for _ in range(rng.choice([0, 1, 5, 63, 64, 65, 128, 200]))) for _ in range(300)]
     right = ["".join(rng.choice("abcd") if rng.random() < 0.2 else c for c in x[rng.randint(0, 3):]) + "b" * rng.randint(0, 70) for x in left]
     assert line_dups.many_edits(left, right).tolist() == [line_dups.word_edits(a, b) for a, b in zip(left, right)]
+    least = line_dups.least_edits(left, right)
+    assert (least <= line_dups.many_edits(left, right)).all() and line_dups.least_edits(["abcdef", ""], ["uvwxyz", "a"]).tolist() == [6, 0.5]
     wide = ["".join(chr(0x4E00 + rng.randrange(9000)) for _ in range(900)) for _ in range(20)]
     assert line_dups.many_edits(wide, wide[1:] + wide[:1]).tolist() == [line_dups.word_edits(a, b) for a, b in zip(wide, wide[1:] + wide[:1])]
 
