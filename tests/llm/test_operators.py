@@ -327,6 +327,18 @@ def test_many_edits_are_those_of_each_pair():
     assert line_dups.many_edits(wide, wide[1:] + wide[:1]).tolist() == [line_dups.word_edits(a, b) for a, b in zip(wide, wide[1:] + wide[:1])]
 
 
+def test_many_edits_up_to_a_bound():
+    """Same verdict as the whole tables, over bands of one word and of several, near and far, beside pairs that end early."""
+    rng = random.Random(11)
+    left = ["".join(rng.choice("abcdefgh ") for _ in range(rng.choice([5, 60, 64, 65, 130, 400, 420, 430, 700]))) for _ in range(2000)]
+    rates = [rng.choice([0, 0.05, 0.15, 0.2, 0.25, 0.5, 1]) for _ in left]
+    right = ["".join(rng.choice(["", "x", c + "a"]) if rng.random() < rate else c for c in x) for x, rate in zip(left, rates)]
+    most = 0.2 * np.array([max(len(a), len(b)) for a, b in zip(left, right)]) + 1e-9
+    exact = np.array([line_dups.word_edits(a, b) for a, b in zip(left, right)])
+    got = line_dups.many_edits(left, right, most)
+    assert 500 < (exact <= most).sum() < 1500 and ((got <= most) == (exact <= most)).all() and (got[exact <= most] == exact[exact <= most]).all()
+
+
 def test_lines(spark, no_docs):
     rule = "This long line of boilerplate text stands in very many of the documents here, with number %d at its end"
     texts = ["first line\n" + rule % 7, rule % 8 + "\nown words\n\n\nown words", None, "", "OWN   words!", "short", "short",
