@@ -1,3 +1,4 @@
+import os
 import random
 
 import numpy as np
@@ -5,8 +6,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tracewell.functions.scale import distribution, lookup, running_count
+from tracewell.functions.scale import distribution, in_parts, lookup, running_count
 from tracewell.operators import metrics, outliers, topology
+from tracewell.session import shared_dir, stage
 
 
 def skewed(n=3000, seed=5):
@@ -98,3 +100,28 @@ def test_rates_equal_the_tick_loop(spark):
             inst = sum(1 for e in events if (e - events[0]) // 5_000_000 == t) / 5.0
             rate = inst if rate is None else rate + a * (inst - rate)
         assert found == pytest.approx(rate)
+
+
+def test_parts_of_the_keys_give_the_same_rows_and_leave_no_tables(spark):
+    rows = skewed()
+    df = spark.createDataFrame([*rows, (None, 1, 7), (None, 2, 9)], "k string, i long, v long")
+    folders = lambda: set(os.listdir(shared_dir(spark)))
+    seen = []
+
+    def work(part):
+        seen.append(folders())
+        return running_count(stage(part), ["k"], ["i"])
+    before = folders()
+    got = in_parts(df, ["k"], work, rows=600, most=4)
+    assert len(seen) == 4 and all(len(s - before) <= 1 for s in seen) and len(folders() - before) == 1
+    whole = lambda table: sorted(table.select("k", "i", "v", "pos").collect(), key=repr)
+    assert whole(got) == whole(running_count(df, ["k"], ["i"]))
+    assert len(in_parts(df, ["k"], work, rows=10_000).columns) == 4 and len(seen) == 5
+
+
+def test_staging_leaves_no_shuffle_files(spark):
+    files = lambda: [f for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n") if "shuffle_" in f]
+    before = set(files())
+    table = stage(spark.range(1000).repartition(7).groupBy((F.col("id") % 300).alias("k")).count())
+    assert not [f for f in set(files()) - before if f.endswith(".data")]
+    assert table.count() == 300
