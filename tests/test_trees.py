@@ -1,6 +1,7 @@
 import json
 
 from tracewell.operators import spans as S, trees
+from tracewell.session import stage
 
 
 def forest(df):
@@ -50,3 +51,15 @@ def test_metric_tree_cuts_below_silent_nodes(spark, make_spans):
     assert doc["pid"] == -1 and [c["name"] for c in doc["children"]] == ["CLIENT||/z"]
     assert doc["children"][0]["pid"] == doc["id"]
     assert [r.name for r in trees.child_rows(tree).collect()] == ["/z"]
+
+
+def test_the_join_with_metrics_is_made_once(spark, make_spans, monkeypatch):
+    made = []
+    monkeypatch.setattr(trees, "stage", lambda df, label="stage": made.append(label) or stage(df, label))
+    rows = trees.templates(forest(make_spans(
+        dict(id="1", name="/r", local="a"), dict(id="2", parent="1", kind="SERVER", name="/x", local="a"))))
+    metrics = spark.createDataFrame([("a", None, "/r", 1)], "app string, metric_kind string, name string, total long")
+    tree = trees.metric_tree(rows, trees.distinct_templates(trees.signatures(rows)), metrics, "total")
+    assert made[-1] == "valued" and [r.name for r in tree.collect()] == ["/r"]
+    plan = tree._jdf.queryExecution().optimizedPlan().toString()
+    assert "valued-" in str(tree.inputFiles()) and "root_ts" not in plan

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tracewell.functions import expressions as E
-from tracewell.session import stage
+from tracewell.session import discard, stage
 
 TREE = ["trace_id", "root_id", "root"]
 
@@ -48,7 +48,8 @@ def forest(tree_nodes: DataFrame, group: Sequence[str] = ("trace_id",)) -> DataF
         longer = low.join(high, on).where(~F.arrays_overlap("low.path", "high.path")).select(
             *[F.col(f"low.{c}").alias(c) for c in rest], F.col("high._top").alias("_top"),
             *[F.concat(f"high.{c}", f"low.{c}").alias(c) for c in ("path", "labels", "times")])
-        paths = stage(paths.where("_top is null").unionByName(longer), "forest")
+        shorter, paths = paths, stage(paths.where("_top is null").unionByName(longer), "forest")
+        discard(shorter)
     return paths.drop("_top").withColumns({
         "root_id": F.col("path")[0], "root": F.col("labels")[0], "root_ts": F.col("times")[0],
         "depth": F.size("path") - 1}).drop("times")
@@ -130,7 +131,8 @@ def metric_tree(template_rows: DataFrame, chosen: DataFrame, metrics: DataFrame,
     named = metrics.withColumn("node_name", F.when(F.col("metric_kind").isNull(), F.col("name")).otherwise(
         F.concat("metric_kind", F.lit(E.SEPARATOR), "name"))).drop("name", "metric_kind")
     values = [c for c in named.columns if c not in ("app", "node_name")]
-    rows = tree.join(named.withColumnRenamed("node_name", "name"), ["app", "name"], "left")
+    # read by several branches below: written down, or each would make the whole join again
+    rows = stage(tree.join(named.withColumnRenamed("node_name", "name"), ["app", "name"], "left"), "valued")
     silent = rows.where(F.col(meter).isNull()).select("signature", F.col("labels").alias("_prefix")).distinct()
     prefixes = rows.where(F.col(meter).isNotNull()).withColumn("_prefix", F.explode(F.transform(
         F.sequence(F.lit(1), F.size("labels")), lambda i: F.slice("labels", F.lit(1), i))))

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tracewell.functions.scale import running_count
+from tracewell.functions.scale import in_parts, running_count
 from tracewell.operators import metrics, trees
 from tracewell.plans.registry import query
 from tracewell.plans.requests import rounded
 from tracewell.plans.spans import METRIC_ROWS, QPS_LIVES, QPS_MAX, interval_metrics, tree_spans
 from tracewell.plans.sql_views import V_NORM, V_SPAN, with_views
+from tracewell.session import only_kept, stage
 
 FOREST = """nodes AS (
   SELECT trace_id, span_id, parent_id, node_app AS app, node_name AS name, min(ts) AS ts FROM v_norm
@@ -66,20 +69,33 @@ mtree AS (SELECT signature, root, CAST('0x' || substr(md5(signature || '|' || ar
           round(cost_tp99, 4) AS cost_tp99, round(error_rate, 4) AS error_rate, round(qps, 6) AS qps, round(qps_max, 6) AS qps_max FROM kept)"""
 
 
+LABELLED = (*trees.TREE, "root_ts", "app", "name", "labels", "depth")   # what signatures and metric trees need of a node
+
+
+def by_trace(spark: SparkSession, sf: str, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work`` on the tree nodes, a part of the traces at a time."""
+    return in_parts(tree_spans(spark, sf), ["trace_id"], lambda spans: work(trees.nodes(spans)))
+
+
 def span_forest(spark: SparkSession, sf: str) -> DataFrame:
-    return trees.forest(trees.nodes(tree_spans(spark, sf)))
+    return by_trace(spark, sf, trees.forest)
 
 
-def span_templates(spark: SparkSession, sf: str) -> DataFrame:
-    return trees.templates(span_forest(spark, sf))
+def span_templates(spark: SparkSession, sf: str, columns: Sequence[str] = ("*",), root: str | None = None) -> DataFrame:
+    def work(nodes: DataFrame) -> DataFrame:
+        rows = trees.templates(trees.forest(nodes))
+        return (rows if root is None else rows.where(F.col("root") == root)).select(*columns)
+    return by_trace(spark, sf, work)
 
 
 def span_metric_tree(spark: SparkSession, sf: str, root: str | None = None) -> DataFrame:
     """Metric trees of all roots, or of one: the other templates are left out before anything is joined."""
-    rows = span_templates(spark, sf)
-    rows = rows if root is None else rows.where(F.col("root") == root)
-    chosen = trees.distinct_templates(trees.signatures(rows))
-    every = metrics.with_largest_rate(interval_metrics(spark, sf), ["app", "metric_kind", "name"], "w", QPS_LIVES)
+    with only_kept(spark) as kept:
+        intervals = stage(interval_metrics(spark, sf), "intervals")
+        kept.append(intervals.staged_at)
+    rows = span_templates(spark, sf, LABELLED, root)
+    chosen = stage(trees.distinct_templates(in_parts(rows, ["trace_id"], trees.signatures)), "chosen")
+    every = metrics.with_largest_rate(intervals, ["app", "metric_kind", "name"], "w", QPS_LIVES)
     values = every.where(F.col("w") == F.lit(REPORTED).cast("timestamp")).drop("w")
     out = rounded(trees.metric_tree(rows, chosen, values), "cost", "cost_tp95", "cost_tp99", "error_rate")
     return rounded(out, "qps", "qps_max", places=6)
