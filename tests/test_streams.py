@@ -166,6 +166,23 @@ def test_panes_fire_again_after_three_late_rows(spark):
         ("early", 1), ("early", 2), ("on time", 2)]
 
 
+def test_panes_ask_the_state_per_block(spark):
+    from tracewell.streaming import panes
+    path = new_path(spark, "in")
+    base = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    seconds = [s for k in range(3) for s in range(100 * k, 100 * k + 100, 7 - k)]
+    for k in range(3):
+        made = [(key, base + dt.timedelta(seconds=s)) for s in seconds if s // 100 == k for key in ("a", None)]
+        spark.createDataFrame(made, "k string, ts timestamp").coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema("k string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(path)
+    fired = panes.fired_counts(stream, "ts", F.col("k"), 15, 5, 30, block=4)      # windows of 15 seconds go over the bounds of blocks of 20
+    assert "block" in fired._jdf.queryExecution().analyzed().toString()
+    got = {(r.key, round((r.w_start - base.replace(tzinfo=None)).total_seconds())): r.n
+           for r in runs.run_to_table(fired).groupBy("key", "w_start").agg(F.max("n").alias("n")).collect()}
+    want = Counter((key, s // 5 * 5 - back) for s in seconds for back in (0, 5, 10) for key in ("a", None))
+    assert got == want
+
+
 def test_sliding_counts_from_panes_equal_direct_ones(spark):
     rows = spark.createDataFrame(ACCESS, "ip string, ts string").withColumn("ts", F.col("ts").cast("timestamp"))
     both = [sorted(map(tuple, windows.windowed_counts(rows, "ts", F.col("ip"), "60 seconds", "5 seconds", panes=p).collect())) for p in (True, False)]
