@@ -244,3 +244,22 @@ def test_cells_ascend(spark):
     cells = [r.c for r in sorted(got, key=lambda r: r.v)]
     assert cells == sorted(cells) and len(set(cells)) < 4_100
     assert len({r.c for r in got if 0 <= r.v < 64}) == 64
+
+
+def test_a_long_stretch_is_replayed_from_several_files(spark, monkeypatch):
+    from tracewell.plans import streams
+    monkeypatch.setattr(streams, "REPLAY_ROWS", 100)
+    rows = spark.range(1_000).select("id", F.timestamp_seconds(F.when(F.col("id") < 700, F.col("id") % 100).otherwise(F.col("id"))).alias("ts"))
+    seen = []
+    runs.run_available(streams.replayed_in_order(rows, "ts"), lambda batch, batch_id: seen.append(
+        (batch.select(F.input_file_name()).distinct().count(), sorted(r.id for r in batch.collect()))))
+    want = [[r.id for r in rows.where(f"unix_seconds(ts) >= {200 * k} AND unix_seconds(ts) < {200 * k + 200}").orderBy("id").collect()] for k in range(5)]
+    assert [ids for _, ids in seen] == want and [n for n, _ in seen] == [7, 0, 0, 1, 2]
+
+
+def test_traces_share_the_state_of_their_bucket(spark, make_spans):
+    spans = make_spans(*[dict(trace=f"t{i}", id="1", at=i) for i in range(400)], dict(trace="end", id="1", at=10_000), dict(trace="end", id="2", at=20_000))
+    found = traces.assemble(batches(spark, spans, list(range(400)), [400], [401]), "0 seconds")
+    assert "bucket" in found._jdf.queryExecution().analyzed().toString()
+    out = runs.run_to_table(found)
+    assert {r.trace_id for r in out.where("outcome = 'closed'").collect()} >= {f"t{i}" for i in range(400)}
